@@ -282,7 +282,7 @@ SELECT ord, concat('deck', lpad(CAST(uid AS STRING), 9, '0')) AS deck, uid, k, u
        CASE WHEN event = 'stage_finished' THEN
          CASE k % 7 WHEN 0 THEN 'rejected' WHEN 1 THEN 'failed' WHEN 2 THEN 'needs_human'
               WHEN 3 THEN 'partial' ELSE 'ok' END END AS status,
-       CASE WHEN event = 'stage_finished' AND k % 5 <> 0 THEN CAST(value * 1000 AS BIGINT) END AS ms,
+       CASE WHEN event = 'stage_finished' AND k % 5 <> 0 THEN CAST(floor(value * 1000) AS BIGINT) END AS ms,
        CASE WHEN k % 3 = 0 THEN '' WHEN k % 3 = 1 THEN concat('Timed out after ', CAST(k AS STRING), '.5 s on slide ', CAST(k % 9 AS STRING))
             ELSE 'already fresh' END AS why,
        CASE WHEN event = 'stage_retried' THEN CASE WHEN k % 2 = 0 THEN 'api_429' ELSE 'aborted' END END AS retry_kind,
@@ -325,7 +325,7 @@ SELECT seq, CAST(seq * 600 AS DOUBLE) AS t, CAST(floor(seq / 144) AS BIGINT) AS
        k % 3 = 0 AS running, k % 3 = 1 AS queued, k % 13 = 0 AS finished,
        CASE WHEN k % 17 = 0 THEN 'needs_human' WHEN k % 17 = 1 THEN 'crashed' END AS parked_status,
        CASE WHEN stage IN ('proposed', 'recipe', 'reconciled', 'solvable') THEN 'agent' ELSE 'cpu' END AS pool,
-       CAST(k * 5 AS DOUBLE) AS since_s,
+       CAST(k * 20 AS DOUBLE) AS since_s,
        CASE WHEN k % 11 = 0 THEN concat('no log output for ', CAST(300 + k * 7 AS STRING), '.0s')
             WHEN k % 11 = 1 THEN 'lock held by dead pid 77' END AS hung_why
 FROM (SELECT seq, deck, uid, stage, stage_idx, k,
@@ -342,7 +342,7 @@ SELECT seq, CAST(seq * 600 AS DOUBLE) AS t, CAST(floor(seq / 144) AS BIGINT) AS
        CASE WHEN seq % 3 = 0 THEN 'flag' ELSE 'unknown' END AS cpu_source,
        ev * 1000 + seq % 977 AS rss_total, 100000 - ev * 300 - seq % 101 AS avail, 100000 AS total,
        concat('proc', CAST(seq % 4 AS STRING)) AS largest_name, 500 + (seq * 37) % 4001 AS largest_rss,
-       seq % 6 AS displays_held, seq % 6 = 5 AS saturated,
+       seq % 6 AS displays_held, seq % 6 >= 4 AS saturated,
        CASE WHEN seq % 9 = 0 THEN 'probe slow' WHEN seq % 14 = 0 THEN 'clock stepped' END AS warn,
        seq % 8 AS unattributed_soffice, seq % 4 <> 3 AS has_roots
 FROM (SELECT seq, count(*) AS ev FROM (SELECT CAST(floor(us / 600000000) AS BIGINT) AS seq FROM {run_events}) b GROUP BY seq) x
