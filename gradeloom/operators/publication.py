@@ -125,24 +125,32 @@ def route_files(files: DataFrame) -> DataFrame:
 
 
 def text_leaks(documents: DataFrame, passages: DataFrame) -> DataFrame:
-    """(doc_id, item_id) where a document holds a forbidden passage word for word, from a word start.
+    """(doc_id, item_id) where a document holds a forbidden passage word for word.
 
-    A passage is keyed by its first 64, 8 or 1 characters, whichever it has.  Documents emit the hash
-    of the text at each word start for the key lengths in use, so this is an equi-join, and the whole
-    passage is then compared.  When the passages are few, adaptive execution broadcasts them and no
-    document text is shuffled.
+    A passage is keyed by its first four words, or its first word when it is shorter.  Documents emit
+    the distinct hashes of their word runs of the lengths in use, so the search is an equi-join on
+    whole texts; the few candidate pairs are then checked against the full passage.  When passages
+    are few, adaptive execution broadcasts their keys and no document text is shuffled.
     """
-    size = F.when(F.length("text") >= 64, 64).when(F.length("text") >= 8, 8).otherwise(1)
-    keyed = passages.where(F.length("text") > 0).select(
-        "item_id", F.col("text").alias("passage"), size.alias("size"),
-        F.xxhash64(F.expr("substring(text, 1, CASE WHEN length(text) >= 64 THEN 64 WHEN length(text) >= 8 THEN 8 ELSE 1 END)")).alias("key"))
-    sizes = keyed.select("size").distinct()                                   # at most three rows
-    starts = F.expr("filter(sequence(1, length(text)), i -> i = 1 OR substring(text, i - 1, 1) rlike '[\\\\s]')")
-    words = (documents.where(F.length("text") > 0).select("doc_id", "text", F.explode(starts).alias("at"))
-             .join(F.broadcast(sizes), how="cross")
-             .withColumn("key", F.xxhash64(F.expr("substring(text, at, size)"))))
-    hits = words.join(keyed, ["size", "key"]).where(F.expr("substring(text, at, length(passage)) = passage"))
-    return hits.select("doc_id", "item_id").distinct()
+    def words(col: str) -> Column:
+        return F.split(F.trim(F.col(col)), r"\s+")
+
+    def key(run: Column) -> Column:
+        return F.xxhash64(F.concat_ws(" ", run))
+
+    keyed = (passages.withColumn("w", words("text")).where(F.length(F.trim("text")) > 0)
+             .withColumn("k", F.when(F.size("w") >= 5, 4).otherwise(1))
+             .select("item_id", "k", key(F.slice("w", F.lit(1), F.col("k"))).alias("key")))
+    sizes = keyed.select("k").distinct()                                # one or two rows
+    runs = F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size("w") - F.col("k") + 1, F.lit(1))),
+        lambda i: key(F.slice("w", i, F.col("k")))))
+    seen = (documents.withColumn("w", words("text")).join(F.broadcast(sizes), how="cross")
+            .select("doc_id", "k", F.explode(runs).alias("key")))
+    pairs = seen.join(keyed, ["k", "key"]).select("doc_id", "item_id").distinct()
+    return (pairs.join(documents.select("doc_id", "text"), "doc_id")
+            .join(passages.select("item_id", F.col("text").alias("passage")), "item_id")
+            .where(F.contains("text", F.col("passage"))).select("doc_id", "item_id"))
 
 
 def commit_batches(tasks: DataFrame, limit: int = FILES_PER_COMMIT, block: int = 5000) -> DataFrame:

@@ -394,6 +394,45 @@ SELECT o_orderkey AS child, CAST(floor(o_orderkey / 16) AS BIGINT) AS parent
 FROM {orders} WHERE o_orderkey > 0 AND o_orderkey % 17 <> 0
 """
 
+#: One word per run: (doc_id, para, run, t) with run properties derived from the word.
+_RUN_COLS = """doc_id, CAST(para AS BIGINT) AS para, CAST(run AS BIGINT) AS run, t,
+       CASE length(t) % 3 WHEN 0 THEN 'Calibri' WHEN 1 THEN 'Arial' END AS font,
+       CAST(CASE WHEN length(t) % 4 = 3 THEN 7 ELSE 10 + length(t) % 5 END AS DOUBLE) AS sz,
+       length(t) % 5 = 0 AS b, length(t) % 7 = 0 AS i,
+       CASE length(t) % 6 WHEN 0 THEN 'scheme:ACCENT1' WHEN 1 THEN 'srgb:4472C4' WHEN 2 THEN 'srgb:112233' END AS color,
+       length(t) > 14 AS link"""
+DUCK_MODELS: dict[str, str] = {}
+MODELS["runs"] = f"""SELECT {_RUN_COLS} FROM (
+  SELECT doc_id, para, r.run, r.t FROM (
+    SELECT doc_id, p.para, p.ptext FROM {{documents}} LATERAL VIEW posexplode(split(text, '\\n')) p AS para, ptext) x
+  LATERAL VIEW posexplode(split(ptext, ' ')) r AS run, t) w"""
+DUCK_MODELS["runs"] = f"""SELECT {_RUN_COLS} FROM (
+  SELECT doc_id, para, unnest(string_split(ptext, ' ')) AS t, generate_subscripts(string_split(ptext, ' '), 1) - 1 AS run FROM (
+    SELECT doc_id, unnest(string_split(text, chr(10))) AS ptext, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS para FROM documents) x) w"""
+
+#: Parts, relations and uses of one package per deck, with the usual faults.
+MODELS["parts"] = """
+SELECT deck, part, sha FROM (
+ SELECT DISTINCT deck, concat('ppt/slides/slide', CAST(slide + 1 AS STRING), '.xml') AS part, md5(concat(deck, CAST(slide AS STRING))) AS sha FROM {shapes_gt}
+ UNION ALL SELECT DISTINCT deck, concat('ppt/media/', blob, CASE WHEN pk % 5 = 0 THEN '.emf' ELSE '.png' END), blob FROM {shapes_gt} WHERE blob IS NOT NULL AND pk % 37 <> 0
+ UNION ALL SELECT deck, concat('ppt/charts/chart', CAST(slide AS STRING), '-', CAST(rn AS STRING), '.xml'), md5(concat('c', CAST(pk AS STRING))) FROM {shapes_gt} WHERE kind = 'chart' AND pk % 37 <> 1
+ UNION ALL SELECT DISTINCT deck, 'docProps/thumbnail.jpeg', 'thumb' FROM {shapes_gt} WHERE deckno % 6 = 0
+ UNION ALL SELECT DISTINCT deck, concat('ppt/media/left', CAST(slide AS STRING), '.png'), 'left' FROM {shapes_gt} WHERE slide = 4) p
+"""
+MODELS["rels"] = """
+SELECT deck, owner, rid, target, rtype FROM (
+ SELECT DISTINCT deck, '' AS owner, concat('rId', CAST(slide + 1 AS STRING)) AS rid, concat('ppt/slides/slide', CAST(slide + 1 AS STRING), '.xml') AS target, 'slide' AS rtype FROM {shapes_gt} WHERE (deckno + slide) % 13 <> 0
+ UNION ALL SELECT deck, concat('ppt/slides/slide', CAST(slide + 1 AS STRING), '.xml'), concat('rId', CAST(rn AS STRING)),
+   CASE kind WHEN 'picture' THEN concat('ppt/media/', blob, CASE WHEN pk % 5 = 0 THEN '.emf' ELSE '.png' END) ELSE concat('ppt/charts/chart', CAST(slide AS STRING), '-', CAST(rn AS STRING), '.xml') END,
+   CASE WHEN pk % 19 = 0 THEN 'hyperlink' WHEN kind = 'picture' THEN 'image' ELSE 'chart' END
+ FROM {shapes_gt} WHERE kind IN ('picture', 'chart')) r
+"""
+MODELS["uses"] = """
+SELECT deck, concat('ppt/slides/slide', CAST(slide + 1 AS STRING), '.xml') AS part,
+  concat('rId', CAST(CASE WHEN pk % 43 = 0 THEN rn + 500 ELSE rn END AS STRING)) AS rid
+FROM {shapes_gt} WHERE kind IN ('picture', 'chart') AND pk % 17 <> 0
+"""
+
 _DEPENDS: dict[str, tuple[str, ...]] = {
     name: tuple(dict.fromkeys(re.findall(r"\{(\w+)\}", sql))) for name, sql in MODELS.items()}
 
@@ -453,4 +492,6 @@ def with_models(sql: str) -> str:
 
 
 def _duck_model(name: str) -> str:
+    if name in DUCK_MODELS:
+        return DUCK_MODELS[name]
     return _dialect(re.sub(r"\{(\w+)\}", r"\1", MODELS[name]), _DUCK).strip()

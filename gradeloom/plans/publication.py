@@ -14,7 +14,7 @@ _D = "d AS (" + _DECKS.replace("{src}", "stage_state") + ")"
 
 @query("approved_set", "U1", "WITH " + _D + """,
 al AS (SELECT deck FROM d WHERE uid % 3 <> 0 UNION ALL SELECT 'deck' || lpad((uid + 1000000)::VARCHAR, 9, '0') FROM d WHERE uid % 10 = 0)
-SELECT al.deck, d.deck IS NOT NULL AND outcome = 'shipped' AND packaged = 'ok' IS TRUE AS approved, CASE WHEN d.deck IS NULL THEN 'allow-list names an unknown deck'
+SELECT al.deck, coalesce(d.deck IS NOT NULL AND outcome = 'shipped' AND packaged = 'ok', false) AS approved, CASE WHEN d.deck IS NULL THEN 'allow-list names an unknown deck'
  WHEN outcome IS DISTINCT FROM 'shipped' THEN 'outcome is not shipped' WHEN packaged IS NULL THEN 'not packaged' WHEN packaged <> 'ok' THEN 'packaged is not ok' END AS reason FROM al LEFT JOIN d USING (deck)""")
 def approved_set(m):
     decks = m.sql(_DECKS.replace("{src}", "{stage_state}"))
@@ -63,12 +63,12 @@ def registry_survey(m):
     return U.survey(reg, occ)
 
 
-@query("id_conflicts", "U5", "WITH " + _REG + """, occ AS (SELECT id, CASE id % 4 WHEN 0 THEN source_key WHEN 1 THEN 'md5:other' WHEN 2 THEN NULL ELSE '' END AS source_key FROM reg WHERE id % 3 <> 2)
+@query("id_conflicts", "U5", "WITH " + _REG + """, occ AS (SELECT id, CASE CAST(floor(id / 12) AS BIGINT) % 4 WHEN 0 THEN source_key WHEN 1 THEN 'md5:other' WHEN 2 THEN NULL ELSE '' END AS source_key FROM reg WHERE id % 9 <> 2)
 SELECT r.id, r.source_key, CASE WHEN coalesce(o.source_key, '') <> '' THEN 'held by another key' WHEN r.id % 6 = 4 THEN 'registered, holder unknown' ELSE 'occupied by an unknown file' END AS problem
 FROM reg r JOIN occ o USING (id) WHERE o.source_key IS DISTINCT FROM r.source_key""")
 def id_conflicts(m):
     _, reg, _ = _registry(m)
-    occ = reg.where(F.col("id") % 3 != 2).select("id", F.expr("CASE id % 4 WHEN 0 THEN source_key WHEN 1 THEN 'md5:other' WHEN 2 THEN NULL ELSE '' END AS source_key"))
+    occ = reg.where(F.col("id") % 9 != 2).select("id", F.expr("CASE CAST(floor(id / 12) AS BIGINT) % 4 WHEN 0 THEN source_key WHEN 1 THEN 'md5:other' WHEN 2 THEN NULL ELSE '' END AS source_key"))
     return U.conflicts(reg, occ, reg.where(F.col("id") % 6 == 4))
 
 
