@@ -246,7 +246,7 @@ FROM (SELECT g.deck, g.slide, g.path, g.pk, g.qty, g.ok, g.ln, x.i, y.sno,
 """
 
 MODELS["series_candidate"] = """
-SELECT deck, slide, path, sname, i, category,
+SELECT deck, slide, path, sno, sname, i, category,
        CASE WHEN qty % 6 = i THEN val + 1 ELSE val END AS val
 FROM {series} WHERE NOT (sno = 1 AND qty % 5 = 0)
 """
