@@ -409,7 +409,8 @@ def displaced_pages(edits: DataFrame, pages: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ restored shapes
 
-def restored(wide: DataFrame, content: dict[str, DataFrame], depth: int = MEMBER_DEPTH) -> DataFrame:
+def restored(wide: DataFrame, content: dict[str, DataFrame], depth: int = MEMBER_DEPTH,
+             keys: Sequence[str] = ("deck", "slide")) -> DataFrame:
     """The shape has to be back: what it is, times where it is.
 
     ``wide`` has the theme map; ``content`` gives scores of shapes with a table, a chart or a diagram
@@ -420,24 +421,31 @@ def restored(wide: DataFrame, content: dict[str, DataFrame], depth: int = MEMBER
     rows = wide
     for name, scores in content.items():
         rows = rows.join(scores.select("deck", "slide", F.col("path").alias("a_path"), F.col("raw").alias(f"s_{name}")), ["deck", "slide", "a_path"], "left")
-    placed = centre()
-    words = F.when(a("plain") != "", credit(squeeze(a("plain")) == squeeze(b("plain"))))
-    own = [(3, picture()), (3, words)]
+    rows = rows.withColumns({"__placed": centre(), "__extent": extent(), "__pic": picture(), "__fill": F.when(a("fill_type").isNotNull(), fill()),
+                             "__words": F.when(a("plain") != "", credit(squeeze(a("plain")) == squeeze(b("plain")))),
+                             "__geom": geometry_preset(), "__line": F.when(a("line_fill").isNotNull(), line()), "__fx": effects(),
+                             "__family": F.coalesce("a_grp", "a_path")})
+    own = [(3, F.col("__pic")), (3, F.col("__words")), (1, F.col("__fill"))]
     own += [(3, F.when(a("kind") == kind, F.coalesce(F.col(f"s_{kind}"), F.lit(0.0)))) for kind in content]
-    own += [(1, F.when(a("fill_type").isNotNull(), fill()))]
-    look = [(1, geometry_preset()), (1, F.when(a("line_fill").isNotNull(), line())), (1, effects())]
-    where = blend([(2, placed), (1, extent())])
-    identified = F.coalesce(F.col("strong"), F.lit(False)) | (F.coalesce(placed, F.lit(0.0)) > 0)
+    look = [(1, F.col("__geom")), (1, F.col("__line")), (1, F.col("__fx"))]
+    rows = rows.withColumns({"__own": blend(own), "__where": blend([(2, F.col("__placed")), (1, F.col("__extent"))]),
+                             "__known": F.coalesce(F.col("strong"), F.lit(False)) | (F.coalesce("__placed", F.lit(0.0)) > 0)})
 
     def total(members: Column | None) -> Column:
         identity = blend(look if members is None else [(3, members), *look])
-        what = F.coalesce(blend(own), identity)
-        whole = F.when(what.isNotNull() & where.isNotNull(), what * where).otherwise(F.coalesce(what, where, F.lit(1.0)))
+        what = F.coalesce(F.col("__own"), identity)
+        whole = F.coalesce(what, F.lit(1.0)) * F.coalesce("__where", F.lit(1.0))
         missing = F.lit(0.0) if members is None else F.coalesce(members, F.lit(0.0))
-        return F.when(~present(), missing).when(~identified, 0.0).otherwise(whole)
-
-    base = rows.withColumn("raw", total(None))
-    for _ in range(min(depth, MEMBER_DEPTH)):
-        kids = base.where(F.col("a_grp").isNotNull()).groupBy("deck", "slide", F.col("a_grp").alias("a_path")).agg(F.avg("raw").alias("__kids"))
-        base = base.drop("raw").join(kids, ["deck", "slide", "a_path"], "left").withColumn("raw", total(F.col("__kids"))).drop("__kids")
-    return base.select("deck", "slide", F.col("a_path").alias("path"), "raw")
+        return F.when(~present(), missing).when(~F.col("__known"), 0.0).otherwise(whole)
+
+    rows = rows.withColumn("raw", total(None))
+    if depth == 1:
+        # a container and its members share a family, so their roll-up is one window and no self-join
+        family = Window.partitionBy(*keys, "__family")
+        kids = F.when(F.col("a_path") == F.col("__family"), F.avg(F.when(F.col("a_grp").isNotNull(), F.col("raw"))).over(family))
+        rows = rows.withColumn("__kids", kids).withColumn("raw", total(F.col("__kids")))
+    else:
+        for _ in range(min(depth, MEMBER_DEPTH)):
+            kids = rows.where(F.col("a_grp").isNotNull()).groupBy(*keys, F.col("a_grp").alias("a_path")).agg(F.avg("raw").alias("__kids"))
+            rows = rows.drop("__kids").join(kids, [*keys, "a_path"], "left").withColumn("raw", total(F.col("__kids")))
+    return rows.select(*keys, F.col("a_path").alias("path"), "raw")

@@ -112,25 +112,23 @@ _LOOKS = [(1, _GEOM), (1, "CASE WHEN a_line_fill IS NOT NULL THEN " + _LINE + "
 _WHERE = f"((2 * ({_CENTRE}) + ({_EXTENT})) / 3.0)"
 
 
-def restored_sql(wide_cte: str = "wd") -> str:
+def restored_sql(wide_cte: str = "wd", content: bool = True, scenario: bool = False) -> str:
     """CTEs ending in ``rst(deck, slide, path, raw)``."""
-    total = ("CASE WHEN b_path IS NULL THEN {miss} WHEN NOT strong AND ({c}) <= 0 THEN 0.0 ELSE coalesce(own, look) * {w} END")
+    by = ("scenario, " if scenario else "") + "deck, slide"
+    same = " AND ".join(f"f2.{c} = kd.{c}" for c in by.split(", "))
+    join = f" LEFT JOIN tab ON tab.deck = {wide_cte}.deck AND tab.slide = {wide_cte}.slide AND tab.path = a_path LEFT JOIN cht ON cht.deck = {wide_cte}.deck AND cht.slide = {wide_cte}.slide AND cht.path = a_path" if content else ""
+    scores = "tab.raw AS s_table, cht.raw AS s_chart" if content else "1 AS unused"
+    own = _OWN if content else _bl([(3, _PIC), (3, _WORDS), (1, _FILL)])
     return f"""
-fx AS (SELECT {wide_cte}.*, tab.raw AS s_table, cht.raw AS s_chart FROM {wide_cte} LEFT JOIN tab ON tab.deck = {wide_cte}.deck AND tab.slide = {wide_cte}.slide AND tab.path = a_path LEFT JOIN cht ON cht.deck = {wide_cte}.deck AND cht.slide = {wide_cte}.slide AND cht.path = a_path),
-f1 AS (SELECT *, {_OWN} AS own, {_bl(_LOOKS)} AS look FROM fx),
+fx AS (SELECT {wide_cte}.*, {scores} FROM {wide_cte}{join}),
+f1 AS (SELECT *, {own} AS own, {_bl(_LOOKS)} AS look FROM fx),
 f2 AS (SELECT *, CASE WHEN b_path IS NULL THEN 0.0 WHEN NOT strong AND ({_CENTRE}) <= 0 THEN 0.0 WHEN coalesce(own, look) IS NULL THEN {_WHERE} ELSE coalesce(own, look) * {_WHERE} END AS raw0 FROM f1),
-kd AS (SELECT deck, slide, a_grp AS gpth, avg(raw0) AS kids FROM f2 WHERE a_grp IS NOT NULL GROUP BY ALL),
-f3 AS (SELECT f2.*, kids, {_bl([(3, "kids"), *_LOOKS])} AS look2 FROM f2 LEFT JOIN kd ON kd.deck = f2.deck AND kd.slide = f2.slide AND gpth = a_path),
-rst AS (SELECT deck, slide, a_path AS path, CASE WHEN b_path IS NULL THEN coalesce(kids, 0.0) WHEN NOT strong AND ({_CENTRE}) <= 0 THEN 0.0 WHEN coalesce(own, look2) IS NULL THEN {_WHERE} ELSE coalesce(own, look2) * {_WHERE} END::DOUBLE AS raw FROM f3)
+kd AS (SELECT {by}, a_grp AS gpth, avg(raw0) AS kids FROM f2 WHERE a_grp IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT f2.*, kids, {_bl([(3, "kids"), *_LOOKS])} AS look2 FROM f2 LEFT JOIN kd ON {same} AND gpth = a_path),
+rst AS (SELECT {by}, a_path AS path, CASE WHEN b_path IS NULL THEN coalesce(kids, 0.0) WHEN NOT strong AND ({_CENTRE}) <= 0 THEN 0.0 WHEN coalesce(own, look2) IS NULL THEN {_WHERE} ELSE coalesce(own, look2) * {_WHERE} END::DOUBLE AS raw FROM f3)
 """
 
 
-def restored_scores(m, wide_rows):
-    tables = X.table_cells(m["cells"], m["cells_candidate"])
-    charts = X.series_credit(m["series"], m["series_candidate"])
-    return X.restored(X.themed(wide_rows, theme(m)), {"table": tables, "chart": charts}, depth=1)
-
-
 @query("restored_shape_credit", "X6", "WITH " + wide_sql() + "," + _TABLE + "," + _CHART + "," + restored_sql() + "SELECT deck, slide, path, round(raw, 6) AS raw FROM rst")
 def restored_shape_credit(m):
     return restored_scores(m, wide(m)).withColumn("raw", F.round("raw", 6))

@@ -156,18 +156,18 @@ _KEEP = """deck, deckno, slide, rn, ok, ln, pk, qty, disc, tax, path, grp, kind,
        {start} AS start_id, end_id"""
 
 
-def _snapshot(undone: str, idshift: int) -> str:
+def _snapshot(undone: str, idshift: int, over: str = "") -> str:
     """The damaged table; rows for which ``undone`` holds have been put right again."""
 
     def hit(cond: str, broken: str, name: str) -> str:
-        return f"CASE WHEN {cond} AND NOT ({undone}) THEN {broken} ELSE {name} END"
+        return f"CASE WHEN slide < 16 AND {cond} AND NOT ({undone}) THEN {broken} ELSE {name} END"
 
     body = _KEEP.format(
         z=hit("pk % 17 = 0", "z + 1000", "z"), idshift=idshift,
         plain=hit("pk % 6 = 0 AND plain <> ''", "concat(plain, ' x')", "plain"),
         blob=hit("qty % 9 = 0 AND blob IS NOT NULL", "'feedfeedfeedfeed'", "blob"),
         crop=hit("qty % 4 = 0", "CAST(NULL AS STRING)", "crop"),
-        cx=hit("(ok + ln) % 5 = 0", "cx + 914400", "cx"),
+        cx=hit("(ok + ln) % 5 = 0", "cx + 914400", "cx") + over,
         w=hit("qty % 8 = 0", "w + 228600", "w"),
         rot=hit("qty % 4 = 1", "rot + CAST(15 AS DOUBLE)", "rot"),
         fill=hit("(ok + ln) % 11 = 0 AND fill_color IS NOT NULL", "'srgb:FF00FF'", "fill_color"),
@@ -177,11 +177,11 @@ def _snapshot(undone: str, idshift: int) -> str:
         sz=hit("qty % 10 = 3", "sz + 400", "sz"),
         start=hit("qty % 3 = 0", "CAST(NULL AS BIGINT)", "start_id"))
     return (f"SELECT {body}\nFROM {{shapes_gt}}\n"
-            f"WHERE NOT ((ok + ln) % 7 = 0 AND kind <> 'group') OR ({undone})")
+            f"WHERE NOT (slide < 16 AND (ok + ln) % 7 = 0 AND kind <> 'group') OR ({undone})")
 
 
 MODELS["shapes_input"] = _snapshot("false", 0)
-MODELS["shapes_candidate"] = _snapshot("pk % 2 = 0", 0)
+MODELS["shapes_candidate"] = _snapshot("pk % 2 = 0", 0, " + CASE WHEN slide = 17 AND deckno % 4 = 0 AND pk % 13 = 0 THEN 300000 ELSE 0 END")
 
 MODELS["slide_features"] = """
 SELECT deck, slide, count(*) AS content,
@@ -203,18 +203,39 @@ SELECT deck, slide, path AS gt_path, op, deg, weight_hint, est_steps, measured,
 FROM (
  SELECT g.*, 'delete' AS op, concat('d', CAST(ln % 5 + 1 AS STRING)) AS deg, qty AS weight_hint,
         qty AS est_steps, qty * (1 + ln % 4) AS measured
- FROM {shapes_gt} g WHERE (ok + ln) % 7 = 0 AND kind <> 'group'
+ FROM {shapes_gt} g WHERE slide < 16 AND (ok + ln) % 7 = 0 AND kind <> 'group'
  UNION ALL
  SELECT g.*, 'move' AS op, concat('d', CAST(ln % 5 + 1 AS STRING)) AS deg, qty AS weight_hint,
         qty AS est_steps, qty * (1 + ln % 4) AS measured
- FROM {shapes_gt} g WHERE (ok + ln) % 5 = 0 AND NOT ((ok + ln) % 7 = 0 AND kind <> 'group')
+ FROM {shapes_gt} g WHERE slide < 16 AND (ok + ln) % 5 = 0 AND NOT ((ok + ln) % 7 = 0 AND kind <> 'group')
  UNION ALL
  SELECT g.*, 'recolor' AS op, concat('d', CAST(ln % 5 + 1 AS STRING)) AS deg, qty AS weight_hint,
         qty AS est_steps, qty * (1 + ln % 4) AS measured
- FROM {shapes_gt} g WHERE (ok + ln) % 11 = 0 AND fill_color IS NOT NULL
+ FROM {shapes_gt} g WHERE slide < 16 AND (ok + ln) % 11 = 0 AND fill_color IS NOT NULL
       AND NOT ((ok + ln) % 7 = 0 AND kind <> 'group')) e
 """
 
+_FRAME = ("deck, deckno, slide, path, grp, kind, z, shape_id, name, plain, placeholder, blob, cx, cy, w, h, rot, fill_type, fill_color, "
+          "line_fill, line_color, line_dash, effects, geom, autofit, hidden, start_id, end_id, pk, qty, ok, ln, rn")
+
+
+def _frame(source: str, scenario: str, where: str = "true", **change: str) -> str:
+    cols = ", ".join(f"{change[c]} AS {c}" if c in change else c for c in _FRAME.split(", "))
+    return f"SELECT '{scenario}' AS scenario, {cols} FROM {source} WHERE {where}"
+
+
+#: Four scenarios of every deck: the answer, the broken file, a half-way candidate, and cheap tricks
+#: that differ by deck (a cover picture, a copied neighbour, a picture in place of a native object).
+MODELS["frames"] = " UNION ALL ".join([
+    _frame("{shapes_gt}", "gt"), _frame("{shapes_input}", "noop"), _frame("{shapes_candidate}", "candidate"),
+    _frame("{shapes_input}", "tricks", "NOT (deckno % 4 = 2 AND kind = 'chart' AND slide < 6)"),
+    _frame("{shapes_input}", "tricks", "deckno % 4 = 0 AND rn = 3", path="'cover'", grp="CAST(NULL AS STRING)", kind="'picture'", z="CAST(9999 AS BIGINT)",
+           shape_id="CAST(9999 AS BIGINT)", name="'cover'", plain="''", placeholder="CAST(NULL AS STRING)", blob="'c0ffee'", cx="CAST(6096000 AS BIGINT)",
+           cy="CAST(3429000 AS BIGINT)", w="CAST(12192000 AS BIGINT)", h="CAST(6858000 AS BIGINT)", hidden="false"),
+    _frame("{shapes_gt}", "tricks", "deckno % 4 = 1 AND slide < 16 AND rn = 5", path="'copy'", grp="CAST(NULL AS STRING)", shape_id="CAST(9998 AS BIGINT)"),
+    _frame("{shapes_input}", "tricks", "deckno % 4 = 2 AND kind = 'chart' AND slide < 6", kind="'picture'", blob="'f1a7'", plain="''"),
+])
+
 MODELS["cells"] = """
 SELECT deck, slide, path, CAST(r AS BIGINT) AS r, CAST(c AS BIGINT) AS c,
        CASE WHEN (ok + r * 3 + c) % 6 = 0 THEN '' ELSE concat('v', CAST((pk + r * 7 + c * 3) % 23 AS STRING)) END AS text,
