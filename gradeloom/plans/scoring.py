@@ -208,14 +208,13 @@ def scope_penalties(m):
 
 _FINAL = "WITH " + SQL_GATES + "," + SQL_COSTS + "," + SQL_RAW + """,
 tt AS (SELECT scenario, deck, sum(weight * score) AS total FROM scr GROUP BY ALL), ff AS (SELECT scenario, deck, arg_min(gate, o) AS failed_gate FROM gates GROUP BY ALL), pp2 AS (SELECT scenario, deck, least(0.5, sum(cost)) AS penalty FROM cost GROUP BY ALL),
-fin AS (SELECT scenario, deck, round_even(total, 5)::DOUBLE AS total, round_even(coalesce(penalty, 0), 4)::DOUBLE AS penalty, failed_gate, CASE WHEN failed_gate IS NOT NULL THEN 0.0 ELSE round_even(total * (1 - coalesce(penalty, 0)), 5) END::DOUBLE AS score FROM tt LEFT JOIN ff USING (scenario, deck) LEFT JOIN pp2 USING (scenario, deck))
+fin AS (SELECT scenario, deck, round_even(total, 6)::DOUBLE AS total, round_even(coalesce(penalty, 0), 4)::DOUBLE AS penalty, failed_gate, CASE WHEN failed_gate IS NOT NULL THEN 0.0 ELSE round_even(total * (1 - coalesce(penalty, 0)), 6) END::DOUBLE AS score FROM tt LEFT JOIN ff USING (scenario, deck) LEFT JOIN pp2 USING (scenario, deck))
 """
 
 
 @query("final_scores", "P24", _FINAL + "SELECT * FROM fin")
 def final_scores(m):
-    f = scoring(m).final()
-    return f.withColumn("total", F.bround("total", 5)).withColumn("score", F.bround("score", 5))
+    return scoring(m).final()
 
 
 @query("gate_reasons_across_states", "P25", "WITH " + SQL_GATES + "SELECT deck, gate, count(DISTINCT scenario) AS states, string_agg(DISTINCT scenario, ',' ORDER BY scenario) AS which FROM gates GROUP BY ALL")
@@ -225,9 +224,9 @@ def gate_reasons_across_states(m):
         F.countDistinct("scenario").alias("states"), F.concat_ws(",", F.sort_array(F.collect_set("scenario"))).alias("which"))
 
 
-@query("calibration_findings", "P26", _FINAL + "SELECT deck, scenario, score FROM fin WHERE (scenario = 'gt' AND abs(score - 1) > 1e-5) OR (scenario = 'noop' AND abs(score) > 1e-5)")
+@query("calibration_findings", "P26", _FINAL + "SELECT deck, scenario, score FROM fin WHERE (scenario = 'gt' AND abs(score - 1) > 1e-6) OR (scenario = 'noop' AND abs(score) > 1e-6)")
 def calibration_findings(m):
-    return P.calibration_findings(scoring(m).final()).where(F.abs(F.col("score") - F.when(F.col("scenario") == "gt", 1.0).otherwise(0.0)) > 1e-5).withColumn("score", F.bround("score", 5))
+    return P.calibration_findings(scoring(m).final())
 
 
 @query("calibration_curve", "P27")
