@@ -149,44 +149,44 @@ def rebuilt_composite_credit(m):
 
 
 @query("text_recall", "X8", """
-WITH w AS (SELECT doc_id, t, count(*) AS nw FROM runs GROUP BY ALL), h AS (SELECT doc_id, t, count(*) AS nh FROM runs WHERE (run * 7 + para) % 5 <> 0 GROUP BY ALL)
+WITH w AS (SELECT doc_id, t, count(*) AS nw FROM word_runs GROUP BY ALL), h AS (SELECT doc_id, t, count(*) AS nh FROM word_runs WHERE (run * 7 + para) % 5 <> 0 GROUP BY ALL)
 SELECT doc_id, sum(nw)::BIGINT AS want, sum(least(nw, coalesce(nh, 0)))::BIGINT AS hit, round(sum(least(nw, coalesce(nh, 0))) / sum(nw), 6) AS raw FROM w LEFT JOIN h USING (doc_id, t) GROUP BY doc_id""")
 def text_recall(m):
-    have = m["runs"].where((F.col("run") * 7 + F.col("para")) % 5 != 0)
-    return X.multiset_recall(m["runs"], have, ["doc_id"]).withColumn("raw", F.round("raw", 6))
+    have = m["word_runs"].where((F.col("run") * 7 + F.col("para")) % 5 != 0)
+    return X.multiset_recall(m["word_runs"], have, ["doc_id"]).withColumn("raw", F.round("raw", 6))
 
 
-_HAVE_RUNS = """hr AS (SELECT doc_id, para, run + CASE WHEN para % 3 = 1 THEN 1 ELSE 0 END AS run, t, CASE WHEN length(t) % 4 = 0 THEN 'Comic' ELSE font END AS font, sz FROM runs WHERE NOT (para % 4 = 2 AND run % 6 = 0))"""
+_HAVE_RUNS = """hr AS (SELECT doc_id, para, run + CASE WHEN para % 3 = 1 THEN 1 ELSE 0 END AS run, t, CASE WHEN length(t) % 4 = 0 THEN 'Comic' ELSE font END AS font, sz FROM word_runs WHERE NOT (para % 4 = 2 AND run % 6 = 0))"""
 _RUN_PROPS = _HAVE_RUNS + """,
 bw AS (SELECT doc_id, para, t, arg_min(font, run) FILTER (WHERE font IS NOT NULL) AS f0, min_by({'f': font, 's': sz}, run) AS p FROM hr GROUP BY ALL),
-jn AS (SELECT r.doc_id, r.para, r.run, r.t, r.font, r.sz, CASE WHEN i.t = r.t THEN {'f': i.font, 's': i.sz} ELSE coalesce(bw.p, CASE WHEN i.t IS NOT NULL THEN {'f': i.font, 's': i.sz} END) END AS p FROM runs r LEFT JOIN hr i USING (doc_id, para, run) LEFT JOIN bw ON bw.doc_id = r.doc_id AND bw.para = r.para AND bw.t = r.t),
+jn AS (SELECT r.doc_id, r.para, r.run, r.t, r.font, r.sz, CASE WHEN i.t = r.t THEN {'f': i.font, 's': i.sz} ELSE coalesce(bw.p, CASE WHEN i.t IS NOT NULL THEN {'f': i.font, 's': i.sz} END) END AS p FROM word_runs r LEFT JOIN hr i USING (doc_id, para, run) LEFT JOIN bw ON bw.doc_id = r.doc_id AND bw.para = r.para AND bw.t = r.t),
 rp AS (SELECT doc_id, para, count(font) + count(sz) AS stated, count(*) FILTER (WHERE font = p.f) + count(*) FILTER (WHERE sz = p.s) AS hit FROM jn GROUP BY ALL)
 """
 
 
 def _have_runs(m):
-    r = m["runs"].where(~((F.col("para") % 4 == 2) & (F.col("run") % 6 == 0)))
+    r = m["word_runs"].where(~((F.col("para") % 4 == 2) & (F.col("run") % 6 == 0)))
     return r.select("doc_id", "para", (F.col("run") + F.when(F.col("para") % 3 == 1, 1).otherwise(0)).alias("run"), "t",
                     F.when(F.length("t") % 4 == 0, "Comic").otherwise(F.col("font")).alias("font"), "sz")
 
 
 @query("run_property_credit", "X9", "WITH " + _RUN_PROPS + "SELECT doc_id, para, stated, hit, CASE WHEN stated > 0 THEN round(hit / stated, 6) END AS raw FROM rp")
 def run_property_credit(m):
-    return X.run_properties(m["runs"], _have_runs(m), ["doc_id", "para"], ["font", "sz"]).withColumn("raw", F.round("raw", 6))
+    return X.run_properties(m["word_runs"], _have_runs(m), ["doc_id", "para"], ["font", "sz"]).withColumn("raw", F.round("raw", 6))
 
 
 @query("touched_paragraph_credit", "X10", "WITH " + _RUN_PROPS + """,
-gp AS (SELECT doc_id, para, string_agg(t, ' ' ORDER BY run) AS t FROM runs GROUP BY ALL), hp AS (SELECT DISTINCT doc_id, string_agg(t, ' ' ORDER BY run) AS t FROM runs WHERE (para + doc_id) % 7 <> 0 GROUP BY doc_id, para),
+gp AS (SELECT doc_id, para, string_agg(t, ' ' ORDER BY run) AS t FROM word_runs GROUP BY ALL), hp AS (SELECT DISTINCT doc_id, string_agg(t, ' ' ORDER BY run) AS t FROM word_runs WHERE (para + doc_id) % 7 <> 0 GROUP BY doc_id, para),
 s AS (SELECT gp.doc_id, CASE WHEN gp.para % 4 = 0 THEN CASE WHEN hp.t IS NOT NULL AND gp.t <> '' THEN 1.0 ELSE 0.0 END ELSE CASE WHEN stated > 0 THEN hit / stated END END AS sc FROM gp LEFT JOIN hp ON hp.doc_id = gp.doc_id AND hp.t = gp.t LEFT JOIN rp ON rp.doc_id = gp.doc_id AND rp.para = gp.para WHERE gp.para % 2 = 0)
 SELECT doc_id, count(sc) AS judged, round(sum(sc) / nullif(count(sc), 0), 6)::DOUBLE AS raw FROM s GROUP BY doc_id""")
 def touched_paragraph_credit(m):
     def paras(runs):
         return runs.groupBy("doc_id", "para").agg(F.concat_ws(" ", F.transform(F.sort_array(F.collect_list(F.struct("run", "t"))), lambda x: x["t"])).alias("t"))
 
-    gt_paras = paras(m["runs"])
-    have = paras(m["runs"].where((F.col("para") + F.col("doc_id")) % 7 != 0))
+    gt_paras = paras(m["word_runs"])
+    have = paras(m["word_runs"].where((F.col("para") + F.col("doc_id")) % 7 != 0))
     touched = gt_paras.where(F.col("para") % 2 == 0).select("doc_id", "para", F.when(F.col("para") % 4 == 0, "deleted").otherwise("restyled").alias("action"))
-    styles = X.run_properties(m["runs"], _have_runs(m), ["doc_id", "para"], ["font", "sz"])
+    styles = X.run_properties(m["word_runs"], _have_runs(m), ["doc_id", "para"], ["font", "sz"])
     out = X.touched_paragraphs(touched, gt_paras, have, styles, ["doc_id"])
     return out.select("doc_id", "judged", F.round("raw", 6).alias("raw"))
 

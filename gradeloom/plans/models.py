@@ -423,11 +423,11 @@ _RUN_COLS = """doc_id, CAST(para AS BIGINT) AS para, CAST(run AS BIGINT) AS run,
        CASE length(t) % 6 WHEN 0 THEN 'scheme:ACCENT1' WHEN 1 THEN 'srgb:4472C4' WHEN 2 THEN 'srgb:112233' END AS color,
        length(t) > 14 AS link"""
 DUCK_MODELS: dict[str, str] = {}
-MODELS["runs"] = f"""SELECT {_RUN_COLS} FROM (
+MODELS["word_runs"] = f"""SELECT {_RUN_COLS} FROM (
   SELECT doc_id, para, r.run, r.t FROM (
     SELECT doc_id, p.para, p.ptext FROM {{documents}} LATERAL VIEW posexplode(split(text, '\\n')) p AS para, ptext) x
   LATERAL VIEW posexplode(split(ptext, ' ')) r AS run, t) w"""
-DUCK_MODELS["runs"] = f"""SELECT {_RUN_COLS} FROM (
+DUCK_MODELS["word_runs"] = f"""SELECT {_RUN_COLS} FROM (
   SELECT doc_id, para, unnest(string_split(ptext, ' ')) AS t, generate_subscripts(string_split(ptext, ' '), 1) - 1 AS run FROM (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS ptext, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS para FROM documents) x) w"""
 

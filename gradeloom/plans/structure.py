@@ -168,22 +168,22 @@ def overlap_pairs(m):
 
 @query("text_style_summary", "A17", """
 SELECT doc_id, para, count(*) AS n_runs, coalesce(string_agg(DISTINCT font, ',' ORDER BY font), '') AS fonts, string_agg(DISTINCT sz::VARCHAR, ',' ORDER BY sz::VARCHAR) AS sizes, coalesce(string_agg(DISTINCT color, ',' ORDER BY color), '') AS colors,
- count(*) FILTER (WHERE b) AS bold, count(*) FILTER (WHERE i) AS italic, count(*) FILTER (WHERE link) AS links FROM runs WHERE trim(t) <> '' GROUP BY doc_id, para""")
+ count(*) FILTER (WHERE b) AS bold, count(*) FILTER (WHERE i) AS italic, count(*) FILTER (WHERE link) AS links FROM word_runs WHERE trim(t) <> '' GROUP BY doc_id, para""")
 def text_style_summary(m):
-    return A.text_summary(m["runs"], ["doc_id", "para"])
+    return A.text_summary(m["word_runs"], ["doc_id", "para"])
 
 
 @query("merge_runs", "A18", """
-WITH c AS (SELECT *, CASE WHEN font IS NOT DISTINCT FROM lag(font) OVER w AND b IS NOT DISTINCT FROM lag(b) OVER w AND run > 0 THEN 0 ELSE 1 END AS new FROM runs WINDOW w AS (PARTITION BY doc_id, para ORDER BY run)),
+WITH c AS (SELECT *, CASE WHEN font IS NOT DISTINCT FROM lag(font) OVER w AND b IS NOT DISTINCT FROM lag(b) OVER w AND run > 0 THEN 0 ELSE 1 END AS new FROM word_runs WINDOW w AS (PARTITION BY doc_id, para ORDER BY run)),
 g AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, para ORDER BY run) AS span FROM c)
 SELECT doc_id, para, span::BIGINT AS span, string_agg(t, ' ' ORDER BY run) AS t, min(font) AS font, bool_and(b) AS b FROM g GROUP BY doc_id, para, span""")
 def merge_runs(m):
-    return A.merge_runs(m["runs"], ["doc_id", "para"], ["font", "b"]).withColumn("span", F.col("span").cast("long"))
+    return A.merge_runs(m["word_runs"], ["doc_id", "para"], ["font", "b"]).withColumn("span", F.col("span").cast("long"))
 
 
-@query("render_resolution", "A19", "SELECT doc_id, min(sz) FILTER (WHERE sz > 0) AS smallest, CASE WHEN min(sz) FILTER (WHERE sz > 0) >= 8 THEN 96 ELSE 110 END::BIGINT AS dpi FROM runs GROUP BY doc_id")
+@query("render_resolution", "A19", "SELECT doc_id, min(sz) FILTER (WHERE sz > 0) AS smallest, CASE WHEN min(sz) FILTER (WHERE sz > 0) >= 8 THEN 96 ELSE 110 END::BIGINT AS dpi FROM word_runs GROUP BY doc_id")
 def render_resolution(m):
-    return A.render_class(m["runs"], ["doc_id"])
+    return A.render_class(m["word_runs"], ["doc_id"])
 
 
 _COLOURS = """SELECT p_partkey AS id, upper(substr(md5(p_name), 1, 6)) AS hex, CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE upper(substr(md5(p_brand), 1, 6)) END AS other,
