@@ -81,7 +81,7 @@ SELECT concat('deck', CAST(deckno AS STRING)) AS deck,
 """
 
 
-@query("shape_counts", "C5", "WITH parts AS (" + _PARTS.replace("concat('deck', CAST(deckno AS STRING))", "'deck' || deckno") + """ FROM shapes_gt)
+@query("shape_counts", "C5", "WITH names AS (" + _PARTS.replace("concat('deck', CAST(deckno AS STRING))", "'deck' || deckno") + """ FROM shapes_gt)
 SELECT deck, count(*) FILTER (WHERE regexp_full_match(part, 'ppt/slides/slide[0-9]+\\.xml')) AS slides,
  count(*) FILTER (WHERE starts_with(part, 'ppt/media/')) AS media,
  count(*) FILTER (WHERE regexp_full_match(part, 'ppt/charts/chart[0-9]+\\.xml')) AS charts,
@@ -89,7 +89,7 @@ SELECT deck, count(*) FILTER (WHERE regexp_full_match(part, 'ppt/slides/slide[0-
  count(*) FILTER (WHERE starts_with(part, 'ppt/embeddings/')) AS embeddings,
  count(*) FILTER (WHERE starts_with(part, 'ppt/notesSlides/notesSlide')) AS notes,
  count(*) FILTER (WHERE starts_with(part, 'ppt/slideLayouts/slideLayout')) AS layouts
-FROM parts GROUP BY deck""")
+FROM names GROUP BY deck""")
 def shape_counts(m):
     return C.shape_counts(m.sql(_PARTS + " FROM {shapes_gt}"))
 
