@@ -198,7 +198,7 @@ def drop_steps(effects: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFra
 
 
 def blank_slides(shapes: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Delete every top-level shape of a page except placeholders' groups of none."""
+    """Delete every top-level shape of a page, and with containers what is inside them."""
     steps = shapes.where(F.col("grp").isNull()).join(pages, ["deck", "slide"]).select(*KEY, "deg")
     return delete(shapes, steps)
 
