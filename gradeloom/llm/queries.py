@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import toxicity
+from gradeloom.llm import line_dedup, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_line_dedup", """
+    WITH pages AS (SELECT DISTINCT source, text FROM documents WHERE text IS NOT NULL),
+    totals AS (SELECT source, count(*) AS total FROM pages GROUP BY source),
+    lines AS (SELECT DISTINCT source, text, trim(line, ' ' || chr(9) || chr(13)) AS line
+              FROM (SELECT source, text, unnest(string_split(text, chr(10))) AS line FROM pages)),
+    common AS (SELECT l.source, l.line FROM lines l JOIN totals t ON l.source IS NOT DISTINCT FROM t.source
+               WHERE l.line <> '' GROUP BY l.source, l.line, t.total HAVING count(*) >= 3 AND count(*) > 0.05 * t.total),
+    cut AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+                   unnest(range(1, len(string_split(text, chr(10))) + 1)) AS place FROM documents),
+    marked AS (SELECT cut.*, common.line IS NOT NULL AS gone FROM cut
+               LEFT JOIN common ON cut.source IS NOT DISTINCT FROM common.source
+                               AND trim(cut.line, ' ' || chr(9) || chr(13)) = common.line)
+    SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '') AS text,
+           CAST(count(*) AS INTEGER) AS lines_before, CAST(count(*) FILTER (WHERE gone) AS INTEGER) AS lines_dropped
+    FROM marked GROUP BY doc_id""")
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the boilerplate lines of its source."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return line_dedup.clean(documents, "source", ratio=0.05, least_pages=3).drop("source")
+
+
+@query("op5_simhash_near_dedup")
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document: 3-word shingles, 64 bits, at most 3 bits apart."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, within=3)
+
+
 @query("op10_toxicity")
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every whole text; labels are learned outside the held-out third only."""
