@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from gradeloom.llm import toxicity
+from gradeloom.llm import decontamination, line_dedup, packing, simhash, toxicity
 from gradeloom.llm.common import written
 
 
@@ -13,7 +14,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), threshold=0.7)
 
 
-STAGES = [("toxicity", drop_toxic)]
+def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 2: lines that repeat over a source go, documents stay."""
+    return line_dedup.clean_documents(docs, host="source", ratio=0.05, least_pages=3)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 3: one document of each group of exact and near copies stays."""
+    return simhash.one_of_each_group(docs, shingle=5, least=0.8)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 4: documents that hold a benchmark item go."""
+    return decontamination.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), least=0.8)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Stage 5: what is left, as token sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), capacity=2048)
+
+
+STAGES = [("toxicity", drop_toxic), ("line dedup", drop_boilerplate), ("SimHash near-dedup", drop_near_copies),
+          ("benchmark decontamination", drop_leaks), ("best-fit packing", pack)]
 
 #: Compression, near copies, alignment and the genetic search are not SQL.
 ORACLE_SQL = None

@@ -24,7 +24,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.llm.common import components, text_batches, written
@@ -194,10 +194,13 @@ def _hadamard(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def allocated(n: int, within: int, blocks: list[tuple[int, ...]], shares: list[np.ndarray], most: int = 3) -> list[Part]:
-    """The cheapest parts (runs of blocks, up to 64 bits) and thresholds whose sum of t + 1 exceeds ``within``."""
+def allocated(n: int, within: int, blocks: list[tuple[int, ...]], shares: list[np.ndarray], most: int = 3, together: int | None = None) -> list[Part]:
+    """The cheapest parts and thresholds whose sum of t + 1 exceeds ``within``.
+
+    A part is a run of ``together`` blocks, or of as many as are cheapest, up to 63 bits.
+    """
     best: tuple[float, list[Part]] | None = None
-    for run in range(1, len(blocks) + 1):
+    for run in [together] if together else range(1, len(blocks) + 1):
         parts = [sum(blocks[i:i + run], ()) for i in range(0, len(blocks), run)]
         if max(map(len, parts)) > 63:
             break
@@ -227,21 +230,25 @@ def allocated(n: int, within: int, blocks: list[tuple[int, ...]], shares: list[n
     return best[1]
 
 
-def plan_parts(prints: DataFrame, *, bits: int, within: int, block_bits: int = 16) -> list[Part]:
+def plan_parts(prints: DataFrame, *, bits: int, within: int, block_bits: int = 16, together: int | None = None) -> list[Part]:
     n = prints.count()
     count = -(-bits // block_bits)
     widths = [bits // count + (i < bits % count) for i in range(count)]
     blocks = grouped_bits(bit_counts(prints, bits), n, widths)
-    return allocated(n, within, blocks, distance_shares(prints, bits, blocks))
+    return allocated(n, within, blocks, distance_shares(prints, bits, blocks), together=together)
 
 
 # ---------------------------------------------------------------- probing and verifying
 
-def probes(prints: DataFrame, parts: list[Part], bits: int) -> DataFrame:
-    """(part, value, node, fp): one row per fingerprint, part and value within the part's threshold."""
+def probes(prints: DataFrame, parts: list[Part], bits: int, carried: int) -> DataFrame:
+    """(part, value, node, fp): one row per fingerprint, part and value within the part's threshold.
+
+    ``fp`` is the first ``carried`` bits.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = matrix(batch.column("fp"), bits)
+            carry = pa.array([r.tobytes() for r in rows[:, :carried // 8]], pa.binary())
             for i, part in enumerate(parts):
                 if part.threshold < 0:
                     continue
@@ -250,14 +257,14 @@ def probes(prints: DataFrame, parts: list[Part], bits: int) -> DataFrame:
                     for flips in combinations(range(width), e):
                         mask = np.uint64(sum(1 << f for f in flips))
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(exact), i), pa.int32()), pa.array((exact ^ mask).astype(np.int64)), batch.column("node"), batch.column("fp")],
+                            [pa.array(np.full(len(exact), i), pa.int32()), pa.array((exact ^ mask).astype(np.int64)), batch.column("node"), carry],
                             ["part", "value", "node", "fp"])
 
     return prints.select("node", "fp").mapInArrow(run, "part int, value long, node long, fp binary")
 
 
-def _forest(keys: np.ndarray, nodes: np.ndarray, rows: np.ndarray, within: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of a spanning forest, closest pairs first, of rows with equal keys (sorted) within the distance."""
+def _forest(keys: np.ndarray, nodes: np.ndarray, rows: np.ndarray, within: int, forests: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of edge-disjoint spanning forests, closest pairs first, of rows with equal keys (sorted) within the distance."""
     n = len(keys)
     wide = np.ascontiguousarray(rows).view(np.uint64)
     size_after = np.zeros(n, np.int64)  # rows of the same key that follow
@@ -277,36 +284,44 @@ def _forest(keys: np.ndarray, nodes: np.ndarray, rows: np.ndarray, within: int)
     if not left:
         return nodes[:0], nodes[:0]
     a, b, d = np.concatenate(left), np.concatenate(right), np.concatenate(far)
-    root, took_a, took_b = np.arange(n), [], []
-    for level in np.unique(d):
-        x, y = a[d == level], b[d == level]
-        while True:
-            open_ = (root[x] != root[y]) & (nodes[x] != nodes[y])
-            x, y = x[open_], y[open_]
-            if not len(x):
-                break
-            # each root takes one link to a smaller root; the rest is looked at again
-            high, low = np.maximum(root[x], root[y]), np.minimum(root[x], root[y])
-            _, first = np.unique(high, return_index=True)
-            took_a.append(x[first])
-            took_b.append(y[first])
-            root[high[first]] = low[first]
-            while (root != root[root]).any():
-                root = root[root]
+    other = nodes[a] != nodes[b]
+    a, b, d = a[other], b[other], d[other]
+    took_a, took_b = [], []
+    for _ in range(forests):
+        root, used = np.arange(n), np.zeros(len(a), bool)
+        for level in np.unique(d):
+            at = np.flatnonzero(d == level)
+            while True:
+                at = at[root[a[at]] != root[b[at]]]
+                if not len(at):
+                    break
+                # each root takes one link to a smaller root; the rest is looked at again
+                x, y = root[a[at]], root[b[at]]
+                _, first = np.unique(np.maximum(x, y), return_index=True)
+                used[at[first]] = True
+                root[np.maximum(x, y)[first]] = np.minimum(x, y)[first]
+                while (root != root[root]).any():
+                    root = root[root]
+        took_a.append(a[used])
+        took_b.append(b[used])
+        a, b, d = a[~used], b[~used], d[~used]
     if not took_a:
         return nodes[:0], nodes[:0]
     return nodes[np.concatenate(took_a)], nodes[np.concatenate(took_b)]
 
 
-def links(prints: DataFrame, *, bits: int, within: int, verify: int | None = None, block_bits: int = 16) -> DataFrame:
+def links(prints: DataFrame, *, bits: int, within: int, verify: int | None = None, block_bits: int = 16,
+          together: int | None = None, carried: int | None = None, forests: int = 1) -> DataFrame:
     """(a, b): links that connect what fingerprints within the distance connect.
 
     ``prints`` has ``node`` (long, unique) and ``fp`` (binary).  ``within`` is the distance up to which
-    every pair is sure to be found, ``verify`` (``within`` if not given) the largest one accepted.
+    every pair is sure to be found, ``verify`` (``within`` if not given) the largest one accepted among
+    the first ``carried`` bits (all, if not given).  A caller that goes on to reject links by another
+    measure asks for several edge-disjoint ``forests``.
     """
-    parts = plan_parts(prints, bits=bits, within=within, block_bits=block_bits)
-    verify = within if verify is None else verify
-    rows = probes(prints, parts, bits)
+    parts = plan_parts(prints, bits=bits, within=within, block_bits=block_bits, together=together)
+    verify, carried = within if verify is None else verify, carried or bits
+    rows = probes(prints, parts, bits, carried)
     hot = written(rows.groupBy("part", "value").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
                   .select("part", "value", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "hot-buckets")
     if hot.count() <= 100_000:
@@ -322,7 +337,7 @@ def links(prints: DataFrame, *, bits: int, within: int, verify: int | None = Non
 
         def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
             nodes = table.column("node").to_numpy()
-            fps = matrix(table.column("fp").combine_chunks(), bits)
+            fps = matrix(table.column("fp").combine_chunks(), carried)
             change = np.zeros(len(nodes), bool)
             for c in ("part", "value", "x", "y"):
                 v = table.column(c).to_numpy()
@@ -337,7 +352,7 @@ def links(prints: DataFrame, *, bits: int, within: int, verify: int | None = Non
             slot = np.cumsum(counts.astype(np.int64) ** 2) // 4_000_000
             bounds = np.searchsorted(slot[keys], np.unique(slot))
             for lo, hi in zip(bounds, np.append(bounds[1:], len(keys)), strict=True):
-                a, b = _forest(keys[lo:hi], nodes[lo:hi], fps[lo:hi], verify)
+                a, b = _forest(keys[lo:hi], nodes[lo:hi], fps[lo:hi], verify, forests)
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
@@ -390,3 +405,52 @@ def near_duplicates(documents: DataFrame, *, shingle: int = 3, within: int = 3)
     smallest = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     named = labelled.join(smallest, "component").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
+
+
+def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """(node, shingles) of ``texts(node, text)``: the distinct shingles as sorted 32-bit hashes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_batches(batches, "text"):
+            sets = [np.unique(shingle_hashes(words_of(t), shingle).astype(np.uint32).view(np.int32)) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int32()))], ["node", "shingles"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, shingles array<int>")
+
+
+def one_of_each_group(documents: DataFrame, *, shingle: int = 5, least: float = 0.8, bits: int = 512, within: int = 25,
+                      block_bits: int = 10, together: int = 2, carried: int = 128, candidate_share: float = 0.22, forests: int = 3) -> DataFrame:
+    """``documents`` with one row of every group of near copies, in their own columns.
+
+    Exact copies are one node.  Nodes are linked if their sets of ``shingle``-word runs have a Jaccard
+    similarity of ``least`` or more; candidates come from SimHash over the distinct words, whose angle
+    moves far less than that of long runs when a word is edited: any pair within ``within`` bits is
+    a candidate, and so is any that agrees on a part and differs in at most ``candidate_share`` of the
+    first ``carried`` bits.  At 0.8 about 4 to 8 % of the bits differ; of two such texts over 99 % agree on
+    one of the 26 parts of about 20 bits.
+    Of a group, the row with the smallest ``doc_id`` stays (nulls last); of repeated rows, one.
+    Null texts are copies of one another, apart from empty ones.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
+    digest = F.unhex(F.coalesce(F.md5("text"), F.lit("00")))
+    marked = documents.select("doc_id", "text").withColumn("digest", digest)
+    prints = fingerprints(marked, shingle=1, bits=bits, distinct=True)
+    classes = written(prints.groupBy("digest").agg(F.min(key).alias("first"), F.any_value("fp").alias("fp"))
+                      .withColumn("node", F.monotonically_increasing_id()), "classes")
+    pairs = written(links(classes, bits=bits, within=within, verify=int(candidate_share * carried),
+                          block_bits=block_bits, together=together, carried=carried, forests=forests).distinct(), "candidates")
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = classes.join(ends, "node").select("node", F.col("digest").alias("_d"), F.col("first.id").alias("_id"))
+    texts = documents.select("doc_id", "text", digest.alias("_digest"))
+    texts = texts.join(wanted, texts["_digest"].eqNullSafe(wanted["_d"]) & texts["doc_id"].eqNullSafe(wanted["_id"]))
+    sets = written(shingle_sets(texts, shingle).dropDuplicates(["node"]), "shingle-sets")
+    left, right = (sets.select(F.col("node").alias(e), F.col("shingles").alias(f"s{e}")) for e in "ab")
+    shared = F.size(F.array_intersect("sa", "sb"))
+    linked = (pairs.join(left, "a").join(right, "b")
+              .where(shared >= least * (F.size("sa") + F.size("sb") - shared)).select("a", "b"))
+    joined = components(written(linked, "links"))
+    kept = (classes.join(joined, "node", "left").groupBy(F.coalesce("component", "node").alias("component"))
+            .agg(F.min_by(F.struct(F.col("digest").alias("_d"), F.col("first.id").alias("_id")), F.struct("first", "node")).alias("k")).select("k.*"))
+    held = documents.withColumn("_digest", digest)
+    chosen = held.join(kept, (F.col("_digest") == F.col("_d")) & F.col("doc_id").eqNullSafe(F.col("_id")))
+    alone = chosen.withColumn("_n", F.row_number().over(Window.partitionBy("_digest", "_id").orderBy("_digest")))
+    return alone.where("_n = 1").select(*documents.columns)
