@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import decontamination, line_dedup, packing, simhash, toxicity
+from gradeloom.llm import decontamination, line_dedup, packing, simhash, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_token_counts")
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text, as sentencepiece counts them."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "text")
+    counted = token_counts.count_tokens(documents, public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
 @query("op2_line_dedup", """
     WITH pages AS (SELECT DISTINCT source, text FROM documents WHERE text IS NOT NULL),
     totals AS (SELECT source, count(*) AS total FROM pages GROUP BY source),
