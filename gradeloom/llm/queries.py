@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import decontamination, line_dedup, packing, simhash, token_counts, toxicity
+from gradeloom.llm import decontamination, line_dedup, packing, simhash, token_counts, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,6 +69,18 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, within=3)
 
 
+@query("op6_warc", """
+    WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+    d AS (SELECT page_id, url, strlen(html) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+    r AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+    SELECT page_id, url AS target, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+           CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to FROM r""")
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as sharded archives and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @query("op8_best_fit_packing")
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
