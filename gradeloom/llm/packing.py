@@ -28,47 +28,47 @@ from pyspark.sql import types as T
 
 from gradeloom.llm.common import text_batches, written
 
-#: White space before a blank: the cut at that blank could change the tokens around it.
-UNSAFE = re.compile(r"\s ")
+#: Characters that every Unicode version classes alike.
+PLAIN = re.compile("[\\t\\n\\r -~\\u00a1-\\u00ac\\u00ae-\\u017f]*")
+#: The byte-level pattern (a fixed value of this kind of tokenizer).
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 class Encoder:
-    """Token ids as little-endian 32-bit numbers, by the library, with words kept in memory.
+    """Token ids as little-endian 32-bit numbers: those of the tokenizers library.
 
-    A blank between two other characters always starts a new word of the byte-level pattern, so a text
-    is the tokens of its blank-led words.  Texts with longer white space runs around blanks or with
-    special strings go to the library whole.
+    Plain texts are merged by the same ranks in tiktoken, which is several times faster; texts with
+    special strings or with characters whose class depends on the Unicode version go to tokenizers.
     """
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import tiktoken
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
-        self.keep = keep
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        split: list[list[str] | None] = []
-        for text in texts:
-            if UNSAFE.search(text) or any(s in text for s in self.special):
-                split.append(None)
-            else:
-                first, *rest = text.split(" ")
-                split.append([first, *[" " + w for w in rest]] if first else [" " + w for w in rest])
-        words = self.words
-        new = list({w for s in split if s is not None for w in s if w not in words})
-        if len(words) + len(new) > self.keep:
-            words.clear()
-            new = list({w for s in split if s is not None for w in s})
-        words.update(zip(new, self._encode(new), strict=True))
-        whole = iter(self._encode([t for t, s in zip(texts, split, strict=True) if s is None]))
-        look = words.__getitem__
-        return [next(whole) if s is None else b"".join(map(look, s)) for s in split]
+        letters = sorted(ByteLevel.alphabet())
+        byte_of = {c: ord(c) for c in letters if ord(c) < 256}
+        byte_of |= dict(zip((c for c in letters if ord(c) >= 256), (b for b in range(256) if b not in byte_of.values()), strict=True))
+        tokens = {bytes(byte_of[c] for c in t): i for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items()}
+        self.ranked = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=tokens, special_tokens={})
+
+    def __call__(self, text: str) -> bytes:
+        if PLAIN.fullmatch(text) and not any(s in text for s in self.special):
+            return self.ranked.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """One per worker process, so that tasks share it."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def pieces(documents: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 0) -> DataFrame:
@@ -78,11 +78,11 @@ def pieces(documents: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(tokenizer)
+        encode = encoder(tokenizer)
         for batch in text_batches(batches, "text"):
             row, piece, start, length, crc = [], [], [], [], []
-            for i, ids in enumerate(encode([t or "" for t in batch.column("text").to_pylist()])):
-                ids += end
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                ids = encode(text or "") + end
                 n = len(ids) // 4
                 at, k = 0, 0
                 while at < n:
