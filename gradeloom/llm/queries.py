@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import decontamination, line_dedup, packing, simhash, token_counts, toxicity, warc
+from gradeloom.llm import decontamination, embedding_dedup, line_dedup, packing, simhash, token_counts, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -81,6 +81,12 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+@query("op7_embedding_near_dedup")
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and groups of all vectors at a cosine of 0.9 or more."""
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.9)
+
+
 @query("op8_best_fit_packing")
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
