@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import decontamination, embedding_dedup, line_dedup, packing, simhash, token_counts, toxicity, warc
+from gradeloom.llm import decontamination, embedding_dedup, license_scan, line_dedup, packing, simhash, token_counts, toxicity, url_filter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -63,6 +63,12 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), least=0.8, gram=3)
 
 
+@query("op4_license_scan", license_scan.oracle())
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence sentences and licences of every whole text."""
+    return license_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 @query("op5_simhash_near_dedup")
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document: 3-word shingles, 64 bits, at most 3 bits apart."""
@@ -93,6 +99,36 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=2048)
 
 
+#: Action, host, path.
+URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+             ("allow", "com", "/fr/"), ("block", "com", "/de/")]
+
+
+@query("op9_url_filter", """
+    WITH RECURSIVE rules(action, host, path) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+        ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+    links AS (SELECT DISTINCT url, regexp_extract(html, '(?i)<link rel="canonical" href="([a-z]+://[^"]*)"', 1) AS target
+              FROM pages WHERE url IS NOT NULL AND html ILIKE '%rel="canonical"%'),
+    urls AS (SELECT DISTINCT url FROM (SELECT url FROM pages UNION ALL SELECT target FROM links WHERE target <> '') u WHERE url IS NOT NULL),
+    rests AS (SELECT url, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM urls),
+    hosts AS (SELECT url, rest, regexp_extract(rest, '^[^/?#]*') AS h FROM rests),
+    parsed AS (SELECT url, translate(h, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                      regexp_extract(substr(rest, length(h) + 1), '^[^?#]*') AS path FROM hosts),
+    ranked AS (SELECT p.url, r.host || r.path AS rule, r.action,
+                      row_number() OVER (PARTITION BY p.url ORDER BY length(r.host || r.path) DESC, r.action) AS n
+               FROM parsed p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)),
+    best AS (SELECT url, rule, action FROM ranked WHERE n = 1),
+    edges AS (SELECT url AS a, target AS b FROM links WHERE target <> '' UNION SELECT target, url FROM links WHERE target <> ''),
+    spread(url) AS (SELECT url FROM best WHERE action = 'block' UNION SELECT edges.b FROM edges JOIN spread ON edges.a = spread.url)
+    SELECT p.page_id, coalesce(q.host, '') AS host, coalesce(q.path, '') AS path, best.rule,
+           coalesce(best.action, CASE WHEN s.url IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+    FROM pages p LEFT JOIN parsed q ON p.url = q.url LEFT JOIN best ON p.url = best.url
+    LEFT JOIN (SELECT DISTINCT url FROM spread) s ON p.url = s.url""")
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 @query("op10_toxicity")
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every whole text; labels are learned outside the held-out third only."""
