@@ -36,8 +36,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def column_or_null(df: DataFrame, name: str, kind: str):
-    return F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)
+def boxed(df: DataFrame, *leave: str):
+    """The row's columns but ``leave`` as one struct, so that no column's name meets an operator's own."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns if c not in leave))
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:

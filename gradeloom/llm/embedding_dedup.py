@@ -206,6 +206,8 @@ def link(nodes: DataFrame, *, least: float, shard_rows: int, most_home: int, sam
          beam: int, degree: int, nearest: int, pool: int, alpha: float, medoids: int) -> DataFrame:
     """(node, linked, other) of ``nodes(node, vec, n)``: per query and shard the weight in range, or a forest link."""
     total = nodes.count()
+    if not total:
+        return nodes.select("node", F.col("n").alias("linked"), F.col("node").alias("other"))
     sample = unit([r["vec"] for r in nodes.orderBy(F.xxhash64("node")).limit(sample_rows).select("vec").collect()])
     k = max(1, min(-(-total // shard_rows), len(sample) // 8))
     centres = centroids_of(sample, k)

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gradeloom.llm.common import boxed
+
 #: Known licence sentences, normalised, by identifier (fixed values).
 SENTENCES = {
     "AllRights": "all rights reserved",
@@ -109,13 +111,13 @@ def matched(identifiers: Column, rules: list[tuple[str, str]] | None = None) ->
 
 def scan(documents: DataFrame) -> DataFrame:
     """``documents`` with ``sentences`` (identifiers in order), ``licenses`` (distinct, sorted) and ``n_licenses``."""
-    names = [c for c in documents.columns if c not in ("sentences", "licenses", "n_licenses")]
     # a text without any hint has no known sentence
     hinted = F.translate(F.col("text"), UPPER, LOWER).rlike("|".join(h.replace(" ", "[^a-z0-9]+") for h in HINTS))
     marks = F.coalesce(F.when(hinted, identified(F.col("text"))), F.lit(""))
     found = F.array_sort(F.array_distinct(F.regexp_extract_all(F.col("_m"), F.lit(r"\{([^}]*)\}"), 1)))
-    return (documents.withColumn("_s", marks).withColumn("_m", matched(F.col("_s")))
-            .select(*(F.col(f"`{c}`") for c in names), F.array_join(F.regexp_extract_all("_s", F.lit("<([^>]*)>"), 1), " ").alias("sentences"),
+    work = documents.select(boxed(documents, "sentences", "licenses", "n_licenses").alias("_row"), marks.alias("_s"))
+    return (work.withColumn("_m", matched(F.col("_s")))
+            .select("_row.*", F.array_join(F.regexp_extract_all("_s", F.lit("<([^>]*)>"), 1), " ").alias("sentences"),
                     F.array_join(found, ",").alias("licenses"), F.size(found).alias("n_licenses")))
 
 

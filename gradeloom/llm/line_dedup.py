@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gradeloom.llm.common import boxed
+
 BLANKS = " \t\r"
 
 
@@ -44,15 +46,17 @@ def boilerplate(pages: DataFrame, host: str = "source", *, ratio: float = 0.05,
 
 def clean(pages: DataFrame, host: str = "source", *, ratio: float = 0.05, least_pages: int = 3) -> DataFrame:
     """``pages`` with boilerplate lines out of ``text``, and ``lines_before``, ``lines_dropped``."""
-    names = [c for c in pages.columns if c not in ("lines_before", "lines_dropped")]
+    added = ("lines_before", "lines_dropped")
     drop = boilerplate(pages, host, ratio=ratio, least_pages=least_pages)
-    split = F.split("text", "\n")
+    split = F.split("_text", "\n")
     keep = F.filter(split, lambda x: ~F.array_contains("_lines", F.xxhash64(bare(x))) | (bare(x) == ""))
-    joined = pages.join(drop, pages[host].eqNullSafe(drop["_host"]), "left").withColumn(
-        "_kept", F.when(F.col("_lines").isNotNull() & F.col("text").isNotNull(), keep))
+    work = pages.select(boxed(pages, *added).alias("_row"), F.col("text").alias("_text"), F.col(host).alias("_site"))
+    joined = work.join(drop, F.col("_site").eqNullSafe(F.col("_host")), "left").withColumn(
+        "_kept", F.when(F.col("_lines").isNotNull() & F.col("_text").isNotNull(), keep))
     return joined.select(
-        *(F.coalesce(F.array_join("_kept", "\n"), "text").alias("text") if c == "text" else F.col(f"`{c}`") for c in names),
-        F.when(F.col("text").isNull(), 0).otherwise(F.size(split)).alias("lines_before"),
+        *(F.coalesce(F.array_join("_kept", "\n"), "_text").alias("text") if c == "text" else F.col("_row").getField(c).alias(c)
+          for c in pages.columns if c not in added),
+        F.when(F.col("_text").isNull(), 0).otherwise(F.size(split)).alias("lines_before"),
         F.when(F.col("_kept").isNull(), 0).otherwise(F.size(split) - F.size("_kept")).alias("lines_dropped"))
 
 
@@ -61,4 +65,4 @@ def clean_documents(documents: DataFrame, **how) -> DataFrame:
     cleaned = clean(documents, **how)
     if "n_chars" in documents.columns:
         cleaned = cleaned.withColumn("n_chars", F.when(F.col("lines_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return cleaned.select(*documents.columns)
+    return cleaned.select(*(f"`{c}`" for c in documents.columns))

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.llm.common import components, written
+from gradeloom.llm.common import boxed, components, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))"
@@ -63,6 +63,8 @@ def best_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(host, path, rule, action) for the distinct ``host`` and ``path`` of ``urls`` that some rule fits."""
     known = rules.select("action", F.translate(F.col("host"), UPPER, LOWER).alias("_rh"), F.col("path").alias("_rp"))
     lengths = sorted(r["n"] for r in known.select(F.length("_rp").alias("n")).distinct().collect())
+    if not lengths:
+        return urls.select("host", "path", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("action")).where("false")
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
     prefixes = F.filter(F.array(*(F.when(F.length("path") >= n, F.substring("path", 1, n)) for n in lengths)), lambda p: p.isNotNull())
@@ -82,7 +84,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] | DataFrame, l
     spark = pages.sparkSession
     if not isinstance(rules, DataFrame):
         rules = spark.createDataFrame(list(rules), "action string, host string, path string")
-    parsed = with_host_and_path(pages.drop("rule", "verdict"))
+    parsed = with_host_and_path(pages.select(boxed(pages, "host", "path", "rule", "verdict").alias("_row"), "url"))
     links = page_links(pages.select("url", "html")) if links is None else links.select("url", "target")
     ends = with_host_and_path(links.where("url is not null and target is not null"))
     ends = ends.select(alias_key(F.col("url"), F.col("host")).alias("a"), "target")
@@ -99,5 +101,4 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] | DataFrame, l
     out = (parsed.join(best, ["host", "path"], "left").withColumn("_key", key)
            .join(guilty.withColumn("_hit", F.lit(True)), "_key", "left"))
     verdict = F.coalesce("action", F.when(F.col("_hit"), "block").otherwise("allow"))
-    names = [c for c in parsed.columns if c not in ("host", "path")]
-    return out.select(*(F.col(f"`{c}`") for c in names), "host", "path", "rule", verdict.alias("verdict"))
+    return out.select("_row.*", "host", "path", "rule", verdict.alias("verdict"))
