@@ -7,40 +7,67 @@ leaves no delta row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.functions.geometry import EMU
 
 KEY = ["deck", "slide", "path"]
+Now = Callable[[str], Column]  # a column's value so far
+Step = Callable[[str], Column]  # a parameter of the step
 DELTA = ["deck", "slide", "path", "op", "deg", "fact", "was", "now"]
 
 
-def _delta(rows: DataFrame, op: str, fact: str, was: Column, now: Column) -> DataFrame:
-    changed = ~was.eqNullSafe(now)
-    return rows.where(changed).select(*KEY, F.lit(op).alias("op"), "deg", F.lit(fact).alias("fact"),
-                                      was.cast("string").alias("was"), now.cast("string").alias("now"))
+LOG_ROW = "array<struct<op:string,deg:string,fact:string,was:string,now:string>>"
+
 
+def _change(shapes: DataFrame, steps: DataFrame, edits: dict[str, dict[str, Callable[[Now, Step], Column]]]) -> tuple[DataFrame, DataFrame]:
+    """Fold each shape's steps in their order (``step_no``, then ``deg``) and log every value that really changed.
 
-def _change(shapes: DataFrame, steps: DataFrame, op: str, columns: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """Set columns on stepped rows and log each value that really changed."""
+    ``edits`` gives, by operation, a column's new value from the values so far and the step.  Steps carry
+    ``op`` where there are several.  A shape stays one row however many steps it has.
+    """
+    only = next(iter(edits)) if len(edits) == 1 else None
     extra = [c for c in steps.columns if c not in KEY]
-    joined = shapes.join(steps.withColumn("__hit", F.lit(True)), KEY, "left")
-    hit = F.coalesce("__hit", F.lit(False))
-    new = joined.withColumns({f"__n_{c}": F.when(hit, v).otherwise(F.col(c)) for c, v in columns.items()})
-    logs = [_delta(new.where(hit), op, c, F.col(c), F.col(f"__n_{c}")) for c in columns]
-    log = logs[0]
-    for more in logs[1:]:
-        log = log.unionByName(more)
-    out = new.withColumns({c: F.col(f"__n_{c}") for c in columns}).drop("__hit", *extra, *[f"__n_{c}" for c in columns])
+    order = [c for c in ("step_no", "deg") if c in extra]
+    row = F.struct(*order, *[c for c in extra if c not in order])
+    asked = steps.groupBy(*KEY).agg(F.array_sort(F.collect_list(row)).alias("__steps"))
+    columns = list(dict.fromkeys(c for own in edits.values() for c in own))
+    kinds = dict(shapes.dtypes)
+    state = F.struct(*[F.col(c).alias(c) for c in columns], F.array().cast(LOG_ROW).alias("log"))
+
+    def fold(now: Column, step: Column) -> Column:
+        def value(c: str) -> Column:
+            return now[c] if c in columns else F.col(c)
+
+        made, noted = {}, []
+        for c in columns:
+            new = now[c]
+            for op, own in edits.items():
+                if c in own:
+                    changed = own[c](value, step.getField).cast(kinds[c])
+                    new = changed if only else F.when(step["op"] == op, changed).otherwise(new)
+            made[c] = new
+            op = F.lit(only) if only else step["op"]
+            noted.append(F.struct(op.alias("op"), step["deg"].alias("deg"), F.lit(c).alias("fact"), now[c].cast("string").alias("was"), new.cast("string").alias("now")))
+        log = F.filter(F.array(*noted), lambda x: ~x["was"].eqNullSafe(x["now"]))
+        return F.struct(*[made[c].alias(c) for c in columns], F.concat(now["log"], log).alias("log"))
+
+    joined = shapes.join(asked, KEY, "left").withColumn("__done", F.when(F.col("__steps").isNotNull(), F.aggregate("__steps", state, fold)))
+    out = joined.withColumns({c: F.when(F.col("__done").isNotNull(), F.col("__done")[c]).otherwise(F.col(c)) for c in columns}).select(*shapes.columns)
+    log = joined.where(F.col("__done").isNotNull()).select(*KEY, F.explode(F.col("__done")["log"]).alias("x")).select(*KEY, "x.op", "x.deg", "x.fact", "x.was", "x.now")
     return out, log
 
 
 def delete(shapes: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Remove rows by path; what sits inside a removed container goes with it."""
-    own = shapes.join(steps.select(*KEY, "deg"), KEY)
-    inside = shapes.join(steps.select("deck", "slide", F.col("path").alias("grp"), "deg"), ["deck", "slide", "grp"])
-    gone = own.select(*KEY, "deg", "kind").unionByName(inside.select(*KEY, "deg", "kind"))
+    """Remove rows by path; what sits inside a removed container goes with it, at any depth."""
+    parts = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda k: F.array_join(F.slice(parts, 1, k), "/"))
+    roots = F.array_distinct(F.array_compact(F.concat(above, F.array("grp"))))
+    lines = shapes.select(*KEY, "kind", F.explode(roots).alias("__root"))
+    gone = lines.join(steps.select("deck", "slide", F.col("path").alias("__root"), "deg"), ["deck", "slide", "__root"])
     left = shapes.join(gone.select(*KEY).distinct(), KEY, "left_anti")
     log = gone.groupBy(*KEY).agg(F.min("deg").alias("deg"), F.first("kind").alias("was")).select(
         *KEY, F.lit("delete").alias("op"), "deg", F.lit("shape").alias("fact"), "was", F.lit(None).cast("string").alias("now"))
@@ -53,80 +80,91 @@ def scatter(shapes: DataFrame, steps: DataFrame, amplitude_in: float, seed: int)
         return F.pmod(F.xxhash64(F.lit(seed), F.lit(tag), *KEY), F.lit(2000001)) / 1000000.0 - 1.0
 
     span = amplitude_in * EMU
-    return _change(shapes, steps, "scatter", {
-        "cx": F.col("cx") + (uniform("x") * span).cast("long"), "cy": F.col("cy") + (uniform("y") * span * 0.55).cast("long")})
+    return _change(shapes, steps, {"scatter": {"cx": lambda now, step: now("cx") + (uniform("x") * span).cast("long"),
+                                               "cy": lambda now, step: now("cy") + (uniform("y") * span * 0.55).cast("long")}})
 
 
-def move(shapes: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``steps`` carry dx_in and dy_in in inches."""
-    return _change(shapes, steps, "move", {"cx": F.col("cx") + (F.col("dx_in") * EMU).cast("long"),
-                                           "cy": F.col("cy") + (F.col("dy_in") * EMU).cast("long")})
+def _grown(now: Now, step: Step, side: str) -> Column:
+    return (now(side) * step("factor")).cast("long")
 
 
-def resize(shapes: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Scale by ``factor`` with whole-number truncation; without ``keep_centre`` the top left corner stays."""
-    w, h = (F.col("w") * F.col("factor")).cast("long"), (F.col("h") * F.col("factor")).cast("long")
-    shift = lambda c, old, new: F.when(F.col("keep_centre"), F.col(c)).otherwise(F.col(c) + F.floor((new - F.col(old)) / 2))
-    return _change(shapes, steps, "resize", {"w": w, "h": h, "cx": shift("cx", "w", w), "cy": shift("cy", "h", h)})
+def _corner_kept(axis: str, side: str) -> Callable[[Now, Step], Column]:
+    return lambda now, step: F.when(step("keep_centre"), now(axis)).otherwise(now(axis) + F.floor((_grown(now, step, side) - now(side)) / 2))
 
 
-def swap(shapes: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Exchange the places of ``pairs(deck, slide, path, other, deg)``, one log row per end and axis."""
-    ends = pairs.select("deck", "slide", "path", "other", "deg").unionByName(
-        pairs.select("deck", "slide", F.col("other").alias("path"), F.col("path").alias("other"), "deg"))
-    there = shapes.select("deck", "slide", F.col("path").alias("other"), F.col("cx").alias("to_cx"), F.col("cy").alias("to_cy"))
-    return _change(shapes, ends.join(there, ["deck", "slide", "other"]), "swap", {"cx": F.col("to_cx"), "cy": F.col("to_cy")})
-
-
-def clear_text(shapes: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Empty the text, or keep its first line where ``keep_first`` says so."""
-    first = F.split("plain", " ")[0]
-    return _change(shapes, steps, "clear_text", {"plain": F.when(F.col("keep_first"), first).otherwise("")})
+def _turned(now: Now, step: Step) -> Column:
+    return F.coalesce(F.pmod(now("rot") + step("angle").try_cast("double"), F.lit(360.0)), now("rot"))
 
 
-def set_text(shapes: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return _change(shapes, steps, "set_text", {"plain": F.col("text")})
+#: New values by operation; each step's parameters are columns of the steps.
+EDITS: dict[str, dict[str, Callable[[Now, Step], Column]]] = {
+    # dx_in and dy_in in inches
+    "move": {"cx": lambda now, step: now("cx") + (step("dx_in") * EMU).cast("long"), "cy": lambda now, step: now("cy") + (step("dy_in") * EMU).cast("long")},
+    # scale by factor with whole-number truncation; without keep_centre the top left corner stays
+    "resize": {"cx": _corner_kept("cx", "w"), "cy": _corner_kept("cy", "h"),
+               "w": lambda now, step: _grown(now, step, "w"), "h": lambda now, step: _grown(now, step, "h")},
+    "swap": {"cx": lambda now, step: step("to_cx"), "cy": lambda now, step: step("to_cy")},
+    # empty the text, or keep its first paragraph where keep_first says so
+    "clear_text": {"plain": lambda now, step: F.when(step("keep_first"), F.substring_index(now("plain"), "\n", 1)).otherwise("")},
+    "set_text": {"plain": lambda now, step: step("text")},
+    "set_font": {"font": lambda now, step: F.coalesce(step("new_font"), now("font")), "sz": lambda now, step: F.coalesce(step("new_sz"), now("sz")),
+                 "bold": lambda now, step: F.coalesce(step("new_bold"), now("bold"))},
+    # drop effects and flatten gradients; shapes without either leave no trace
+    "strip_effects": {"effects": lambda now, step: F.lit(None), "fill_type": lambda now, step: F.when(now("fill_type") == "gradient", "solid").otherwise(now("fill_type"))},
+    "recolor": {"fill_type": lambda now, step: F.lit("solid"), "fill_color": lambda now, step: step("color")},
+    "outline": {"line_fill": lambda now, step: F.lit("solid"), "line_color": lambda now, step: step("color"), "line_w": lambda now, step: step("width")},
+    "rotate": {"rot": _turned},
+    "crop": {"crop": lambda now, step: step("new_crop")},
+}
 
 
-def set_font(shapes: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return _change(shapes, steps, "set_font", {"font": F.coalesce("new_font", "font"), "sz": F.coalesce("new_sz", "sz"),
-                                               "bold": F.coalesce("new_bold", "bold")})
+def edit(shapes: DataFrame, steps: DataFrame, op: str) -> tuple[DataFrame, DataFrame]:
+    """One operation of ``EDITS``."""
+    return _change(shapes, steps, {op: EDITS[op]})
 
 
-def strip_effects(shapes: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Drop effects and flatten gradients; shapes without either leave no trace."""
-    return _change(shapes, steps, "strip_effects", {
-        "effects": F.lit(None).cast("string"), "fill_type": F.when(F.col("fill_type") == "gradient", "solid").otherwise(F.col("fill_type"))})
+def apply_recipe(shapes: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``steps`` of several operations (``op``) in one fold; parameters of other operations may be null or absent."""
+    fits = {op: own for op, own in EDITS.items() if op in RECIPE_PARAMETERS and set(RECIPE_PARAMETERS[op]) <= set(steps.columns)}
+    return _change(shapes, steps, fits)
 
 
-def drop_value(shapes: DataFrame, steps: DataFrame, op: str, column: str) -> tuple[DataFrame, DataFrame]:
-    """Null one part out: an equation, a transition, a crop."""
-    return _change(shapes, steps, op, {column: F.lit(None).cast(dict(shapes.dtypes)[column])})
-
+RECIPE_PARAMETERS = {"move": ("dx_in", "dy_in"), "resize": ("factor", "keep_centre"), "clear_text": ("keep_first",), "set_text": ("text",),
+                     "set_font": ("new_font", "new_sz", "new_bold"), "strip_effects": (), "recolor": ("color",), "outline": ("color", "width"), "rotate": ("angle",)}
 
-def recolor(shapes: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return _change(shapes, steps, "recolor", {"fill_type": F.lit("solid"), "fill_color": F.col("color")})
 
-
-def outline(shapes: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return _change(shapes, steps, "outline", {"line_fill": F.lit("solid"), "line_color": F.col("color"), "line_w": F.col("width")})
+def swap(shapes: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Exchange the places of ``pairs(deck, slide, path, other, deg)``, one log row per end and axis."""
+    ends = pairs.select("deck", "slide", "path", "other", "deg").unionByName(
+        pairs.select("deck", "slide", F.col("other").alias("path"), F.col("path").alias("other"), "deg"))
+    there = shapes.select("deck", "slide", F.col("path").alias("other"), F.col("cx").alias("to_cx"), F.col("cy").alias("to_cy"))
+    return edit(shapes, ends.join(there, ["deck", "slide", "other"]), "swap")
 
 
-def rotate(shapes: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    turned = F.pmod(F.col("rot") + F.col("angle").try_cast("double"), F.lit(360.0))
-    return _change(shapes, steps, "rotate", {"rot": F.coalesce(turned, F.col("rot"))})
+def drop_value(shapes: DataFrame, steps: DataFrame, op: str, column: str) -> tuple[DataFrame, DataFrame]:
+    """Null one part out: an equation, a transition, a crop."""
+    return _change(shapes, steps, {op: {column: lambda now, step: F.lit(None)}})
 
 
 def zorder(shapes: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Send to back or bring to front and number the page again; only graded shapes are logged."""
-    joined = shapes.join(steps, KEY, "left")
-    side = F.when(F.col("to") == "back", -1).when(F.col("to") == "front", 1).otherwise(0)
-    order = Window.partitionBy("deck", "slide").orderBy(side, "z", "path")
-    new = joined.withColumn("__z", (F.row_number().over(order) - 1).cast("long"))
-    old = Window.partitionBy("deck", "slide").orderBy("z", "path")
-    new = new.withColumn("__old", (F.row_number().over(old) - 1).cast("long"))
-    log = _delta(new.where(F.col("to").isNotNull()), "zorder", "z", F.col("__old"), F.col("__z"))
-    return new.withColumn("z", F.col("__z")).drop("__z", "__old", "to", "deg"), log
+    """Send to back or bring to front among the siblings; later steps go further, no-ops aren't logged.
+
+    A shape stays within its parent: the parent's places in the drawing order are dealt anew.
+    """
+    number = [c for c in ("step_no",) if c in steps.columns]
+    last = steps.withColumn("__seq", F.row_number().over(Window.partitionBy("deck", "slide").orderBy(*number, "deg", "path")))
+    last = last.groupBy(*KEY).agg(F.max_by(F.struct("to", "deg", "__seq"), "__seq").alias("__s")).select(*KEY, "__s.*")
+    family = [F.col("deck"), F.col("slide"), F.col("grp")]
+    back, front = F.col("to") == "back", F.col("to") == "front"
+    joined = shapes.join(last, KEY, "left")
+    order = Window.partitionBy(*family).orderBy(F.when(back, -1).when(front, 1).otherwise(0), F.when(back, -F.col("__seq")).when(front, F.col("__seq")), "z", "path")
+    placed = (joined.withColumn("__now", (F.row_number().over(order) - 1).cast("long"))
+              .withColumn("__was", (F.row_number().over(Window.partitionBy(*family).orderBy("z", "path")) - 1).cast("long")))
+    log = placed.where(F.col("to").isNotNull() & (F.col("__was") != F.col("__now"))).select(
+        *KEY, F.lit("zorder").alias("op"), "deg", F.lit("z").alias("fact"), F.col("__was").cast("string").alias("was"), F.col("__now").cast("string").alias("now"))
+    slots = placed.select(F.col("deck").alias("__d"), F.col("slide").alias("__p"), F.col("grp").alias("__g"), F.col("__was").alias("__k"), F.col("z").alias("__z"))
+    out = placed.join(slots, (F.col("deck") == F.col("__d")) & (F.col("slide") == F.col("__p")) & F.col("grp").eqNullSafe(F.col("__g")) & (F.col("__now") == F.col("__k")))
+    return out.withColumn("z", F.col("__z")).select(*shapes.columns), log
 
 
 def ungroup(shapes: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -178,11 +216,8 @@ def text_runs(runs: DataFrame, steps: DataFrame, keys: list[str]) -> tuple[DataF
 
 def detach(shapes: DataFrame, steps: DataFrame, nudge_in: float = 0.4) -> tuple[DataFrame, DataFrame]:
     none = F.lit(None).cast("long")
-    return _change(shapes, steps, "detach_connector", {"start_id": none, "end_id": none, "cx": F.col("cx") + int(nudge_in * EMU)})
-
-
-def crop(shapes: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return _change(shapes, steps, "crop", {"crop": F.col("new_crop")})
+    return _change(shapes, steps, {"detach_connector": {"start_id": lambda now, step: none, "end_id": lambda now, step: none,
+                                                        "cx": lambda now, step: now("cx") + int(nudge_in * EMU)}})
 
 
 def drop_steps(effects: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -38,13 +38,13 @@ def damage_scatter(m):
 
 @query("damage_move", "K3", log_sql("move", "qty % 5 = 0", cx="cx + 457200", cy="cy + CASE WHEN ln % 2 = 0 THEN 228600 ELSE 0 END"))
 def damage_move(m):
-    return D.move(m["shapes_gt"], steps(m, "qty % 5 = 0", dx_in=0.5, dy_in="CASE WHEN ln % 2 = 0 THEN CAST(0.25 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END"))[1]
+    return D.edit(m["shapes_gt"], steps(m, "qty % 5 = 0", dx_in=0.5, dy_in="CASE WHEN ln % 2 = 0 THEN CAST(0.25 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END"), "move")[1]
 
 
 @query("damage_resize", "K4", log_sql("resize", "qty % 4 = 0", w="floor(w * 1.3::DOUBLE)::BIGINT", h="floor(h * 1.3::DOUBLE)::BIGINT",
        cx="CASE WHEN ln % 2 = 0 THEN cx ELSE cx + (floor(w * 1.3::DOUBLE)::BIGINT - w) // 2 END", cy="CASE WHEN ln % 2 = 0 THEN cy ELSE cy + (floor(h * 1.3::DOUBLE)::BIGINT - h) // 2 END"))
 def damage_resize(m):
-    return D.resize(m["shapes_gt"], steps(m, "qty % 4 = 0", factor=1.3, keep_centre="ln % 2 = 0"))[1]
+    return D.edit(m["shapes_gt"], steps(m, "qty % 4 = 0", factor=1.3, keep_centre="ln % 2 = 0"), "resize")[1]
 
 
 @query("damage_swap", "K5", "WITH p AS (SELECT a.deck, a.slide, a.path, b.path AS other, 'd' || (a.ln % 5 + 1) AS deg, a.cx, a.cy, b.cx AS ox, b.cy AS oy FROM shapes_gt a JOIN shapes_gt b ON b.deck = a.deck AND b.slide = a.slide AND b.rn = a.rn + 1 WHERE a.rn % 10 = 4), e AS (SELECT deck, slide, path, deg, cx, cy, ox, oy FROM p UNION ALL SELECT deck, slide, other, deg, ox, oy, cx, cy FROM p) SELECT deck, slide, path, 'swap' AS op, deg, 'cx' AS fact, cx::VARCHAR AS was, ox::VARCHAR AS now FROM e WHERE cx <> ox UNION ALL SELECT deck, slide, path, 'swap', deg, 'cy', cy::VARCHAR, oy::VARCHAR FROM e WHERE cy <> oy")
@@ -56,24 +56,26 @@ def damage_swap(m):
     return D.swap(s, pairs)[1]
 
 
-@query("damage_clear_text", "K6", log_sql("clear_text", "qty % 3 = 0", plain="CASE WHEN ln % 2 = 0 THEN string_split(plain, ' ')[1] ELSE '' END"))
+@query("damage_clear_text", "K6", "WITH hit AS (SELECT deck, slide, path, ln, " + _DEG + ", regexp_replace(plain, '^(\\S+) ', '\\1' || chr(10)) AS plain FROM shapes_gt WHERE qty % 3 = 0) "
+       + _LOG.format(op="clear_text", f="plain", was="plain", now="(CASE WHEN ln % 2 = 0 THEN string_split(plain, chr(10))[1] ELSE '' END)"))
 def damage_clear_text(m):
-    return D.clear_text(m["shapes_gt"], steps(m, "qty % 3 = 0", keep_first="ln % 2 = 0"))[1]
+    shapes = m["shapes_gt"].withColumn("plain", F.regexp_replace("plain", r"^(\S+) ", "$1\n"))
+    return D.edit(shapes, steps(m, "qty % 3 = 0", keep_first="ln % 2 = 0"), "clear_text")[1]
 
 
 @query("damage_set_text", "K7", log_sql("set_text", "qty % 3 = 1", plain="'text ' || ln"))
 def damage_set_text(m):
-    return D.set_text(m["shapes_gt"], steps(m, "qty % 3 = 1", text="concat('text ', CAST(ln AS STRING))"))[1]
+    return D.edit(m["shapes_gt"], steps(m, "qty % 3 = 1", text="concat('text ', CAST(ln AS STRING))"), "set_text")[1]
 
 
 @query("damage_set_font", "K8", log_sql("set_font", "qty % 3 = 2", font="CASE WHEN ln % 2 = 0 THEN 'Arial' ELSE font END", sz="CASE WHEN ln % 3 = 0 THEN 1400 ELSE sz END", bold="false"))
 def damage_set_font(m):
-    return D.set_font(m["shapes_gt"], steps(m, "qty % 3 = 2", new_font="CASE WHEN ln % 2 = 0 THEN 'Arial' END", new_sz="CASE WHEN ln % 3 = 0 THEN CAST(1400 AS BIGINT) END", new_bold=False))[1]
+    return D.edit(m["shapes_gt"], steps(m, "qty % 3 = 2", new_font="CASE WHEN ln % 2 = 0 THEN 'Arial' END", new_sz="CASE WHEN ln % 3 = 0 THEN CAST(1400 AS BIGINT) END", new_bold=False), "set_font")[1]
 
 
 @query("damage_strip_effects", "K9", log_sql("strip_effects", "qty % 2 = 0", effects="NULL"))
 def damage_strip_effects(m):
-    return D.strip_effects(m["shapes_gt"], steps(m, "qty % 2 = 0"))[1]
+    return D.edit(m["shapes_gt"], steps(m, "qty % 2 = 0"), "strip_effects")[1]
 
 
 @query("damage_drop_equation", "K10", "WITH hit AS (SELECT *, " + _DEG + ", CASE WHEN pk % 5 = 1 THEN 'frac' END AS equation FROM shapes_gt WHERE qty % 2 = 0) " + _LOG.format(op="drop_equation", f="equation", was="equation", now="NULL"))
@@ -84,27 +86,44 @@ def damage_drop_equation(m):
 
 @query("damage_recolor", "K11", log_sql("recolor", "qty % 4 = 1", fill_type="'solid'", fill_color="CASE WHEN ln % 2 = 0 THEN 'srgb:FF00FF' ELSE 'scheme:ACCENT1' END"))
 def damage_recolor(m):
-    return D.recolor(m["shapes_gt"], steps(m, "qty % 4 = 1", color="CASE WHEN ln % 2 = 0 THEN 'srgb:FF00FF' ELSE 'scheme:ACCENT1' END"))[1]
+    return D.edit(m["shapes_gt"], steps(m, "qty % 4 = 1", color="CASE WHEN ln % 2 = 0 THEN 'srgb:FF00FF' ELSE 'scheme:ACCENT1' END"), "recolor")[1]
 
 
 @query("damage_outline", "K12", log_sql("outline", "qty % 4 = 2", line_fill="'solid'", line_color="'srgb:00FF00'", line_w="ln * 6350"))
 def damage_outline(m):
-    return D.outline(m["shapes_gt"], steps(m, "qty % 4 = 2", color="'srgb:00FF00'", width="ln * 6350"))[1]
+    return D.edit(m["shapes_gt"], steps(m, "qty % 4 = 2", color="'srgb:00FF00'", width="ln * 6350"), "outline")[1]
 
 
 @query("damage_rotate", "K13", "SELECT deck, slide, path, 'd' || (ln % 5 + 1) AS deg, round(rot, 3) AS was, round((rot + ln * 75) % 360, 3) AS now FROM shapes_gt WHERE qty % 4 = 3 AND qty % 3 <> 0 AND (rot + ln * 75) % 360 <> rot")
 def damage_rotate(m):
-    log = D.rotate(m["shapes_gt"], steps(m, "qty % 4 = 3", angle="CASE WHEN qty % 3 = 0 THEN 'x' ELSE CAST(ln * 75 AS STRING) END"))[1]
+    log = D.edit(m["shapes_gt"], steps(m, "qty % 4 = 3", angle="CASE WHEN qty % 3 = 0 THEN 'x' ELSE CAST(ln * 75 AS STRING) END"), "rotate")[1]
     return log.select("deck", "slide", "path", "deg", F.round(F.col("was").cast("double"), 3).alias("was"), F.round(F.col("now").cast("double"), 3).alias("now"))
 
 
 @query("damage_zorder", "K14", "WITH hit AS (SELECT *, " + _DEG + """, CASE WHEN qty % 9 = 0 THEN CASE WHEN ln % 2 = 0 THEN 'back' ELSE 'front' END END AS dir FROM shapes_gt),
-n AS (SELECT *, row_number() OVER (PARTITION BY deck, slide ORDER BY z, path) - 1 AS was, row_number() OVER (PARTITION BY deck, slide ORDER BY CASE dir WHEN 'back' THEN -1 WHEN 'front' THEN 1 ELSE 0 END, z, path) - 1 AS now FROM hit)
+q AS (SELECT *, row_number() OVER (PARTITION BY deck, slide, dir IS NULL ORDER BY deg, path) AS seq FROM hit),
+n AS (SELECT *, row_number() OVER (PARTITION BY deck, slide, grp ORDER BY z, path) - 1 AS was,
+      row_number() OVER (PARTITION BY deck, slide, grp ORDER BY CASE dir WHEN 'back' THEN -1 WHEN 'front' THEN 1 ELSE 0 END, CASE dir WHEN 'back' THEN -seq WHEN 'front' THEN seq END, z, path) - 1 AS now FROM q)
 SELECT deck, slide, path, deg, was::VARCHAR AS was, now::VARCHAR AS now FROM n WHERE dir IS NOT NULL AND was <> now""")
 def damage_zorder(m):
     return D.zorder(m["shapes_gt"], steps(m, "qty % 9 = 0", to="CASE WHEN ln % 2 = 0 THEN 'back' ELSE 'front' END"))[1].select("deck", "slide", "path", "deg", "was", "now")
 
 
+@query("apply_recipe", "K3 K4 K11", """SELECT deck, slide, path, cx + 457200 + (floor(w * 1.5::DOUBLE)::BIGINT - w) // 2 + CASE WHEN ln % 2 = 0 THEN 228600 ELSE 0 END AS cx,
+ floor(w * 1.5::DOUBLE)::BIGINT AS w, CASE WHEN ln % 2 = 0 THEN 'srgb:00FF00' ELSE 'srgb:FF0000' END AS fill_color FROM shapes_gt WHERE qty % 5 = 0""")
+def apply_recipe(m):
+    """Three to five steps on one shape: the later colour wins, moves add up, the table keeps its rows."""
+    def ask(number, cond, op, **params):
+        return steps(m, cond, step_no=number, op="'" + op + "'", **params)
+
+    recipe = (ask(1, "qty % 5 = 0", "move", dx_in=0.5, dy_in=0.0)
+              .unionByName(ask(2, "qty % 5 = 0", "recolor", color="'srgb:FF0000'"), allowMissingColumns=True)
+              .unionByName(ask(3, "qty % 5 = 0", "resize", factor=1.5, keep_centre=False), allowMissingColumns=True)
+              .unionByName(ask(4, "qty % 5 = 0 AND ln % 2 = 0", "move", dx_in=0.25, dy_in=0.0), allowMissingColumns=True)
+              .unionByName(ask(5, "qty % 5 = 0 AND ln % 2 = 0", "recolor", color="'srgb:00FF00'"), allowMissingColumns=True))
+    return D.apply_recipe(m["shapes_gt"], recipe)[0].where("qty % 5 = 0").select("deck", "slide", "path", "cx", "w", "fill_color")
+
+
 @query("damage_ungroup", "K15", "SELECT k.deck, k.slide, k.path, 'd' || (g.ln % 5 + 1) AS deg, k.grp AS was FROM shapes_gt k JOIN shapes_gt g ON g.deck = k.deck AND g.slide = k.slide AND g.path = k.grp WHERE g.qty % 2 = 1")
 def damage_ungroup(m):
     return D.ungroup(m["shapes_gt"], steps(m, "kind = 'group' AND qty % 2 = 1"))[1].select("deck", "slide", "path", "deg", "was")
@@ -136,7 +155,7 @@ def damage_detach(m):
 
 @query("damage_crop", "K20", log_sql("crop", "kind = 'picture'", crop="CASE WHEN qty % 2 = 0 THEN '5,5,5,5' END"))
 def damage_crop(m):
-    return D.crop(m["shapes_gt"], steps(m, "kind = 'picture'", new_crop="CASE WHEN qty % 2 = 0 THEN '5,5,5,5' END"))[1]
+    return D.edit(m["shapes_gt"], steps(m, "kind = 'picture'", new_crop="CASE WHEN qty % 2 = 0 THEN '5,5,5,5' END"), "crop")[1]
 
 
 @query("damage_drop_steps", "K21", "WITH l AS (SELECT *, slide % 4 = 0 AND step = 1 OR slide = 6 AS gone FROM anim_effects) SELECT deck, slide, dense_rank() OVER (PARTITION BY deck, slide ORDER BY step) - 1 AS step, eff FROM l WHERE NOT gone")
