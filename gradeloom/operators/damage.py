@@ -125,7 +125,8 @@ def edit(shapes: DataFrame, steps: DataFrame, op: str) -> tuple[DataFrame, DataF
 
 def apply_recipe(shapes: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``steps`` of several operations (``op``) in one fold; parameters of other operations may be null or absent."""
-    fits = {op: own for op, own in EDITS.items() if op in RECIPE_PARAMETERS and set(RECIPE_PARAMETERS[op]) <= set(steps.columns)}
+    fits = {op: own for op, own in EDITS.items() if op in RECIPE_PARAMETERS and set(RECIPE_PARAMETERS[op]) <= set(steps.columns)
+            and set(own) <= set(shapes.columns)}
     return _change(shapes, steps, fits)
 
 

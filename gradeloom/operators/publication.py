@@ -199,30 +199,47 @@ def commit_batches(tasks: DataFrame, limit: int = FILES_PER_COMMIT, block: int =
     return placed.join(entries, "block").groupBy("block").applyInPandas(number, "ord long, files long, batch long")
 
 
+# Verdicts by the status of a run whose texts name no known failure.
+STATUS_VERDICTS = [
+    ("task_load_failed", BROKEN, "the task file could not be loaded"),
+    ("import_failed", INFRA, "the runner could not import the harness"),
+    ("ami_resolve_failed", INFRA, "no machine image for the region and screen size"),
+    ("interrupted", INFRA, "interrupted before it finished"),
+    ("running", INFRA, "the runner died before it wrote a verdict"),
+]
+
+
 def publish_totals(rows: DataFrame) -> DataFrame:
     return rows.groupBy("target").agg(F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"),
                                       F.countDistinct("deck").alias("decks"))
 
 
 def failure_verdict(reports: DataFrame) -> DataFrame:
-    """What a smoke test proved: message first, then traceback, then cause lines; else unattributed."""
+    """What a smoke test proved: message first, then traceback, then cause lines, then the status; else unattributed.
+
+    A run without a result file (``has_result`` false) is judged by the tail of what it said (``note``).
+    """
     labels = [(str(i), pattern) for i, (_, _, _, pattern) in enumerate(FAILURE_SIGNATURES)]
 
     def scan(col: str) -> Column:
         return rule_case(F.coalesce(col, F.lit("")), labels).cast("int")
 
-    rule = F.coalesce(scan("message"), scan("traceback"), scan("causes"))
+    told = F.coalesce("has_result", F.lit(True))
+    rule = F.when(told, F.coalesce(scan("message"), scan("traceback"), scan("causes"))).otherwise(scan("note"))
     verdicts = F.array(*[F.lit(v) for v, _, _, _ in FAILURE_SIGNATURES])
     reasons = F.array(*[F.lit(r) for _, r, _, _ in FAILURE_SIGNATURES])
     capacity = F.array(*[F.lit(c) for _, _, c, _ in FAILURE_SIGNATURES])
-    passed = (F.col("status") == OK) & F.col("success")
+    passed = told & (F.col("status") == OK) & F.col("success")
+    status = F.when(told, F.col("status"))
+    by_status = F.create_map(*[F.lit(x) for s, v, _ in STATUS_VERDICTS for x in (s, v)])
+    why = F.create_map(*[F.lit(x) for s, _, w in STATUS_VERDICTS for x in (s, w)])
     rows = reports.withColumn("__rule", rule)
     return (rows.withColumn("verdict", F.when(F.col("timed_out"), INFRA).when(passed, OK)
                             .when(F.col("__rule").isNotNull(), F.get(verdicts, F.col("__rule")))
-                            .otherwise(UNATTRIBUTED))
+                            .otherwise(F.coalesce(F.try_element_at(by_status, status), F.lit(UNATTRIBUTED))))
             .withColumn("reason", F.when(F.col("timed_out"), "passed its deadline").when(passed, "setup ran")
                         .when(F.col("__rule").isNotNull(), F.get(reasons, F.col("__rule")))
-                        .otherwise("not attributed"))
+                        .otherwise(F.coalesce(F.try_element_at(why, status), F.when(~told, "no result was written").otherwise("not attributed"))))
             .withColumn("capacity", F.coalesce(F.when(~F.col("timed_out") & ~passed, F.get(capacity, F.col("__rule"))), F.lit(False)))
             .drop("__rule"))
 

@@ -126,7 +126,7 @@ def notable(events: DataFrame) -> DataFrame:
     what = F.when(retried, F.concat(F.lit("retried after "), F.coalesce("retry_kind", F.lit("?"))))
     return events.where(retried | bad).select(
         "ord", "us", "deck", "stage", F.coalesce(what, F.col("status")).alias("what"),
-        F.nullif(F.substring("why", 1, 80), F.lit("")).alias("why"))
+        F.nullif("why", F.lit("")).alias("why"))
 
 
 def notable_report(events: DataFrame, cap: int = NOTABLE_MAX) -> DataFrame:
@@ -425,7 +425,7 @@ def complaint_key(message: Column) -> Column:
     for pattern, stand_in in ((r"\b[0-9a-f]{8,}\b", "<hash>"), (r"\b\d+\.\d+\b", "<num>"),
                               (r"\b\d+\b", "<n>"), (r"\s+", " ")):
         out = F.regexp_replace(out, pattern, stand_in)
-    return F.substring(F.trim(out), 1, 200)
+    return F.trim(out)
 
 
 def fold_lines(lines: DataFrame) -> DataFrame:

@@ -118,15 +118,15 @@ def allocate_after_refusal(m):
     return U.allocate(clean, reg, reserved, 1000, 10**12).select("source_key", "id")
 
 
-_REPORTS = """SELECT ord, k % 17 = 0 AS timed_out, CASE WHEN k % 6 = 0 THEN 'ok' ELSE 'setup_failed' END AS status, k % 12 = 0 AS success,
+_REPORTS = """SELECT ord, k % 17 = 0 AS timed_out, CASE WHEN k % 6 = 0 THEN 'ok' WHEN k % 7 = 0 THEN 'running' WHEN k % 11 = 0 THEN 'task_load_failed' ELSE 'setup_failed' END AS status, k % 13 <> 0 AS has_result, CASE WHEN k % 2 = 0 THEN 'ConnectionError: x' ELSE 'killed' END AS note, k % 12 = 0 AS success,
  CASE k % 8 WHEN 0 THEN 'AWS said VcpuLimitExceeded' WHEN 1 THEN 'server gave 502 Bad Gateway' WHEN 2 THEN 'Read timed out' WHEN 3 THEN '' WHEN 4 THEN 'HTTP 404 for url' ELSE 'setup failed' END AS message,
  CASE k % 5 WHEN 0 THEN 'FileNotFoundError: x' WHEN 1 THEN 'KeyError: y' ELSE '' END AS traceback,
  CASE WHEN k % 9 = 0 THEN 'caused by 403 Forbidden' ELSE 'nothing' END AS causes FROM {src}"""
 _VERD = "rp AS (" + _REPORTS.replace("{src}", "run_events") + """),
-vd AS (SELECT ord, CASE WHEN timed_out THEN 'infrastructure' WHEN status = 'ok' AND success THEN 'ok'
+vd AS (SELECT ord, CASE WHEN timed_out THEN 'infrastructure' WHEN NOT has_result THEN CASE WHEN note LIKE '%Connection%' THEN 'infrastructure' ELSE 'unattributed' END WHEN status = 'ok' AND success THEN 'ok'
   WHEN message LIKE '%Vcpu%' OR message LIKE '%502%' OR message = 'Read timed out' THEN 'infrastructure' WHEN message LIKE '%404%' THEN 'task_broken'
-  WHEN traceback <> '' THEN 'task_broken' WHEN causes LIKE '%403%' THEN 'task_broken' ELSE 'unattributed' END AS verdict,
- NOT timed_out AND NOT (status = 'ok' AND success) AND message LIKE '%Vcpu%' AS capacity FROM rp)"""
+  WHEN traceback <> '' THEN 'task_broken' WHEN causes LIKE '%403%' THEN 'task_broken' WHEN status = 'running' THEN 'infrastructure' WHEN status = 'task_load_failed' THEN 'task_broken' ELSE 'unattributed' END AS verdict,
+ NOT timed_out AND has_result AND NOT (status = 'ok' AND success) AND message LIKE '%Vcpu%' AS capacity FROM rp)"""
 
 
 @query("failure_verdict", "U11", "WITH " + _VERD + "SELECT ord, verdict, capacity FROM vd")

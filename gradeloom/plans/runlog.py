@@ -52,7 +52,7 @@ def deck_endings(m):
 
 
 @query("notable_events", "R6", """
-WITH n AS (SELECT ord, us, deck, stage, CASE WHEN event = 'stage_retried' THEN 'retried after ' || coalesce(retry_kind, '?') ELSE status END AS what, nullif(substr(why, 1, 80), '') AS why
+WITH n AS (SELECT ord, us, deck, stage, CASE WHEN event = 'stage_retried' THEN 'retried after ' || coalesce(retry_kind, '?') ELSE status END AS what, nullif(why, '') AS why
  FROM run_events WHERE event = 'stage_retried' OR (event = 'stage_finished' AND status IN ('rejected','failed','infra','needs_human','crashed')))
 (SELECT ord, deck, stage, what, why, NULL::BIGINT AS more FROM n ORDER BY us, ord LIMIT 40) UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, count(*) - 40 FROM n HAVING count(*) > 40""")
 def notable_events(m):
@@ -242,7 +242,7 @@ def classify_lines(m):
 
 _FOLD = f"""
 fold AS (SELECT deck, arg_max({_KIND}, line_no) AS kind, arg_max(message, line_no) AS last, max(us) AS last_us, count(*) AS lines FROM log_lines GROUP BY deck),
-comp AS (SELECT deck, substr(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(message), '\\b[0-9a-f]{{8,}}\\b', '<hash>', 'g'), '\\b\\d+\\.\\d+\\b', '<num>', 'g'), '\\b\\d+\\b', '<n>', 'g'), '\\s+', ' ', 'g')), 1, 200) AS complaint, count(*) AS n
+comp AS (SELECT deck, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(message), '\\b[0-9a-f]{{8,}}\\b', '<hash>', 'g'), '\\b\\d+\\.\\d+\\b', '<num>', 'g'), '\\b\\d+\\b', '<n>', 'g'), '\\s+', ' ', 'g')) AS complaint, count(*) AS n
  FROM log_lines WHERE {_KIND} IN ('rejected', 'no_op_repair') GROUP BY 1, 2)
 """
 

@@ -34,12 +34,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names, or a fresh local one where none is named."""
+    """The shared checkpoint folder the cluster names.  Only a local session may go without and gets a fresh one."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not context.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     target = named or tempfile.mkdtemp(prefix="gradeloom-ckpt-")
     context.setCheckpointDir(target)
     return target

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,18 +72,24 @@ def edge_alerts(conditions: DataFrame) -> DataFrame:
     """Alerts of a stream of conditions ``(seq, nth, kind, id, confirm)`` in sample order.
 
     A condition is known to have gone away when its next sample number is not the one after the last.
+    Within a micro-batch samples may come in any order and chunking, repeated ones count once; micro-batches
+    follow one another in sample order, and what is older than the state is taken as a repeat.
     """
     def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         last, streak = state.get if state.exists else (-1, 0)
-        fired = []
-        for pdf in pdfs:
-            for seq, nth, confirm in pdf.sort_values("nth")[["seq", "nth", "confirm"]].itertuples(index=False):
-                streak = streak + 1 if nth == last + 1 and streak else 1
-                last = nth
-                if streak == confirm:
-                    fired.append((seq, key[0], key[1]))
-        state.update((int(last), int(streak)))
-        yield pd.DataFrame(fired, columns=["seq", "kind", "id"])
+        # a micro-batch arrives in chunks of any order: numbers first, then one sort over all of them
+        rows = pd.concat([pdf[["nth", "seq", "confirm"]] for pdf in pdfs]).drop_duplicates("nth").sort_values("nth")
+        rows = rows[rows["nth"] > last]
+        if not len(rows):
+            return
+        nth = rows["nth"].to_numpy()
+        new = np.diff(nth, prepend=last if streak else nth[0] - 2) != 1
+        place = np.arange(len(nth))
+        begin = np.maximum.accumulate(np.where(new, place, -1))
+        length = np.where(begin >= 0, place - begin + 1, streak + place + 1)
+        state.update((int(nth[-1]), int(length[-1])))
+        fired = rows[length == rows["confirm"].to_numpy()]
+        yield pd.DataFrame({"seq": fired["seq"], "kind": key[0], "id": key[1]})
 
     return conditions.groupBy("kind", "id").applyInPandasWithState(
         step, ALERT_OUT, ALERT_STATE, "append", GroupStateTimeout.NoTimeout)

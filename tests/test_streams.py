@@ -29,3 +29,13 @@ def test_deck_state_resumes(spark, tmp_path):
     got = {r.deck: (r.kind, r.lines, r.complaints) for r in St.newest_state(spark, out).collect()}
     assert got == {"d1": ("packaged", 2, 1), "d2": ("blocked", 1, 0)}
     assert St.newest_state(spark, out).select(F.count("*")).first()[0] == 2
+
+
+def test_alerts_do_not_depend_on_chunks_or_order(spark, tmp_path):
+    """40,000 samples of one condition, shuffled over files of one micro-batch: one alert, as in a batch."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = spark.range(1, 40001).select(F.col("id").alias("seq"), F.col("id").alias("nth"), F.lit("memory").alias("kind"), F.lit("").alias("id"), F.lit(3).cast("long").alias("confirm"))
+    rows.unionByName(rows.where("nth % 7 = 0")).orderBy(F.xxhash64("nth")).repartition(5).write.parquet(source)
+    stream = St.stream_events(spark, source, rows.schema, "*.parquet")
+    St.drain_to_table(St.edge_alerts(stream), out)
+    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [(3, "memory", "")]
