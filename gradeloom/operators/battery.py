@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +21,6 @@ PAGE = ["deck", "slide"]
 KEY = ["deck", "slide", "path"]
 # Fixed values.
 VARIANT_SLACK = 0.02
-MAX_UNITS = 16
 STATUSES = ("scored", "n/a", "no_material", "unconstructible", "error", "not_run")
 
 
@@ -135,20 +136,47 @@ def merge_units(components: DataFrame) -> DataFrame:
 
 
 def half_restore(units: DataFrame) -> DataFrame:
-    """(deck, units, mass): the set of units nearest half the weight, fewest on ties.
+    """(deck, units, mass): the units whose steps come nearest half of the deck's, fewest on ties, then the earliest.
 
-    ``units(deck, unit, weight)``.  Up to 16 units all subsets are weighed; decks beyond that come
-    back with null so that the caller can report them.
+    ``units(deck, unit, steps)`` with whole numbers of steps.  Neither nothing nor everything is a half:
+    decks with fewer than two units of work have null.  Exact for any number of units: one array over
+    the deck's step sums holds the fewest units for each, unit by unit.
     """
-    per = units.groupBy("deck").agg(F.array_sort(F.collect_list(F.struct("unit", "weight"))).alias("u"))
-    n = F.size("u")
-    small = per.where(n <= MAX_UNITS).withColumn("mask", F.explode(F.sequence(F.lit(0), F.pow(F.lit(2), n).cast("int") - 1)))
-    chosen = F.filter(F.col("u"), lambda x, i: F.getbit(F.col("mask"), i) == 1)
-    sets = small.select("deck", "mask", F.aggregate(chosen, F.lit(0.0), lambda acc, x: acc + x["weight"]).alias("mass"),
-                        F.size(chosen).alias("k"), F.concat_ws(",", F.transform(chosen, lambda x: x["unit"])).alias("units"))
-    best = sets.groupBy("deck").agg(F.min_by(F.struct("units", "mass"), F.struct(F.bround(F.abs(F.col("mass") - 0.5), 9), "k", "mask")).alias("b"))
-    return best.select("deck", "b.units", "b.mass").unionByName(
-        per.where(n > MAX_UNITS).select("deck", F.lit(None).cast("string").alias("units"), F.lit(None).cast("double").alias("mass")))
+    def choose(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("unit")
+        steps = frame["steps"].to_numpy(np.int64)
+        total = int(steps.sum())
+        fewest = np.full(total + 1, len(steps) + 1, np.int64)
+        fewest[0] = 0
+        taken = []
+        for w in steps.tolist():
+            better = np.zeros(total + 1, bool)
+            if w:
+                with_it = fewest[:total + 1 - w] + 1
+                better[w:] = with_it < fewest[w:]
+                fewest[w:] = np.minimum(fewest[w:], with_it)
+            taken.append(np.packbits(better))
+
+        def members(at: int) -> list[int]:
+            chosen = []
+            for i in range(len(steps) - 1, -1, -1):
+                if taken[i][at // 8] >> (7 - at % 8) & 1:
+                    chosen.append(i)
+                    at -= int(steps[i])
+            return chosen
+
+        sums = np.flatnonzero(fewest <= len(steps))
+        sums = sums[(sums > 0) & (sums < total)]
+        if not len(sums):
+            return pd.DataFrame({"deck": [frame["deck"].iloc[0]], "units": [None], "mass": [None]})
+        apart = np.abs(2 * sums - total)
+        sums = sums[apart == apart.min()]
+        sums = sums[fewest[sums] == fewest[sums].min()]
+        best = min((sorted(members(int(at)), reverse=True), int(at)) for at in sums)
+        names = ",".join(frame["unit"].iloc[sorted(best[0])])
+        return pd.DataFrame({"deck": [frame["deck"].iloc[0]], "units": [names], "mass": [best[1] / total]})
+
+    return units.select("deck", "unit", F.col("steps").cast("long").alias("steps")).groupBy("deck").applyInPandas(choose, "deck string, units string, mass double")
 
 
 # ------------------------------------------------------------------ legitimate variants

@@ -4,28 +4,48 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Licence ids that permit derivatives and redistribution, by family.
-LICENCE_FAMILIES = {
-    "public domain dedication": ["cc-zero"],
-    "public domain": ["cc-pddc", "other-pd"],
-    "attribution": ["cc-by", "cc-by-2.0", "cc-by-3.0", "cc-by-3.0-at", "cc-by-3.0-us",
-                    "cc-by-4.0"],
-    "share-alike": ["cc-by-sa", "cc-by-sa-2.0", "cc-by-sa-3.0", "cc-by-sa-4.0"],
-    "permissive-oss": ["apache2.0", "bsd-3-clause", "mit-license"],
-    "open-government": ["etalab-2.0", "ogl-uk-3.0"],
-    "open": ["other-open"],
+# The family of each licence id that permits derivatives and redistribution.
+LICENCE_FAMILY = {
+    "cc-zero": "public domain dedication",
+    "cc-pddc": "public domain",
+    "other-pd": "public domain",
+    "cc-by": "attribution",
+    "cc-by-2.0": "attribution",
+    "cc-by-3.0": "attribution",
+    "cc-by-3.0-at": "attribution",
+    "cc-by-3.0-us": "attribution",
+    "cc-by-4.0": "attribution",
+    "cc-by-sa": "share-alike",
+    "cc-by-sa-2.0": "share-alike",
+    "cc-by-sa-3.0": "share-alike",
+    "cc-by-sa-4.0": "share-alike",
+    "apache2.0": "permissive-oss",
+    "bsd-3-clause": "permissive-oss",
+    "mit-license": "permissive-oss",
+    "etalab-2.0": "open-government",
+    "ogl-uk-3.0": "open-government",
+    "other-open": "open",
 }
 
-# Licence ids that are refused, by reason.
-LICENCE_REFUSALS = {
-    "no-derivatives": ["cc-by-nd-1.0", "cc-by-nd-2.5", "cc-by-nd-4.0"],
-    "non-commercial": ["cc-by-nc-1.0", "cc-by-nc-3.0", "cc-by-nc-4.0", "cc-by-nc-sa-1.0",
-                       "cc-by-nc-sa-2.0", "cc-by-nc-sa-4.0", "cc-nc"],
-    "non-commercial + no-derivatives": ["cc-by-nc-nd-1.0", "cc-by-nc-nd-3.0-igo",
-                                        "cc-by-nc-nd-4.0"],
-    "no licence stated": ["notspecified"],
-    "closed": ["other-closed"],
-    "unclear id, treated as closed": ["nlpl", "other-at"],
+# Why a licence id is refused.
+LICENCE_REFUSAL = {
+    "cc-by-nd-1.0": "no-derivatives",
+    "cc-by-nd-2.5": "no-derivatives",
+    "cc-by-nd-4.0": "no-derivatives",
+    "cc-by-nc-1.0": "non-commercial",
+    "cc-by-nc-3.0": "non-commercial",
+    "cc-by-nc-4.0": "non-commercial",
+    "cc-by-nc-sa-1.0": "non-commercial",
+    "cc-by-nc-sa-2.0": "non-commercial",
+    "cc-by-nc-sa-4.0": "non-commercial",
+    "cc-nc": "non-commercial",
+    "cc-by-nc-nd-1.0": "non-commercial + no-derivatives",
+    "cc-by-nc-nd-3.0-igo": "non-commercial + no-derivatives",
+    "cc-by-nc-nd-4.0": "non-commercial + no-derivatives",
+    "notspecified": "no licence stated",
+    "other-closed": "closed",
+    "nlpl": "unclear id, treated as closed",
+    "other-at": "unclear id, treated as closed",
 }
 UNKNOWN_LICENCE = "licence id not in the reviewed list — refused pending review"
 
@@ -47,8 +67,7 @@ def licence_policy(spark: SparkSession) -> DataFrame:
     """(licence, ok, family, share_alike, why): 36 rows, so it may always be broadcast."""
     rows = [(lic, True, family, family == "share-alike",
              f"{family}: derivatives and redistribution permitted")
-            for family, ids in LICENCE_FAMILIES.items() for lic in ids]
-    rows += [(lic, False, None, False, why)
-             for why, ids in LICENCE_REFUSALS.items() for lic in ids]
+            for lic, family in LICENCE_FAMILY.items()]
+    rows += [(lic, False, None, False, why) for lic, why in LICENCE_REFUSAL.items()]
     return spark.createDataFrame(
         rows, "licence string, ok boolean, family string, share_alike boolean, why string")

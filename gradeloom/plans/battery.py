@@ -104,14 +104,12 @@ def work_units(m):
 @query("half_restore", "B10", """
 WITH u AS (SELECT deck, deg AS unit, sum(est_steps) / sum(sum(est_steps)) OVER (PARTITION BY deck) AS weight, row_number() OVER (PARTITION BY deck ORDER BY deg) - 1 AS i FROM components GROUP BY deck, deg),
 n AS (SELECT deck, count(*) AS n FROM u GROUP BY deck), k AS (SELECT deck, unnest(range(0, (1 << n)::BIGINT)) AS mask FROM n),
-s AS (SELECT k.deck, mask, coalesce(sum(weight) FILTER (WHERE (mask >> i) & 1 = 1), 0) AS mass, count(*) FILTER (WHERE (mask >> i) & 1 = 1) AS c FROM k JOIN u ON u.deck = k.deck GROUP BY ALL)
-SELECT deck, round(mass, 9)::DOUBLE AS mass, c AS units FROM s QUALIFY row_number() OVER (PARTITION BY deck ORDER BY round_even(abs(mass - 0.5), 9), c, mask) = 1""")
+s AS (SELECT k.deck, mask, coalesce(sum(weight) FILTER (WHERE (mask >> i) & 1 = 1), 0) AS mass, count(*) FILTER (WHERE (mask >> i) & 1 = 1) AS c FROM k JOIN u ON u.deck = k.deck GROUP BY ALL),
+b AS (SELECT s.deck, mass, c FROM s JOIN n ON n.deck = s.deck WHERE c > 0 AND c < n.n QUALIFY row_number() OVER (PARTITION BY s.deck ORDER BY round_even(abs(mass - 0.5), 9), c, mask) = 1)
+SELECT n.deck, round(mass, 9)::DOUBLE AS mass, c AS units FROM n LEFT JOIN b ON b.deck = n.deck""")
 def half_restore(m):
-    sums = m["components"].groupBy("deck", F.col("deg").alias("unit")).agg(F.sum("est_steps").alias("s"))
-    total = m["components"].groupBy("deck").agg(F.sum("est_steps").alias("t"))
-    units = sums.join(total, "deck").select("deck", "unit", (F.col("s") / F.col("t")).alias("weight"))
-    out = B.half_restore(units)
-    n = F.when(F.col("units") == "", 0).otherwise(F.size(F.split("units", ",")))
+    out = B.half_restore(m["components"].groupBy("deck", F.col("deg").alias("unit")).agg(F.sum("est_steps").alias("steps")))
+    n = F.when(F.col("units").isNotNull(), F.size(F.split("units", ",")))
     return out.select("deck", F.round("mass", 9).alias("mass"), n.cast("long").alias("units"))
 
 
