@@ -278,7 +278,7 @@ SELECT deck, slide, CAST(floor(rn / 3) AS BIGINT) AS step, rn % 3 AS eff,
        CASE WHEN qty % 4 = 0 THEN 'exit' WHEN qty % 4 = 1 THEN 'emph' ELSE 'entr' END AS cls,
        CASE WHEN disc % 2 = 0 THEN 'fade' ELSE 'fly' END AS preset,
        CAST(tax AS STRING) AS subtype, path AS target, 'click' AS trigger_kind, 250 * (1 + ln) AS dur_ms, pk, qty, ok, ln
-FROM {shapes_gt} WHERE slide % 2 = 0 AND rn < 12
+FROM {shapes_gt}
 """
 
 MODELS["anim_candidate"] = """
@@ -412,7 +412,7 @@ FROM {log_lines} WHERE k % 20 IN (1, 2, 5, 6, 7, 8)
 
 MODELS["edges"] = """
 SELECT o_orderkey AS child, CAST(floor(o_orderkey / 16) AS BIGINT) AS parent
-FROM {orders} WHERE o_orderkey > 0 AND o_orderkey % 17 <> 0
+FROM {orders} WHERE o_orderkey > 0
 """
 
 #: One word per run: (doc_id, para, run, t) with run properties derived from the word.

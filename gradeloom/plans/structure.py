@@ -245,7 +245,7 @@ def style_features(m):
 
 
 _THEMES = """SELECT deck, @PICK(@ARRAY('dk1', 'lt1', 'dk2', 'lt2', 'accent1', 'tx2'), CAST(rn % 6 + 1 AS INT)) AS name,
-  CASE WHEN (deckno + rn % 6) % 4 = 0 AND rn = 7 THEN 'ABCDEF' ELSE concat('aa00', CAST(10 + rn % 6 AS STRING)) END AS value FROM {src} WHERE slide < 3 AND (rn % 6 <> 5 OR deckno % 2 = 0)"""
+  CASE WHEN (deckno + rn % 6) % 4 = 0 AND rn = 7 THEN 'ABCDEF' ELSE concat('aa00', CAST(10 + rn % 6 AS STRING)) END AS value FROM {src} WHERE (rn % 6 <> 5 OR deckno % 2 = 0)"""
 
 
 @query("theme_consensus", "A23", "WITH t AS (" + _THEMES.replace("{src}", "shapes_gt").replace("@PICK(@ARRAY(", "list_extract(list_value(") + """),

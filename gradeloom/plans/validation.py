@@ -10,7 +10,7 @@ from gradeloom.plans.registry import query
 _DEGS = """SELECT CAST(uid AS STRING) AS deck, concat('d', CAST(stage_idx AS STRING)) AS deg, stage, k % 25 AS slide, k AS est_steps, uid,
   CASE k % 5 WHEN 0 THEN 'relational' WHEN 1 THEN CASE WHEN uid % 3 = 0 THEN 'inductive' ELSE 'direct' END ELSE 'direct' END AS reasoning,
   CASE k % 7 WHEN 0 THEN 'compound' WHEN 1 THEN CASE WHEN uid % 4 = 0 THEN 'expert' ELSE 'basic' END ELSE 'basic' END AS interaction,
-  CASE WHEN k % 11 = 0 THEN 'nowhere' WHEN k % 2 = 0 THEN 'on_slide' ELSE 'deck_wide' END AS reach, k, stage_idx FROM {src} WHERE stage_idx < 5"""
+  CASE WHEN k % 11 = 0 THEN 'nowhere' WHEN k % 2 = 0 THEN 'on_slide' ELSE 'deck_wide' END AS reach, k, stage_idx FROM {src}"""
 _DG = "dg AS (" + _DEGS.replace("{src}", "stage_state") + ")"
 _TASKS = "SELECT CAST(uid AS STRING) AS deck, CASE WHEN uid % 19 = 0 THEN '' ELSE 'task' END AS name, 'do it' AS instruction, CASE WHEN uid % 6 = 0 THEN '' ELSE 'decoy' END AS distractor, 200 + uid % 40 AS est_steps, 20 AS n_slides FROM (SELECT DISTINCT uid FROM {src}) u"
 
