@@ -144,16 +144,77 @@ def duplicate_components(components: DataFrame, spec: Sequence[str]) -> DataFram
 
 # ------------------------------------------------------------------ component scores
 
-def component_raw(components: DataFrame, wide: DataFrame, content: dict[str, DataFrame] | None = None) -> DataFrame:
-    """(scenario, deck, id, raw) for deletes, moves and recolours over one row per (scenario, shape)."""
-    back = X.restored(wide, content or {}, depth=1, keys=PAGE).withColumnRenamed("raw", "__back")
-    facts = wide.select(*PAGE, F.col("a_path").alias("path"), X.centre().alias("__at"),
-                        F.when(F.col("a_fill_type").isNotNull(), X.fill()).alias("__fill"))
-    rows = components.select("deck", "slide", F.col("gt_path").alias("path"), "id", "op").join(facts, ["deck", "slide", "path"])
-    rows = rows.join(back, [*PAGE, "path"], "left")
-    raw = (F.when(F.col("op").isin("delete", "blank_slide"), F.col("__back"))
-           .when(F.col("op").isin("move", "scatter", "swap"), F.col("__at")).when(F.col("op") == "recolor", F.col("__fill")))
-    return rows.select("scenario", "deck", "id", "op", raw.alias("raw"))
+def _same_words() -> Column:
+    """Share of the answer's words, with repeats, that the candidate's text holds."""
+    want, have = (F.filter(F.split(squeeze(F.col(c)), " "), lambda x: x != "") for c in ("a_plain", "b_plain"))
+    have = F.coalesce(have, F.array().cast("array<string>"))
+    hit = F.aggregate(F.array_distinct(want), F.lit(0), lambda acc, w: acc + F.least(F.size(F.filter(want, lambda x: x == w)), F.size(F.filter(have, lambda x: x == w))))
+    return F.when(F.size(want) > 0, hit / F.size(want)).otherwise(X.credit(F.size(have) == 0))
+
+
+def row_comparators(ops: Sequence[str]) -> dict[str, tuple[Column, tuple[str, ...]]]:
+    """Credit by operation, for operations that one side-by-side row settles, and the facts it reads."""
+    def stated(*names: str) -> Column:
+        return X.blend([(1.0, F.when(X.a(c).isNotNull(), X.credit(X.present() & X.same(c)))) for c in names])
+
+    box = ("cx", "cy")
+    made = [
+        (("move", "scatter", "swap"), X.centre, box),
+        (("resize",), X.resize, (*box, "w", "h", "autofit")),
+        (("rotate",), X.rotation, ("rot",)),
+        (("recolor",), lambda: F.when(X.a("fill_type").isNotNull(), X.fill()), ("fill_type", "fill_color")),
+        (("outline",), X.line, ("line_fill", "line_dash", "line_color")),
+        (("strip_effects",), lambda: X.blend([(1.0, X.effects()), (1.0, X.fill())]), ("effects", "fill_type", "fill_color")),
+        (("clear_text", "set_text"), _same_words, ("plain",)),
+        (("set_font",), lambda: stated("font", "sz", "bold"), ("font", "sz", "bold")),
+        (("crop", "swap_picture"), lambda: X.blend([(1.0, X.picture()), (1.0, X.crop())]), ("blob", "crop")),
+        (("drop_equation",), X.equation, ("eq_native", "eq_text", "eq_structure")),
+        (("detach_connector",), lambda: stated("start_id", "end_id"), ("start_id", "end_id")),
+    ]
+    return {op: (build(), facts) for names, build, facts in made for op in names if op in ops}
+
+
+#: Operations whose credit is the return of whole shapes, and those that need a page's other shapes.
+RETURN_OPS = ("delete", "blank_slide")
+PAGE_OPS = ("zorder", "ungroup")
+SCORED_OPS = (*RETURN_OPS, *PAGE_OPS, "move", "scatter", "swap", "resize", "rotate", "recolor", "outline", "strip_effects", "clear_text", "set_text",
+              "set_font", "crop", "swap_picture", "drop_equation", "detach_connector")
+
+
+def component_raw(components: DataFrame, wide: DataFrame, content: dict[str, DataFrame] | None = None, ops: Sequence[str] = SCORED_OPS) -> DataFrame:
+    """(scenario, deck, id, op, raw): every component by the comparator of its operation.
+
+    ``wide`` has one row per (scenario, shape).  ``ops`` names the operations a plan can hold, so that only
+    their comparators and columns are read.  Drawing order needs ``to`` on its components.
+    """
+    own = components.select("deck", "slide", F.col("gt_path").alias("path"), "id", "op", *[c for c in ("to",) if c in components.columns])
+    parts = []
+    settled = {op: x for op, x in row_comparators(ops).items() if {f"a_{c}" for c in x[1]} <= set(wide.columns)}
+    if settled:
+        names = {f"{side}_{c}" for _, facts in settled.values() for c in facts for side in "ab"} | {"b_path", "theme"}
+        rows = own.where(F.col("op").isin(*settled)).join(
+            wide.select(*PAGE, F.col("a_path").alias("path"), *sorted(names & set(wide.columns))), ["deck", "slide", "path"])
+        raw = F.lit(None).cast("double")
+        for op, (expr, _) in settled.items():
+            raw = F.when(F.col("op") == op, expr).otherwise(raw)
+        parts.append(rows.select("scenario", "deck", "id", "op", raw.alias("raw")))
+    if set(ops) & set(RETURN_OPS):
+        back = X.restored(wide, content or {}, depth=1, keys=PAGE)
+        parts.append(own.where(F.col("op").isin(*RETURN_OPS)).join(back, ["deck", "slide", "path"]).select("scenario", "deck", "id", "op", "raw"))
+    if set(ops) & set(PAGE_OPS):
+        names = wide.select("scenario").distinct()
+        keyed = wide.withColumn("deck", F.concat_ws("\u0001", "scenario", "deck"))
+        asked = own.where(F.col("op").isin(*PAGE_OPS)).join(F.broadcast(names), how="cross").withColumn("__deck", F.col("deck")).withColumn(
+            "deck", F.concat_ws("\u0001", "scenario", "deck"))
+        for op in PAGE_OPS:
+            if op in ops:
+                mine = asked.where(F.col("op") == op)
+                got = X.zorder(mine.select("deck", "slide", "path", "to"), keyed) if op == "zorder" else X.ungroup(keyed)
+                parts.append(mine.join(got, ["deck", "slide", "path"], "left").select("scenario", F.col("__deck").alias("deck"), "id", "op", "raw"))
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
 
 
 def normalise_by_floor(raw: DataFrame, floor_scenario: str) -> DataFrame:
@@ -331,13 +392,13 @@ class Scoring:
     """The tables one scoring pass shares, built lazily from gt, input and scenario frames."""
 
     def __init__(self, gt: DataFrame, broken: DataFrame, frames: DataFrame, components: DataFrame,
-                 supplied: DataFrame, width: int, height: int, theme: DataFrame | None = None):
+                 supplied: DataFrame, width: int, height: int, theme: DataFrame | None = None, ops: Sequence[str] = SCORED_OPS):
         # read by every gate and rule below, so each snapshot is written once and read back
         self.gt, self.broken, self.frames = (cut_lineage(M.with_keys(df)) for df in (gt, broken, frames))
         gt, frames = self.gt, self.frames
         self.components, self.supplied = cut_lineage(components), supplied
         components = self.components
-        self.width, self.height = width, height
+        self.width, self.height, self.ops = width, height, ops
         spark = gt.sparkSession
         self.regions = damage_regions(components)
         # pairs and the side-by-side rows feed every comparator, gate and scope rule, so each is written once
@@ -350,7 +411,7 @@ class Scoring:
         self.loose = unmatched(self.frames, self.pairs)
 
     def raw(self) -> DataFrame:
-        return component_raw(self.components, self.wide)
+        return component_raw(self.components, self.wide, ops=self.ops)
 
     def scores(self, floor_scenario: str = "noop") -> DataFrame:
         return normalise_by_floor(self.raw(), floor_scenario).join(self.components.select("deck", "id", "weight", "deg"), ["deck", "id"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gradeloom.operators import damage as D
 from gradeloom.operators import scoring as P
 from gradeloom.plans.comparing import _CENTRE, _FILL, COLS, restored_sql, theme
 from gradeloom.plans.models import SLIDE_H, SLIDE_W
@@ -105,8 +106,45 @@ def weighted(m):
     return P.component_weights(n, degs)
 
 
+#: The operations of the model's components.
+MODEL_OPS = ("delete", "move", "recolor")
+
+
 def scoring(m, frames=None):
-    return P.Scoring(m["shapes_gt"], m["shapes_input"], m["frames"] if frames is None else frames, weighted(m), _supplied(m), SLIDE_W, SLIDE_H, theme(m))
+    return P.Scoring(m["shapes_gt"], m["shapes_input"], m["frames"] if frames is None else frames, weighted(m), _supplied(m), SLIDE_W, SLIDE_H, theme(m), MODEL_OPS)
+
+
+#: One damage per shape, by its place on the page: operation, whether it applies, parameters.
+_DAMAGE = [("move", "true", {"dx_in": 0.5, "dy_in": 0.0}), ("resize", "true", {"factor": 1.5, "keep_centre": True}), ("rotate", "true", {"angle": "'45'"}),
+           ("recolor", "fill_type IS NOT NULL", {"color": "'srgb:FF00FF'"}), ("outline", "true", {"color": "'srgb:00FF01'", "width": "CAST(99999 AS BIGINT)"}),
+           ("strip_effects", "effects IS NOT NULL", {}), ("clear_text", "plain <> ''", {"keep_first": False}), ("set_text", "plain <> ''", {"text": "'zzz'"}),
+           ("set_font", "true", {"new_font": "'Wingdings'", "new_sz": "CAST(NULL AS BIGINT)", "new_bold": "CAST(NULL AS BOOLEAN)"})]
+_DAMAGED = " UNION ALL ".join(f"SELECT '{op}' AS op, deck FROM shapes_gt WHERE rn % {len(_DAMAGE)} = {k} AND {cond}" for k, (op, cond, _) in enumerate(_DAMAGE))
+
+
+@query("operation_scores", "P3 P9 P12", f"""WITH c AS (SELECT op, count(*) AS n FROM ({_DAMAGED}) d GROUP BY op)
+SELECT op, s.scenario, n, CASE WHEN s.scenario = 'gt' THEN n ELSE 0 END AS full_marks, 0::BIGINT AS unscored FROM c CROSS JOIN (VALUES ('gt'), ('noop')) s(scenario)""")
+def operation_scores(m):
+    """Each operation damages its share of all shapes: the answer earns all of it, the damaged file nothing."""
+    shapes = m["shapes_gt"]
+    steps = None
+    for k, (op, cond, params) in enumerate(_DAMAGE):
+        own = shapes.where(f"rn % {len(_DAMAGE)} = {k} AND {cond}").select(
+            "deck", "slide", "path", F.lit("d1").alias("deg"), F.lit(op).alias("op"), *[(F.expr(v) if isinstance(v, str) else F.lit(v)).alias(c) for c, v in params.items()])
+        steps = own if steps is None else steps.unionByName(own, allowMissingColumns=True)
+    broken = D.apply_recipe(shapes, steps)[0]
+    cols = [c for c in shapes.columns if c not in ("deck", "slide")]
+    left = shapes.select("deck", "slide", *[F.col(c).alias(f"a_{c}") for c in cols])
+
+    def beside(frame, scenario):
+        right = frame.select("deck", "slide", F.col("path").alias("a_path"), *[F.col(c).alias(f"b_{c}") for c in cols])
+        return left.join(right, ["deck", "slide", "a_path"], "left").withColumn("scenario", F.lit(scenario))
+
+    wide = beside(shapes, "gt").unionByName(beside(broken, "noop")).withColumn("theme", F.lit(None).cast("map<string,string>"))
+    comps = steps.select("deck", "slide", F.col("path").alias("gt_path"), F.concat_ws("/", "slide", "path").alias("id"), "op")
+    scores = P.normalise_by_floor(P.component_raw(comps, wide, ops=[op for op, _, _ in _DAMAGE]), "noop")
+    return scores.groupBy("op", "scenario").agg(F.count("*").alias("n"), F.count_if(F.col("score") > 1 - 1e-9).alias("full_marks"),
+                                                F.count_if(F.col("raw").isNull()).alias("unscored"))
 
 
 _COLS = ", ".join(f"g.{c} AS a_{c}, o.{c} AS b_{c}" for c in COLS if c != "crop")
