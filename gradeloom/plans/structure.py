@@ -128,8 +128,8 @@ def visual_system(m):
 
 
 @query("whole_objects", "A14", f"""
-WITH c AS (SELECT deck, slide, path, string_agg(text, '|' ORDER BY r, c, text) AS cells FROM cells WHERE r < 10 GROUP BY ALL),
-s AS (SELECT deck, slide, path, string_agg(val::VARCHAR, '|' ORDER BY sno, i) AS points FROM series WHERE sno < 6 AND i < 12 GROUP BY ALL),
+WITH c AS (SELECT deck, slide, path, string_agg(text, '|' ORDER BY r, c, text) AS cells FROM cells GROUP BY ALL),
+s AS (SELECT deck, slide, path, string_agg(val::VARCHAR, '|' ORDER BY sno, i) AS points FROM series GROUP BY ALL),
 k AS (SELECT deck, slide, grp AS path, count(*) AS children, string_agg(path, '|' ORDER BY z) AS kids FROM shapes_gt WHERE grp IS NOT NULL GROUP BY ALL)
 SELECT deck, slide, path, kind, round_even(cx / {SLIDE_W}.0::DOUBLE, 2)::DOUBLE AS at_x, round_even(cy / {SLIDE_H}.0::DOUBLE, 2)::DOUBLE AS at_y, coalesce(children, 0) AS children, coalesce(cells, '') AS cells, coalesce(points, '') AS points, coalesce(kids, '') AS kids
 FROM shapes_gt LEFT JOIN c USING (deck, slide, path) LEFT JOIN s USING (deck, slide, path) LEFT JOIN k USING (deck, slide, path) WHERE kind IN ('chart', 'table', 'picture', 'smartart', 'group')""")
@@ -390,7 +390,7 @@ a AS (SELECT deck, slide, path, x AS px, y AS py, w AS pw, h AS ph FROM n WHERE
  UNION ALL SELECT k.deck, k.slide, k.path, g.x + (k.x - g.ch_x) / 2, g.y + (k.y - g.ch_y) / 4, k.w / 2, k.h / 4 FROM n k JOIN n g ON g.deck = k.deck AND g.slide = k.slide AND g.path = k.grp)
 SELECT deck, slide, path, round_even(px + pw / 2, 0)::BIGINT AS cx, round_even(py + ph / 2, 0)::BIGINT AS cy, round_even(pw, 0)::BIGINT AS w, round_even(ph, 0)::BIGINT AS h FROM a""")
 def page_boxes(m):
-    return A.page_boxes(m.sql(_NESTED.replace("{src}", "{shapes_gt}")), depth=1)
+    return A.page_boxes(m.sql(_NESTED.replace("{src}", "{shapes_gt}")))
 
 
 @query("deck_summary", "A41", "WITH " + SQL_SEM + """,
