@@ -9,7 +9,9 @@ SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations").split()
 SAMPLE = ["licence_verdict", "dedup_first", "selection_audit", "triage_score", "shortlist", "register_by_content", "stage_staleness",
           "stage_runs", "edge_alerts", "diagnose", "group_defects", "allocate_ids", "commit_batches", "overlap_pairs", "alignment_digest",
-          "pair_shapes", "match_shapes", "restored_shape_credit", "component_weights", "answer_text_leaks", "reachable_parts"]
+          "pair_shapes", "match_shapes", "restored_shape_credit", "component_weights", "answer_text_leaks", "reachable_parts",
+          "damage_zorder", "damage_clear_text", "apply_recipe", "half_restore", "chart_matrix", "page_boxes", "whole_objects", "failure_verdict",
+          "excused_work", "native_demands", "demands_check", "notable_events", "stream_edge_alerts", "operation_scores"]
 
 
 @pytest.fixture(scope="module")
