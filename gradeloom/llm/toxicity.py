@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.llm.common import text_batches
+from gradeloom.llm.common import text_batches, written
 
 WORD = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 CODE_BYTES = 12
@@ -104,7 +104,8 @@ def train(documents: DataFrame, labels: DataFrame, *, toxic_rows: int = 4000, or
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     sample = (chosen.where("toxic = 1").orderBy(*order).limit(toxic_rows)
               .unionByName(chosen.where("toxic = 0").orderBy(*order).limit(ordinary_rows)))
-    texts = documents.select(F.col("doc_id"), F.col("text")).join(sample, "doc_id").select("text", "toxic").where("text is not null").distinct()
+    # bounded by the sample; written once, since several counts read it
+    texts = written(documents.select("doc_id", "text").join(sample, "doc_id").select("text", "toxic").where("text is not null").distinct(), "labelled-texts")
     words = texts.select("toxic", F.explode(F.array_distinct(F.split(F.lower("text"), NOT_WORD))).alias("word")).where("word <> ''")
     totals = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_ordinary = totals.get(1, 0), totals.get(0, 0)
