@@ -7,8 +7,9 @@ neither counted nor dropped.  Lines are compared without blanks at their ends, k
 are, and all rows stay, with an empty text if every line went.
 
 Shares of a host's lines add up to its lines per page, so at most (lines per page / ratio) lines of a
-host can be dropped: that list is one short row per host, joined by host.  The texts themselves are
-not shuffled unless the hosts outgrow an automatic broadcast; then adaptive execution splits hot hosts.
+host can be dropped: that list is one short row per host, joined by host.  It is written and counted
+first; up to ``BROADCAST_LINES`` lines in all it is broadcast and the texts are not shuffled, beyond that
+the texts are joined by host and adaptive execution splits hot hosts.
 
 Null texts stay null and are no pages; a null host is a host of its own; repeated rows are treated alike.
 """
@@ -18,9 +19,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gradeloom.llm.common import boxed
+from gradeloom.llm.common import boxed, written
 
 BLANKS = " \t\r"
+#: Line hashes (8 bytes each) and hosts that may be sent to every executor.
+BROADCAST_LINES, BROADCAST_HOSTS = 1_000_000, 100_000
 
 
 def bare(line: Column) -> Column:
@@ -47,10 +50,13 @@ def boilerplate(pages: DataFrame, host: str = "source", *, ratio: float = 0.05,
 def clean(pages: DataFrame, host: str = "source", *, ratio: float = 0.05, least_pages: int = 3) -> DataFrame:
     """``pages`` with boilerplate lines out of ``text``, and ``lines_before``, ``lines_dropped``."""
     added = ("lines_before", "lines_dropped")
-    drop = boilerplate(pages, host, ratio=ratio, least_pages=least_pages)
+    drop = written(boilerplate(pages, host, ratio=ratio, least_pages=least_pages), "boilerplate")
+    size = drop.agg(F.count("*").alias("hosts"), F.coalesce(F.sum(F.size("_lines")), F.lit(0)).alias("lines")).first()
+    if size["hosts"] <= BROADCAST_HOSTS and size["lines"] <= BROADCAST_LINES:
+        drop = F.broadcast(drop)
     split = F.split("_text", "\n")
     keep = F.filter(split, lambda x: ~F.array_contains("_lines", F.xxhash64(bare(x))) | (bare(x) == ""))
-    work = pages.select(boxed(pages, *added).alias("_row"), F.col("text").alias("_text"), F.col(host).alias("_site"))
+    work = pages.select(boxed(pages, "text", *added).alias("_row"), F.col("text").alias("_text"), F.col(host).alias("_site"))
     joined = work.join(drop, F.col("_site").eqNullSafe(F.col("_host")), "left").withColumn(
         "_kept", F.when(F.col("_lines").isNotNull() & F.col("_text").isNotNull(), keep))
     return joined.select(
