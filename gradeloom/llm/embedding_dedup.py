@@ -104,9 +104,15 @@ def medoids_of(rows: np.ndarray, count: int) -> np.ndarray:
     return np.unique((np.stack(centres) @ rows.T).argmax(axis=1))
 
 
-def range_search(rows: np.ndarray, graph: np.ndarray, entries: np.ndarray, queries: np.ndarray, own: np.ndarray, *,
-                 least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """(query, row) pairs in range.  ``graph``: neighbours padded with -1; ``own``: the query's row or -1."""
+def range_search(rows: np.ndarray, lists: list[np.ndarray], entries: np.ndarray, queries: np.ndarray, own: np.ndarray, *,
+                 least: float, beam: int, steps: int = 96) -> tuple[np.ndarray, np.ndarray]:
+    """(query, row) pairs in range.  ``lists``: neighbours of each row; ``own``: the query's row or -1.
+
+    A greedy step looks at up to ``steps`` neighbours of a row, the expansion in range at all of them.
+    """
+    graph = padded([x if len(x) <= steps else x[np.linspace(0, len(x) - 1, steps).astype(int)] for x in lists])
+    degree = np.array([len(x) for x in lists], np.int64)
+    begin, heads = np.cumsum(degree) - degree, np.concatenate([*lists, np.zeros(0, np.int64)]).astype(np.int64)
     small, asked = rows.astype(np.float32), queries.astype(np.float32)
     found_q, found_r = [], []
     n, m = len(rows), 256
@@ -156,9 +162,9 @@ def range_search(rows: np.ndarray, graph: np.ndarray, entries: np.ndarray, queri
             held_r.append(ri)
             next_q, next_r = [], []
             for s in range(0, len(qi), 20_000):
-                around = graph[ri[s:s + 20_000]]
-                i = np.repeat(qi[s:s + 20_000], around.shape[1])
-                r = np.where(around < 0, n, around).ravel()
+                many = degree[ri[s:s + 20_000]]
+                i = np.repeat(qi[s:s + 20_000], many)
+                r = heads[np.arange(len(i)) - np.repeat(np.cumsum(many) - many - begin[ri[s:s + 20_000]], many)]
                 fresh = ~seen[i, r]
                 code = np.unique(i[fresh] * (n + 1) + r[fresh])
                 i, r = code // (n + 1), code % (n + 1)
@@ -255,7 +261,7 @@ def link(nodes: DataFrame, *, least: float, shard_rows: int, most_home: int, sam
             at = np.minimum(np.searchsorted(known, want), len(known) - 1)
             return at[known[at] == want]
 
-        graph = padded([local(x) for x in known.tolist()])
+        graph = [local(x) for x in known.tolist()]
         own = np.full(len(ids), -1, np.int64)
         own[inside] = np.arange(len(inside))
         qi, ri = range_search(rows, graph, medoids_of(rows, medoids), vectors, own, least=least, beam=beam)
