@@ -9,7 +9,9 @@ values and, where t(i) > 0, the values around them; rows that meet are verified
 
 A bucket is split into blocks of ``BLOCK`` rows and every pair of blocks is one unit of work, so a
 value shared by a third of all rows is not one task, and of the links inside a unit only a spanning
-forest leaves it: connectivity is kept, the pairs of a large group are never emitted.
+forest leaves it: connectivity is kept, the pairs of a large group are never emitted.  Where links are then
+verified by another measure, a forest whose links fail says nothing about its other pairs: all pairs of
+such a group that are not connected yet are verified where they meet, and a forest of those that hold leaves.
 
 Words are the maximal runs of characters other than blank and tab to carriage return, with A-Z lower-cased.
 A text of fewer words than a shingle has its whole word sequence as its only shingle.
@@ -263,8 +265,9 @@ def probes(prints: DataFrame, parts: list[Part], bits: int, carried: int) -> Dat
     return prints.select("node", "fp").mapInArrow(run, "part int, value long, node long, fp binary")
 
 
-def _forest(keys: np.ndarray, nodes: np.ndarray, rows: np.ndarray, within: int, forests: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of edge-disjoint spanning forests, closest pairs first, of rows with equal keys (sorted) within the distance."""
+def _forest(keys: np.ndarray, nodes: np.ndarray, rows: np.ndarray, within: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows at the ends of the links of a spanning forest, closest pairs first, of rows with equal keys (sorted)
+    within the distance, and for every link the smallest node of its tree."""
     n = len(keys)
     wide = np.ascontiguousarray(rows).view(np.uint64)
     size_after = np.zeros(n, np.int64)  # rows of the same key that follow
@@ -281,43 +284,40 @@ def _forest(keys: np.ndarray, nodes: np.ndarray, rows: np.ndarray, within: int,
         far.append(apart[hit])
         step += 1
         alive = alive[size_after[alive] >= step]
+    none = np.zeros(0, np.int64)
     if not left:
-        return nodes[:0], nodes[:0]
+        return none, none, none
     a, b, d = np.concatenate(left), np.concatenate(right), np.concatenate(far)
     other = nodes[a] != nodes[b]
     a, b, d = a[other], b[other], d[other]
-    took_a, took_b = [], []
-    for _ in range(forests):
-        root, used = np.arange(n), np.zeros(len(a), bool)
-        for level in np.unique(d):
-            at = np.flatnonzero(d == level)
-            while True:
-                at = at[root[a[at]] != root[b[at]]]
-                if not len(at):
-                    break
-                # each root takes one link to a smaller root; the rest is looked at again
-                x, y = root[a[at]], root[b[at]]
-                _, first = np.unique(np.maximum(x, y), return_index=True)
-                used[at[first]] = True
-                root[np.maximum(x, y)[first]] = np.minimum(x, y)[first]
-                while (root != root[root]).any():
-                    root = root[root]
-        took_a.append(a[used])
-        took_b.append(b[used])
-        a, b, d = a[~used], b[~used], d[~used]
-    if not took_a:
-        return nodes[:0], nodes[:0]
-    return nodes[np.concatenate(took_a)], nodes[np.concatenate(took_b)]
+    root, used = np.arange(n), np.zeros(len(a), bool)
+    for level in np.unique(d):
+        at = np.flatnonzero(d == level)
+        while True:
+            at = at[root[a[at]] != root[b[at]]]
+            if not len(at):
+                break
+            # each root takes one link to a smaller root; the rest is looked at again
+            x, y = root[a[at]], root[b[at]]
+            _, first = np.unique(np.maximum(x, y), return_index=True)
+            used[at[first]] = True
+            root[np.maximum(x, y)[first]] = np.minimum(x, y)[first]
+            while (root != root[root]).any():
+                root = root[root]
+    least = nodes.copy()
+    np.minimum.at(least, root, nodes)
+    return a[used], b[used], least[root[a[used]]]
 
 
 def links(prints: DataFrame, *, bits: int, within: int, verify: int | None = None, block_bits: int = 16,
-          together: int | None = None, carried: int | None = None, forests: int = 1) -> DataFrame:
+          together: int | None = None, carried: int | None = None, grouped: bool = False) -> DataFrame:
     """(a, b): links that connect what fingerprints within the distance connect.
 
     ``prints`` has ``node`` (long, unique) and ``fp`` (binary).  ``within`` is the distance up to which
     every pair is sure to be found, ``verify`` (``within`` if not given) the largest one accepted among
     the first ``carried`` bits (all, if not given).  A caller that goes on to reject links by another
-    measure asks for several edge-disjoint ``forests``.
+    measure asks for ``grouped`` links: ``tree`` names the tree of a unit that a link is part of, and all
+    pairs of that unit within the distance are pairs of nodes of one tree.
     """
     parts = plan_parts(prints, bits=bits, within=within, block_bits=block_bits, together=together)
     verify, carried = within if verify is None else verify, carried or bits
@@ -345,16 +345,24 @@ def links(prints: DataFrame, *, bits: int, within: int, verify: int | None = Non
             keys = np.cumsum(change)
             size = np.bincount(keys)
             keep = size[keys] > 1
-            keys, nodes, fps = keys[keep], nodes[keep], fps[keep]
+            unit = np.zeros(len(keys), np.uint64)
+            with np.errstate(over="ignore"):
+                for c in ("part", "value", "x", "y") if grouped else ():
+                    unit = _mixed(unit + table.column(c).to_numpy().astype(np.int64).view(np.uint64), 1)
+            keys, nodes, fps, unit = keys[keep], nodes[keep], fps[keep], unit[keep]
             if not len(keys):
                 return
             _, keys, counts = np.unique(keys, return_inverse=True, return_counts=True)
             slot = np.cumsum(counts.astype(np.int64) ** 2) // 4_000_000
             bounds = np.searchsorted(slot[keys], np.unique(slot))
             for lo, hi in zip(bounds, np.append(bounds[1:], len(keys)), strict=True):
-                a, b = _forest(keys[lo:hi], nodes[lo:hi], fps[lo:hi], verify, forests)
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                a, b, least = _forest(keys[lo:hi], nodes[lo:hi], fps[lo:hi], verify)
+                if not len(a):
+                    continue
+                ends = [pa.array(nodes[lo:hi][a]), pa.array(nodes[lo:hi][b])]
+                with np.errstate(over="ignore"):
+                    tree = _mixed(unit[lo:hi][a] + least.view(np.uint64), 2).view(np.int64)
+                yield pa.RecordBatch.from_arrays([*ends, pa.array(tree)] if grouped else ends, ["a", "b", "tree"] if grouped else ["a", "b"])
 
         def last_start(batch: pa.RecordBatch) -> int:
             """Where the last unit of the batch begins."""
@@ -386,6 +394,64 @@ def links(prints: DataFrame, *, bits: int, within: int, verify: int | None = Non
             yield from found(pa.Table.from_batches(held))
 
     return (units.repartition("part", "value", "x", "y").sortWithinPartitions("part", "value", "x", "y")
+            .mapInArrow(run, "a long, b long, tree long" if grouped else "a long, b long"))
+
+
+def _set_links(root: np.ndarray, rows: np.ndarray, sets: list[np.ndarray], within: int, least: float) -> list[tuple[int, int]]:
+    """A forest of the pairs of different roots, within the distance and of a Jaccard similarity of ``least``."""
+    root, out = root.copy(), []
+    size = np.array([len(s) for s in sets])
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    ranks = np.split(flat, np.cumsum(size)[:-1])
+    held = np.zeros(len(flat), bool)
+    wide = np.ascontiguousarray(rows).view(np.uint64)
+    for i in range(len(sets) - 1):
+        far = np.bitwise_count(wide[i + 1:] ^ wide[i]).sum(axis=1, dtype=np.int32)
+        small, large = np.minimum(size[i + 1:], size[i]), np.maximum(size[i + 1:], size[i])
+        at = i + 1 + np.flatnonzero((root[i + 1:] != root[i]) & (far <= within) & (small > 0) & (small >= least * large))
+        held[ranks[i]] = True
+        while len(at):
+            now, at = at[:256], at[256:]
+            ends = np.cumsum(size[now])
+            shared = np.add.reduceat(held[np.concatenate([ranks[j] for j in now])], np.append(0, ends[:-1]), dtype=np.int64)
+            for j in now[(shared > 0) & (shared >= least * (size[i] + size[now] - shared))].tolist():
+                if root[j] != root[i]:
+                    out.append((i, j))
+                    root[root == root[j]] = root[i]
+            at = at[root[at] != root[i]]
+        held[ranks[i]] = False
+    return out
+
+
+def set_links(members: DataFrame, *, within: int, least: float, carried: int) -> DataFrame:
+    """(a, b): links that connect, with the components there are, all pairs of a tree that hold.
+
+    ``members`` has ``tree``, ``node``, ``component``, ``fp`` (``carried`` bits) and ``shingles``; a pair holds if it is
+    within the distance and its sets have a Jaccard similarity of ``least`` or more.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(table: pa.Table) -> Iterator[pa.RecordBatch]:
+            node = table.column("node").to_numpy()
+            sets = [s.values.to_numpy() for s in table.column("shingles")]
+            pairs = _set_links(table.column("component").to_numpy(), matrix(table.column("fp").combine_chunks(), carried), sets, within, least)
+            if pairs:
+                a, b = (node[list(e)] for e in zip(*pairs, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            tree = batch.column("tree").to_numpy()
+            starts = [0, *(np.flatnonzero(tree[1:] != tree[:-1]) + 1).tolist(), len(tree)]
+            for lo, hi in zip(starts[:-1], starts[1:], strict=True):
+                if hi > lo:
+                    if held and held[-1].column("tree")[0].as_py() != tree[lo]:
+                        yield from found(pa.Table.from_batches(held))
+                        held = []
+                    held.append(batch.slice(lo, hi - lo))
+        if held:
+            yield from found(pa.Table.from_batches(held))
+
+    return (members.select("tree", "node", "component", "fp", "shingles").repartition("tree").sortWithinPartitions("tree")
             .mapInArrow(run, "a long, b long"))
 
 
@@ -418,14 +484,14 @@ def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
 
 
 def one_of_each_group(documents: DataFrame, *, shingle: int = 5, least: float = 0.8, bits: int = 512, within: int = 25,
-                      block_bits: int = 10, together: int = 2, carried: int = 128, candidate_share: float = 0.22, forests: int = 3) -> DataFrame:
+                      block_bits: int = 10, together: int = 2, carried: int = 128, candidate_share: float = 0.22) -> DataFrame:
     """``documents`` with one row of every group of near copies, in their own columns.
 
     Exact copies are one node.  Nodes are linked if their sets of ``shingle``-word runs have a Jaccard
     similarity of ``least`` or more; candidates come from SimHash over the distinct words, whose angle
     moves far less than that of long runs when a word is edited: any pair within ``within`` bits is
     a candidate, and so is any that agrees on a part and differs in at most ``candidate_share`` of the
-    first ``carried`` bits.  At 0.8 about 4 to 8 % of the bits differ; of two such texts over 99 % agree on
+    first ``carried`` bits.  Every candidate is verified, or joined by others that were.  At 0.8 about 4 to 8 % of the bits differ; of two such texts over 99 % agree on
     one of the 26 parts of about 20 bits.
     Of a group, the row with the smallest ``doc_id`` stays (nulls last); of repeated rows, one.
     Null texts are copies of one another, and texts without words are linked by equality only.
@@ -436,8 +502,10 @@ def one_of_each_group(documents: DataFrame, *, shingle: int = 5, least: float =
     prints = fingerprints(marked, shingle=1, bits=bits, distinct=True)
     classes = written(prints.groupBy("digest").agg(F.min(key).alias("first"), F.any_value("fp").alias("fp"))
                       .withColumn("node", F.monotonically_increasing_id()), "classes")
-    pairs = written(links(classes, bits=bits, within=within, verify=int(candidate_share * carried),
-                          block_bits=block_bits, together=together, carried=carried, forests=forests).distinct(), "candidates")
+    apart = int(candidate_share * carried)
+    found = written(links(classes, bits=bits, within=within, verify=apart, block_bits=block_bits, together=together,
+                          carried=carried, grouped=True), "candidates")
+    pairs = written(found.select("a", "b").distinct(), "pairs")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = classes.join(ends, "node").select("node", F.col("digest").alias("_d"), F.col("first.id").alias("_id"))
     texts = documents.select("doc_id", "text", digest.alias("_digest"))
@@ -447,7 +515,19 @@ def one_of_each_group(documents: DataFrame, *, shingle: int = 5, least: float =
     shared = F.size(F.array_intersect("sa", "sb"))
     linked = (pairs.join(left, "a").join(right, "b")
               .where((shared > 0) & (shared >= least * (F.size("sa") + F.size("sb") - shared))).select("a", "b"))
-    joined = components(written(linked, "links"))
+    linked = written(linked, "links")
+    joined = components(linked)
+    # trees with a link that failed and that no other link makes up for: all their pairs
+    one, two = (joined.select(F.col("node").alias(e), F.col("component").alias(f"c{e}")) for e in "ab")
+    broken = written(pairs.join(one, "a", "left").join(two, "b", "left")
+                     .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "broken")
+    if not broken.isEmpty():
+        trees = found.join(broken, ["a", "b"]).select("tree").distinct()
+        members = (found.join(trees, "tree").select("tree", F.explode(F.array("a", "b")).alias("node")).distinct()
+                   .join(classes.select("node", F.substring("fp", 1, carried // 8).alias("fp")), "node")
+                   .join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")).join(sets, "node"))
+        more = written(set_links(members, within=apart, least=least, carried=carried), "more-links")
+        joined = components(linked.unionByName(more))
     kept = (classes.join(joined, "node", "left").groupBy(F.coalesce("component", "node").alias("component"))
             .agg(F.min_by(F.struct(F.col("digest").alias("_d"), F.col("first.id").alias("_id")), F.struct("first", "node")).alias("k")).select("k.*"))
     held = documents.select(boxed(documents).alias("_row"), digest.alias("_digest"), F.col("doc_id").alias("_doc"))
