@@ -232,6 +232,13 @@ def allocated(n: int, within: int, blocks: list[tuple[int, ...]], shares: list[n
     return best[1]
 
 
+def crossed(parts: list[Part]) -> list[Part]:
+    """As many parts over the same bits once more, each with bits from as many of the given parts as can be."""
+    order = [p.bits[i] for i in range(max(len(p.bits) for p in parts)) for p in parts if i < len(p.bits)]
+    ends = np.cumsum([len(p.bits) for p in parts]).tolist()
+    return [Part(tuple(sorted(order[lo:hi])), 0) for lo, hi in zip([0, *ends], ends, strict=False)]
+
+
 def plan_parts(prints: DataFrame, *, bits: int, within: int, block_bits: int = 16, together: int | None = None) -> list[Part]:
     n = prints.count()
     count = -(-bits // block_bits)
@@ -310,16 +317,19 @@ def _forest(keys: np.ndarray, nodes: np.ndarray, rows: np.ndarray, within: int)
 
 
 def links(prints: DataFrame, *, bits: int, within: int, verify: int | None = None, block_bits: int = 16,
-          together: int | None = None, carried: int | None = None, grouped: bool = False) -> DataFrame:
+          together: int | None = None, carried: int | None = None, again: bool = False, grouped: bool = False) -> DataFrame:
     """(a, b): links that connect what fingerprints within the distance connect.
 
     ``prints`` has ``node`` (long, unique) and ``fp`` (binary).  ``within`` is the distance up to which
     every pair is sure to be found, ``verify`` (``within`` if not given) the largest one accepted among
-    the first ``carried`` bits (all, if not given).  A caller that goes on to reject links by another
+    the first ``carried`` bits (all, if not given).  With ``again``, pairs beyond ``within`` get a second
+    set of parts to agree on.  A caller that goes on to reject links by another
     measure asks for ``grouped`` links: ``tree`` names the tree of a unit that a link is part of, and all
     pairs of that unit within the distance are pairs of nodes of one tree.
     """
     parts = plan_parts(prints, bits=bits, within=within, block_bits=block_bits, together=together)
+    if again:
+        parts = parts + crossed(parts)
     verify, carried = within if verify is None else verify, carried or bits
     rows = probes(prints, parts, bits, carried)
     hot = written(rows.groupBy("part", "value").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
@@ -483,28 +493,30 @@ def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node long, shingles array<int>")
 
 
-def one_of_each_group(documents: DataFrame, *, shingle: int = 5, least: float = 0.8, bits: int = 512, within: int = 25,
-                      block_bits: int = 10, together: int = 2, carried: int = 128, candidate_share: float = 0.22) -> DataFrame:
+def one_of_each_group(documents: DataFrame, *, shingle: int = 5, least: float = 0.8, bits: int = 512, within: int = 36,
+                      block_bits: int = 7, together: int = 2, carried: int = 128, candidate_share: float = 0.3) -> DataFrame:
     """``documents`` with one row of every group of near copies, in their own columns.
 
     Exact copies are one node.  Nodes are linked if their sets of ``shingle``-word runs have a Jaccard
-    similarity of ``least`` or more; candidates come from SimHash over the distinct words, whose angle
-    moves far less than that of long runs when a word is edited: any pair within ``within`` bits is
-    a candidate, and so is any that agrees on a part and differs in at most ``candidate_share`` of the
-    first ``carried`` bits.  Every candidate is verified, or joined by others that were.  At 0.8 about 4 to 8 % of the bits differ; of two such texts over 99 % agree on
-    one of the 26 parts of about 20 bits.
+    similarity of ``least`` or more; candidates come from SimHash over the same sets: any pair within
+    ``within`` bits is a candidate, and so is any that agrees on a part and differs in at most
+    ``candidate_share`` of the first ``carried`` bits.  Every candidate is verified, or joined by others that
+    were.  Two sets of similarity 0.8 are at an angle of at most arccos(8/9), so about 15 % of the bits
+    differ, whether words were edited here and there or a passage was added, cut or replaced (over distinct
+    words the angle would depend on the edit).  At 15 %, a part of 14 bits is equal with a chance of 10 %:
+    the bits are put into 37 parts of 13 or 14 bits, and into 37 others across these.
     Of a group, the row with the smallest ``doc_id`` stays (nulls last); of repeated rows, one.
     Null texts are copies of one another, and texts without words are linked by equality only.
     """
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
     digest = F.unhex(F.coalesce(F.md5("text"), F.lit("00")))
     marked = documents.select("doc_id", "text").withColumn("digest", digest)
-    prints = fingerprints(marked, shingle=1, bits=bits, distinct=True)
+    prints = fingerprints(marked, shingle=shingle, bits=bits, distinct=True)
     classes = written(prints.groupBy("digest").agg(F.min(key).alias("first"), F.any_value("fp").alias("fp"))
                       .withColumn("node", F.monotonically_increasing_id()), "classes")
     apart = int(candidate_share * carried)
     found = written(links(classes, bits=bits, within=within, verify=apart, block_bits=block_bits, together=together,
-                          carried=carried, grouped=True), "candidates")
+                          carried=carried, again=True, grouped=True), "candidates")
     pairs = written(found.select("a", "b").distinct(), "pairs")
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = classes.join(ends, "node").select("node", F.col("digest").alias("_d"), F.col("first.id").alias("_id"))
