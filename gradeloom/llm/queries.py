@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gradeloom.llm import decontamination, embedding_dedup, license_scan, line_dedup, packing, simhash, token_counts, toxicity, url_filter, warc
+from gradeloom.llm import (
+    conversations,
+    decontamination,
+    embedding_dedup,
+    license_scan,
+    line_dedup,
+    online_packing,
+    packing,
+    simhash,
+    spelling,
+    token_counts,
+    toxicity,
+    url_filter,
+    warc,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -136,3 +150,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(documents, table(spark, sf_dir, "labels"))
     return toxicity.score(documents, model, threshold=0.7).select(
         "doc_id", (~toxicity.in_training()).alias("held_out"), "score", "predicted", "evidence")
+
+
+@query("op11_conversation_repair")
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after planted damage."""
+    return conversations.report(conversations.damage(table(spark, sf_dir, "conversations")))
+
+
+@query("op12_spelling_variants")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all whole texts with the spelling that each is a variant of."""
+    return spelling.group_spellings(table(spark, sf_dir, "documents"), least_length=7, least_count=2, noise=31, least_times=10)
+
+
+@query("op13_online_packing")
+def op13_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in windows of 1024 tokens without padding."""
+    return online_packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024)
