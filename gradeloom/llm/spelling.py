@@ -4,13 +4,14 @@ The vocabulary is a trie as a distributed edge table, once over the words and on
 words one edit apart agree in at least the first half of one of them.  Chains without a branch are one
 edge, so a level is a branching point, and a very long word costs as few levels as a short one.
 
-A state is (word, position, node, edits).  Before the edit a word walks along its own path, so its first frontier is its
-own branching points in the later half.  There it leaves its path by an edge that begins with another
-code point, taking its one edit: that code point replaced, inserted or passed over.  After that each level joins the
-frontier with the edge table on the node and the next code point (one edge at most) and keeps the states
-whose rest begins with the edge's label.  States with nothing left at a word's end are its neighbours.  The first
-difference of two words is where they part, so a pair is found once on each side and never by comparing all words of
-a group; a state has at most as many ways on as there are letters.
+A state is (word, position, node, edits), the position being what is left of the word.  Before the edit a word walks
+along its own path, so its first frontier is its own branching points in the later half.  There it leaves its path by an
+edge that begins with another code point, taking its one edit: its own code point is passed over, or replaced by a larger
+one (the mirrored edits give the same pairs from the other word).  After that each level joins the frontier with
+the edge table on the node and the next code point (one edge at most) and keeps the states whose rest begins with
+the edge's label and can go on at its child.  States with nothing left at a word's end are its neighbours.  Two words
+part at their first difference, so pairs never come from comparing all words of a group; a state has at most as many ways
+on as there are letters.
 
 Nodes are 64-bit hashes of prefixes; neighbours are compared once more, so that a collision can add nothing.
 
@@ -20,7 +21,7 @@ each, an empty table gives no words.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.llm.common import written
@@ -44,31 +45,41 @@ def noisy_words(documents: DataFrame, *, least_length: int = 7, noise: int = 31)
     return drawn.select(word.alias("word")).where(F.length("word") >= least_length)
 
 
+def _half(side: str = "side", spelt: str = "spelt") -> Column:
+    """Where a word's later half begins: the halves of the two sides add up to the word."""
+    return ((F.length(spelt) + F.col(side)) / 2).cast("int")
+
+
+def _bit(text: str) -> Column:
+    """A bit for the first code point of ``text``."""
+    return F.expr(f"shiftleft(1L, ascii({text}) % 64)")
+
+
 def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(paths, edges) of ``words(word)``, over the words (side 0) and reversed (side 1).
 
-    ``paths(side, word, spelt, depth, node, terminal)``: a word's own branching points and ends from its half on (``spelt``:
-    as walked on that side).  ``edges(node, first, label, child, ends)``: ``ends`` is the word that ends at the child.
+    ``paths(side, word, spelt, depth, node, terminal, ways)``: a word's own branching points and ends from its half on
+    (``spelt``: as walked on that side, ``ways``: bits of the code points that follow the node).
+    ``edges(node, first, label, child, ends, onward)``: ``ends`` is the word that ends at the child, ``onward`` its ways.
     """
     sides = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("word").alias("spelt")),
                               F.struct(F.lit(1).alias("side"), F.reverse("word").alias("spelt")))).alias("s")
     spelt = words.select("word", sides).select("word", "s.*")
-    start = F.greatest(F.lit(0), F.floor((F.length("spelt") - 1) / 2)).cast("int")
-    steps = spelt.withColumn("depth", F.explode(F.sequence(start, F.length("spelt"))))
+    steps = spelt.withColumn("depth", F.explode(F.sequence(_half(), F.length("spelt"))))
     steps = steps.withColumn("node", F.xxhash64("side", F.substring("spelt", F.lit(1), F.col("depth"))))
     following = F.when(F.col("depth") < F.length("spelt"), F.substring("spelt", F.col("depth") + 1, F.lit(1)))
-    nodes = (steps.groupBy("node").agg(F.min(following).alias("_a"), F.max(following).alias("_b"),
-                                       F.bool_or(following.isNull()).alias("terminal"))
-             .where("terminal or _a < _b").select("node", "terminal"))
+    nodes = (steps.select("node", following.alias("_next")).groupBy("node")
+             .agg(F.min("_next").alias("_a"), F.max("_next").alias("_b"), F.bool_or(F.col("_next").isNull()).alias("terminal"),
+                  F.bit_or(_bit("_next")).alias("ways"))
+             .where("terminal or _a < _b").select("node", "terminal", F.coalesce("ways", F.lit(0).cast("long")).alias("ways")))
     paths = written(steps.join(nodes, "node"), "trie-paths")
     ahead = Window.partitionBy("side", "word").orderBy("depth")
-    far = paths.withColumn("_child", F.lead("node").over(ahead)).withColumn("_to", F.lead("depth").over(ahead))
-    far = far.withColumn("_ends", F.lead("terminal").over(ahead)).where(F.col("_child").isNotNull())
-    label = F.substring("spelt", F.col("depth") + 1, F.col("_to") - F.col("depth"))
-    ends = F.when(F.col("_ends"), F.substring("spelt", F.lit(1), F.col("_to")))
+    far = paths.withColumn("_c", F.lead(F.struct("node", "depth", "terminal", "ways")).over(ahead)).where(F.col("_c").isNotNull())
+    label = F.substring("spelt", F.col("depth") + 1, F.col("_c.depth") - F.col("depth"))
+    ends = F.when(F.col("_c.terminal"), F.substring("spelt", F.lit(1), F.col("_c.depth")))
     ends = F.when(F.col("side") == 1, F.reverse(ends)).otherwise(ends)
-    edges = (far.select("node", F.col("_child").alias("child"), label.alias("label"), ends.alias("ends"))
-             .groupBy("node", "child").agg(F.min("label").alias("label"), F.min("ends").alias("ends"))
+    edges = (far.select("node", F.col("_c.node").alias("child"), label.alias("label"), ends.alias("ends"), F.col("_c.ways").alias("onward"))
+             .groupBy("node", "child").agg(F.min("label").alias("label"), F.min("ends").alias("ends"), F.bit_or("onward").alias("onward"))
              .withColumn("first", F.substring("label", 1, 1)))
     return paths, written(edges, "trie-edges")
 
@@ -76,37 +87,34 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
 def near_words(words: DataFrame) -> DataFrame:
     """(word, near): all ordered pairs of ``words(word)``, distinct and not empty, that are one edit apart."""
     paths, edges = trie(words)
-    own = paths.where(F.col("depth") >= F.floor(F.length("spelt") / 2)).select(
-        "word", F.col("spelt").alias("rest"), "depth", "node", "terminal", "side")
-    own = own.withColumn("rest", F.expr("substring(rest, depth + 1)"))
-    # one code point left at a word's end: passed over
+    own = paths.select("word", "node", "terminal", "side", F.expr("substring(spelt, depth + 1)").alias("rest")).where("rest <> ''")
+    # one code point left where a word ends: passed over
     shorter = own.where(F.col("terminal") & (F.length("rest") == 1)).select(
         "word", F.expr("case when side = 0 then substring(word, 1, char_length(word) - 1) else substring(word, 2) end").alias("near"))
-    left = (own.select("word", "rest", "node").join(edges, "node")
-            .where((F.col("rest") == "") | (F.substring("rest", 1, 1) != F.col("first"))))
-    size, tail = F.length("label"), F.expr("substring(label, 2)")
-    ways = [
-        (F.col("rest") != "", F.expr("substring(rest, 2)"), tail, "char_length(label)"),       # replaced
-        (F.col("rest") != "", F.expr("substring(rest, 2)"), F.col("label"), "char_length(label) + 1"),   # passed over
-        (F.lit(True), F.col("rest"), tail, "char_length(label) - 1"),                           # inserted
-    ]
-    taken = F.array(*(F.when(allowed & F.startswith(against, want), F.struct(F.expr(f"substring(rest, {used} + 1)").alias("rest")))
-                      for allowed, against, want, used in ways))
-    frontier = written(left.select("word", "ends", F.col("child").alias("node"), F.explode(F.filter(taken, lambda x: x.isNotNull())).alias("s"))
-                       .select("word", "ends", "node", "s.rest"), "trie-frontier")
+    hopeful = F.expr("case when rest = '' then ends is not null else onward & shiftleft(1L, ascii(rest) % 64) <> 0 end")
+    left = own.select("word", "rest", "node").join(edges, "node").where(F.substring("rest", 1, 1) != F.col("first"))
+    tail = F.expr("substring(rest, 2)")
+    replaced = (F.col("first") > F.substring("rest", 1, 1)) & F.startswith(tail, F.expr("substring(label, 2)"))
+    ways = F.array(F.when(replaced, F.expr("substring(rest, char_length(label) + 1)")),
+                   F.when(F.startswith(tail, F.col("label")), F.expr("substring(rest, char_length(label) + 2)")))
+    kept = ["word", "ends", "onward", "node", "rest"]
+    frontier = written(left.select("word", "ends", "onward", F.col("child").alias("node"), F.explode(F.filter(ways, lambda x: x.isNotNull())).alias("rest"))
+                       .where(hopeful).select(*kept), "trie-frontier")
     done = [shorter]
     while True:
-        done.append(frontier.where((F.col("rest") == "") & F.col("ends").isNotNull()).select("word", F.col("ends").alias("near")))
+        done.append(frontier.where("rest = ''").select("word", F.col("ends").alias("near")))
         going = frontier.where("rest <> ''")
         if going.isEmpty():
             break
         moved = going.select("word", "rest", "node", F.substring("rest", 1, 1).alias("first")).join(edges, ["node", "first"])
-        frontier = written(moved.where(F.startswith("rest", "label")).select(
-            "word", "ends", F.col("child").alias("node"), F.expr("substring(rest, char_length(label) + 1)").alias("rest")), "trie-frontier")
+        moved = moved.where(F.startswith("rest", "label")).select(
+            "word", "ends", "onward", F.col("child").alias("node"), F.expr("substring(rest, char_length(label) + 1)").alias("rest"))
+        frontier = written(moved.where(hopeful).select(*kept), "trie-frontier")
     found = done[0]
     for more in done[1:]:
         found = found.unionByName(more)
-    return found.where(F.levenshtein("word", "near", 1) == 1).distinct()
+    once = written(found.where(F.levenshtein("word", "near", 1) == 1).distinct(), "near-words")
+    return once.unionByName(once.select(F.col("near").alias("word"), F.col("word").alias("near")))
 
 
 def variants(words: DataFrame, *, least_times: int = 10) -> DataFrame:
