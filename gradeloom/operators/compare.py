@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from gradeloom.functions.geometry import POS_TOL, ROT_TOL, inside
 from gradeloom.functions.text import squeeze
 from gradeloom.operators.matching import _fold
+from gradeloom.session import cut_lineage
 
 SHAPE = ["deck", "slide", "path"]
 # Numeric tolerance of chart values, depth of member roll-up.
@@ -414,13 +415,13 @@ def restored(wide: DataFrame, content: dict[str, DataFrame], depth: int = MEMBER
     """The shape has to be back: what it is, times where it is.
 
     ``wide`` has the theme map; ``content`` gives scores of shapes with a table, a chart or a diagram
-    as (deck, slide, path, raw).  A pairing on a weak key counts only where the position is right.
+    as (keys, path, raw).  A pairing on a weak key counts only where the position is right.
     Members of a container are scored first and averaged into it, level by level; ``depth`` is how
     deep containers nest, at most three levels count.
     """
     rows = wide
     for name, scores in content.items():
-        rows = rows.join(scores.select("deck", "slide", F.col("path").alias("a_path"), F.col("raw").alias(f"s_{name}")), ["deck", "slide", "a_path"], "left")
+        rows = rows.join(scores.select(*keys, F.col("path").alias("a_path"), F.col("raw").alias(f"s_{name}")), [*keys, "a_path"], "left")
     rows = rows.withColumns({"__placed": centre(), "__extent": extent(), "__pic": picture(), "__fill": F.when(a("fill_type").isNotNull(), fill()),
                              "__words": F.when(a("plain") != "", credit(squeeze(a("plain")) == squeeze(b("plain")))),
                              "__geom": geometry_preset(), "__line": F.when(a("line_fill").isNotNull(), line()), "__fx": effects(),
@@ -445,7 +446,16 @@ def restored(wide: DataFrame, content: dict[str, DataFrame], depth: int = MEMBER
         kids = F.when(F.col("a_path") == F.col("__family"), F.avg(F.when(F.col("a_grp").isNotNull(), F.col("raw"))).over(family))
         rows = rows.withColumn("__kids", kids).withColumn("raw", total(F.col("__kids")))
     else:
+        # what a roll-up reads, written once; a level joins only the containers, and none is left for it once nesting ends
+        rows = cut_lineage(rows.select(*keys, "a_path", "a_grp", "b_path", "__known", "__own", "__where", "__geom", "__line", "__fx", "raw"))
+        inner = rows.where(F.col("a_grp").isNotNull())
         for _ in range(min(depth, MEMBER_DEPTH)):
-            kids = rows.where(F.col("a_grp").isNotNull()).groupBy(*keys, F.col("a_grp").alias("a_path")).agg(F.avg("raw").alias("__kids"))
-            rows = rows.drop("__kids").join(kids, [*keys, "a_path"], "left").withColumn("raw", total(F.col("__kids")))
+            kids = inner.groupBy(*keys, F.col("a_grp").alias("a_path")).agg(F.avg("raw").alias("__kids"))
+            tops = cut_lineage(rows.drop("raw").join(kids, [*keys, "a_path"]).withColumn("raw", total(F.col("__kids"))).drop("__kids"))
+            rows = rows.join(tops.select(*keys, "a_path", F.col("raw").alias("__new")), [*keys, "a_path"], "left").withColumn(
+                "raw", F.coalesce("__new", "raw")).drop("__new")
+            if tops.where(F.col("a_grp").isNotNull()).isEmpty():
+                break
+            rows = cut_lineage(rows)
+            inner = rows.where(F.col("a_grp").isNotNull())
     return rows.select(*keys, F.col("a_path").alias("path"), "raw")

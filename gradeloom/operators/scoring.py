@@ -7,6 +7,7 @@ decks is scored in one pass.  ``plan`` tables are components, regions and findin
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from gradeloom.functions.geometry import covers, inside, same_place
 from gradeloom.functions.text import squeeze
 from gradeloom.operators import compare as X
 from gradeloom.operators import matching as M
+from gradeloom.operators.graded import CHILD_OPS, Facts, child_raw, content_scores, page_itself
 from gradeloom.operators.structure import is_strong
 from gradeloom.session import cut_lineage
 
@@ -178,52 +180,60 @@ def row_comparators(ops: Sequence[str]) -> dict[str, tuple[Column, tuple[str, ..
 RETURN_OPS = ("delete", "blank_slide")
 PAGE_OPS = ("zorder", "ungroup")
 SCORED_OPS = (*RETURN_OPS, *PAGE_OPS, "move", "scatter", "swap", "resize", "rotate", "recolor", "outline", "strip_effects", "clear_text", "set_text",
-              "set_font", "crop", "swap_picture", "drop_equation", "detach_connector")
+              "set_font", "crop", "swap_picture", "drop_equation", "detach_connector", *CHILD_OPS)
 
 
-def component_raw(components: DataFrame, wide: DataFrame, content: dict[str, DataFrame] | None = None, ops: Sequence[str] = SCORED_OPS) -> DataFrame:
-    """(scenario, deck, id, op, raw): every component by the comparator of its operation.
+def component_raw(components: DataFrame, wide: DataFrame, content: dict[str, DataFrame] | None = None, ops: Sequence[str] = SCORED_OPS,
+                  facts: Facts | None = None, depth: int = 1, scenarios: DataFrame | None = None) -> DataFrame:
+    """(scenario, deck, id, op, raw): every component of every scenario by the comparator of its operation.
 
     ``wide`` has one row per (scenario, shape).  ``ops`` names the operations a plan can hold, so that only
-    their comparators and columns are read.  Drawing order needs ``to`` on its components.
+    their comparators and columns are read.  Drawing order reads ``to`` of its components, if they have it; operations on child tables
+    need ``facts``.  A component that no comparator can decide, of an unknown operation too, keeps its row with a null
+    ``raw``, so a deck's weights always add up.
     """
-    own = components.select("deck", "slide", F.col("gt_path").alias("path"), "id", "op", *[c for c in ("to",) if c in components.columns])
-    parts = []
+    names = wide.select("scenario").distinct() if scenarios is None else scenarios
+    to = F.col("to") if "to" in components.columns else F.lit(None).cast("string")
+    own = components.select("deck", "slide", F.col("gt_path").alias("path"), "id", "op", to.alias("to"))
+    asked = own.join(F.broadcast(names), how="cross")                  # a handful of named scenarios
     settled = {op: x for op, x in row_comparators(ops).items() if {f"a_{c}" for c in x[1]} <= set(wide.columns)}
+    returned, paged = ([op for op in ops if op in some] for some in (RETURN_OPS, PAGE_OPS))
+    children = [op for op in ops if op in CHILD_OPS] if facts else []
+    out = ["scenario", "deck", "id", "op", "raw"]
+
+    read = {f"{side}_{c}" for _, needs in settled.values() for c in needs for side in "ab"} | ({"b_path", "theme"} if settled else set())
+    rows = asked.where(~F.col("op").isin(*returned, *paged, *children))
     if settled:
-        names = {f"{side}_{c}" for _, facts in settled.values() for c in facts for side in "ab"} | {"b_path", "theme"}
-        rows = own.where(F.col("op").isin(*settled)).join(
-            wide.select(*PAGE, F.col("a_path").alias("path"), *sorted(names & set(wide.columns))), ["deck", "slide", "path"])
-        raw = F.lit(None).cast("double")
-        for op, (expr, _) in settled.items():
-            raw = F.when(F.col("op") == op, expr).otherwise(raw)
-        parts.append(rows.select("scenario", "deck", "id", "op", raw.alias("raw")))
-    if set(ops) & set(RETURN_OPS):
-        back = X.restored(wide, content or {}, depth=1, keys=PAGE)
-        parts.append(own.where(F.col("op").isin(*RETURN_OPS)).join(back, ["deck", "slide", "path"]).select("scenario", "deck", "id", "op", "raw"))
-    if set(ops) & set(PAGE_OPS):
-        names = wide.select("scenario").distinct()
+        rows = rows.join(wide.select(*PAGE, F.col("a_path").alias("path"), F.lit(True).alias("__there"), *sorted(read & set(wide.columns))), [*PAGE, "path"], "left")
+    raw = F.lit(None).cast("double")
+    for op, (expr, _) in settled.items():
+        raw = F.when((F.col("op") == op) & F.col("__there"), expr).otherwise(raw)
+    parts = [rows.withColumn("raw", raw).select(*out)]
+    if returned:
+        back = X.restored(wide, content or {}, depth=depth, keys=PAGE)
+        parts.append(asked.where(F.col("op").isin(*returned)).join(back, [*PAGE, "path"], "left").select(*out))
+    if paged:
         keyed = wide.withColumn("deck", F.concat_ws("\u0001", "scenario", "deck"))
-        asked = own.where(F.col("op").isin(*PAGE_OPS)).join(F.broadcast(names), how="cross").withColumn("__deck", F.col("deck")).withColumn(
-            "deck", F.concat_ws("\u0001", "scenario", "deck"))
-        for op in PAGE_OPS:
-            if op in ops:
-                mine = asked.where(F.col("op") == op)
-                got = X.zorder(mine.select("deck", "slide", "path", "to"), keyed) if op == "zorder" else X.ungroup(keyed)
-                parts.append(mine.join(got, ["deck", "slide", "path"], "left").select("scenario", F.col("__deck").alias("deck"), "id", "op", "raw"))
-    out = parts[0]
-    for more in parts[1:]:
-        out = out.unionByName(more)
-    return out
+        mine = asked.where(F.col("op").isin(*paged)).withColumn("__deck", F.col("deck")).withColumn("deck", F.concat_ws("\u0001", "scenario", "deck"))
+        for op in paged:
+            of_op = mine.where(F.col("op") == op)
+            got = X.zorder(of_op.select("deck", "slide", "path", "to"), keyed) if op == "zorder" else X.ungroup(keyed)
+            parts.append(of_op.join(got, ["deck", "slide", "path"], "left").withColumn("deck", F.col("__deck")).select(*out))
+    if children:
+        got = child_raw(asked, facts, wide, children)
+        mine = asked.where(F.col("op").isin(*children))
+        parts.append((mine.withColumn("raw", F.lit(None).cast("double")) if got is None else mine.join(got, ["scenario", "deck", "id"], "left")).select(*out))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def normalise_by_floor(raw: DataFrame, floor_scenario: str) -> DataFrame:
     """Add floor and score: credit above what the broken file already has."""
-    floor = raw.where(F.col("scenario") == floor_scenario).select("deck", "id", F.coalesce("raw", F.lit(0.0)).alias("floor"))
+    mine = F.when(F.col("scenario") == floor_scenario, F.coalesce("raw", F.lit(0.0)))
+    rows = raw.withColumn("floor", F.max(mine).over(Window.partitionBy("deck", "id"))).where(F.col("floor").isNotNull())
     have = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce("raw", F.lit(0.0))))
     value = F.when(F.col("floor") >= 1.0, 0.0).otherwise(
         F.greatest(F.lit(0.0), F.least(F.lit(1.0), (have - F.col("floor")) / (F.lit(1.0) - F.col("floor")))))
-    return raw.join(floor, ["deck", "id"]).withColumn("score", value)
+    return rows.withColumn("score", value)
 
 
 # ------------------------------------------------------------------ gates: (scenario, deck) rows that fail
@@ -392,13 +402,14 @@ class Scoring:
     """The tables one scoring pass shares, built lazily from gt, input and scenario frames."""
 
     def __init__(self, gt: DataFrame, broken: DataFrame, frames: DataFrame, components: DataFrame,
-                 supplied: DataFrame, width: int, height: int, theme: DataFrame | None = None, ops: Sequence[str] = SCORED_OPS):
+                 supplied: DataFrame, width: int, height: int, theme: DataFrame | None = None, ops: Sequence[str] = SCORED_OPS,
+                 facts: Facts | None = None):
         # read by every gate and rule below, so each snapshot is written once and read back
         self.gt, self.broken, self.frames = (cut_lineage(M.with_keys(df)) for df in (gt, broken, frames))
         gt, frames = self.gt, self.frames
         self.components, self.supplied = cut_lineage(components), supplied
         components = self.components
-        self.width, self.height, self.ops = width, height, ops
+        self.width, self.height, self.ops, self.facts = width, height, ops, facts
         spark = gt.sparkSession
         self.regions = damage_regions(components)
         # pairs and the side-by-side rows feed every comparator, gate and scope rule, so each is written once
@@ -411,7 +422,8 @@ class Scoring:
         self.loose = unmatched(self.frames, self.pairs)
 
     def raw(self) -> DataFrame:
-        return component_raw(self.components, self.wide, ops=self.ops)
+        content = content_scores(self.facts, self.wide) if self.facts else {}
+        return component_raw(self.components, self.wide, content, self.ops, self.facts, X.MEMBER_DEPTH, self.scenarios)
 
     def scores(self, floor_scenario: str = "noop") -> DataFrame:
         return normalise_by_floor(self.raw(), floor_scenario).join(self.components.select("deck", "id", "weight", "deg"), ["deck", "id"])
@@ -421,7 +433,7 @@ class Scoring:
         pages = self.frames.select(*PAGE).distinct()
         asked = gt_pages.join(F.broadcast(self.scenarios), how="cross")
         marks = M.page_signatures(self.frames, PAGE)
-        itself = page_itself_by_scenario(asked, M.page_signatures(self.gt), marks)
+        itself = page_itself(asked, M.page_signatures(self.gt), marks)
         gt_media, in_media, media = media_of(self.gt, ["deck"]), media_of(self.broken, ["deck"]), media_of(self.frames, ["scenario", "deck"])
         out = {
             "slide_count_and_order": gate_slide_order(gt_pages, pages, itself, self.regions),
@@ -443,14 +455,3 @@ class Scoring:
 
     def final(self, rejected: DataFrame | None = None) -> DataFrame:
         return final_scores(self.scores(), self.failed_gates(rejected), self.costs())
-
-
-def page_itself_by_scenario(asked: DataFrame, gt_marks: DataFrame, marks: DataFrame) -> DataFrame:
-    """``matching.page_is_itself`` with the scenario folded into the deck key."""
-    def key(df: DataFrame) -> DataFrame:
-        return df.withColumn("deck", F.concat_ws("\u0001", "scenario", "deck")).drop("scenario")
-
-    names = asked.select("scenario").distinct()
-    got = M.page_is_itself(key(asked), key(gt_marks.join(F.broadcast(names), how="cross")), key(marks))
-    parts = F.split("deck", "\u0001")
-    return got.select(F.element_at(parts, 1).alias("scenario"), F.element_at(parts, 2).alias("deck"), "slide", "itself")

@@ -116,7 +116,8 @@ def restored_sql(wide_cte: str = "wd", content: bool = True, scenario: bool = Fa
     """CTEs ending in ``rst(deck, slide, path, raw)``."""
     by = ("scenario, " if scenario else "") + "deck, slide"
     same = " AND ".join(f"f2.{c} = kd.{c}" for c in by.split(", "))
-    join = f" LEFT JOIN tab ON tab.deck = {wide_cte}.deck AND tab.slide = {wide_cte}.slide AND tab.path = a_path LEFT JOIN cht ON cht.deck = {wide_cte}.deck AND cht.slide = {wide_cte}.slide AND cht.path = a_path" if content else ""
+    on = " AND ".join(f"{{t}}.{c} = {wide_cte}.{c}" for c in by.split(", "))
+    join = "".join(f" LEFT JOIN {t} ON {on.format(t=t)} AND {t}.path = a_path" for t in ("tab", "cht")) if content else ""
     scores = "tab.raw AS s_table, cht.raw AS s_chart" if content else "1 AS unused"
     own = _OWN if content else _bl([(3, _PIC), (3, _WORDS), (1, _FILL)])
     return f"""

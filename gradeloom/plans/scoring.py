@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gradeloom.operators import damage as D
+from gradeloom.operators import matching as M
 from gradeloom.operators import scoring as P
-from gradeloom.plans.comparing import _CENTRE, _FILL, COLS, restored_sql, theme
-from gradeloom.plans.models import SLIDE_H, SLIDE_W
+from gradeloom.operators.graded import STEP_FIELDS, Facts
+from gradeloom.plans.comparing import _CENTRE, _FILL, _NODES, COLS, restored_sql, theme
+from gradeloom.plans.models import MODELS, SLIDE_H, SLIDE_W
 from gradeloom.plans.pairing_sql import pairs_sql
 from gradeloom.plans.registry import query
+from gradeloom.session import cut_lineage
 
 _NUM = "nm AS (SELECT *, 'c' || lpad(row_number() OVER (PARTITION BY deck ORDER BY slide, rn, op)::VARCHAR, 6, '0') AS id FROM components)"
 _DEGS = """SELECT deck, deg, est_steps, CASE WHEN pick % 4 = 0 THEN NULL ELSE measured END AS measured FROM (
@@ -110,41 +116,145 @@ def weighted(m):
 MODEL_OPS = ("delete", "move", "recolor")
 
 
-def scoring(m, frames=None):
-    return P.Scoring(m["shapes_gt"], m["shapes_input"], m["frames"] if frames is None else frames, weighted(m), _supplied(m), SLIDE_W, SLIDE_H, theme(m), MODEL_OPS)
+def _frame_rows(m, whole, rest):
+    """Child rows of all scenarios: whole in the answer, as in the candidate everywhere else."""
+    others = F.explode(F.array(*[F.lit(n) for n in ("noop", "candidate", "tricks", *(f"restored_{k}" for k in (25, 50, 75, 100)))]))
+    return whole, whole.withColumn("scenario", F.lit("gt")).unionByName(rest.withColumn("scenario", others))
 
 
-#: One damage per shape, by its place on the page: operation, whether it applies, parameters.
-_DAMAGE = [("move", "true", {"dx_in": 0.5, "dy_in": 0.0}), ("resize", "true", {"factor": 1.5, "keep_centre": True}), ("rotate", "true", {"angle": "'45'"}),
-           ("recolor", "fill_type IS NOT NULL", {"color": "'srgb:FF00FF'"}), ("outline", "true", {"color": "'srgb:00FF01'", "width": "CAST(99999 AS BIGINT)"}),
-           ("strip_effects", "effects IS NOT NULL", {}), ("clear_text", "plain <> ''", {"keep_first": False}), ("set_text", "plain <> ''", {"text": "'zzz'"}),
-           ("set_font", "true", {"new_font": "'Wingdings'", "new_sz": "CAST(NULL AS BIGINT)", "new_bold": "CAST(NULL AS BOOLEAN)"})]
-_DAMAGED = " UNION ALL ".join(f"SELECT '{op}' AS op, deck FROM shapes_gt WHERE rn % {len(_DAMAGE)} = {k} AND {cond}" for k, (op, cond, _) in enumerate(_DAMAGE))
+def frame_facts(m):
+    """Cells and series of every scenario, so that a table or chart put back is judged by what it holds."""
+    cells, points = ["deck", "slide", "path", "r", "c", "text"], ["deck", "slide", "path", "sno", "sname", "i", "val", "category"]
+    none = m.spark.createDataFrame([], "deck string, id string, what string, i long, j long, t string, u string")
+    return Facts(none, cells=_frame_rows(m, m["cells"].select(*cells), m["cells_candidate"].select(*cells)),
+                 series=_frame_rows(m, m["series"].select(*points), m["series_candidate"].select(*points)))
 
 
-@query("operation_scores", "P3 P9 P12", f"""WITH c AS (SELECT op, count(*) AS n FROM ({_DAMAGED}) d GROUP BY op)
-SELECT op, s.scenario, n, CASE WHEN s.scenario = 'gt' THEN n ELSE 0 END AS full_marks, 0::BIGINT AS unscored FROM c CROSS JOIN (VALUES ('gt'), ('noop')) s(scenario)""")
+def scoring(m, frames=None):
+    return P.Scoring(m["shapes_gt"], m["shapes_input"], m["frames"] if frames is None else frames, weighted(m), _supplied(m), SLIDE_W, SLIDE_H, theme(m), MODEL_OPS, frame_facts(m))
+
+
+#: Row operations that a recipe applies: place on the page, whether it applies, parameters.
+_RECIPE = {"move": (0, "true", {"dx_in": 0.5, "dy_in": 0.0}), "resize": (1, "true", {"factor": 1.5, "keep_centre": True}), "rotate": (2, "true", {"angle": "'45'"}),
+           "recolor": (3, "fill_type IS NOT NULL", {"color": "'srgb:FF00FF'"}), "outline": (4, "true", {"color": "'srgb:00FF01'", "width": "CAST(99999 AS BIGINT)"}),
+           "strip_effects": (5, "effects IS NOT NULL", {}), "clear_text": (6, "plain <> ''", {"keep_first": False}), "set_text": (7, "plain <> ''", {"text": "'zzz'"}),
+           "set_font": (8, "true", {"new_font": "'Wingdings'", "new_sz": "CAST(NULL AS BIGINT)", "new_bold": "CAST(NULL AS BOOLEAN)"})}
+#: The components of every operation, and of one that nobody knows; ``top`` is the page's last shape.
+_PLACES = {**{op: f"rn % 20 = {k} AND {cond}" for op, (k, cond, _) in _RECIPE.items()},
+           "delete": "rn % 20 = 9", "blank_slide": "rn % 20 = 14", "scatter": "rn % 20 = 11", "swap": "rn % 20 = 12", "drop_equation": "rn % 20 = 13",
+           "crop": "rn % 20 = 15 AND blob IS NOT NULL", "detach_connector": "rn % 20 = 16 AND kind = 'connector'", "zorder": "rn = 17 AND top >= 18",
+           "ungroup": "rn = 10 AND top >= 11", "teleport": "rn % 20 = 18", "clear_table_cells": "kind = 'table' AND rn % 3 = 0",
+           "table_drop_rows": "kind = 'table' AND rn % 3 = 1", "table_drop_cols": "kind = 'table' AND rn % 3 = 2", "smartart_drop_nodes": "kind = 'smartart'",
+           "chart_edit": "kind = 'chart' AND rn % 2 = 0", "text_runs": "kind = 'textbox'", "strip_animation": "rn = 0 AND slide % 5 = 0",
+           "anim_drop_steps": "rn = 0 AND slide % 5 = 1 AND top >= 3", "strip_transition": "rn = 0 AND slide % 5 = 2", "clear_notes": "rn = 0 AND slide % 5 = 3",
+           "reorder_slides": "rn = 0 AND slide = 4 AND deckno % 3 = 0", "delete_slides": "rn = 0 AND slide = 12 AND deckno % 3 = 1", "layout_edit": "rn = 0 AND slide = 0"}
+_PLACED = " UNION ALL ".join(f"SELECT deck, slide, path, deckno, '{op}' AS op FROM {{src}} WHERE {cond}" for op, cond in _PLACES.items())
+_TOPPED = "SELECT g.*, max(rn) OVER (PARTITION BY deck, slide) AS top FROM {src} g"
+
+
+def _three(gt, noop):
+    """The answer, the damaged rows, and a half-way state in which the even decks are whole again."""
+    even = F.substring("deck", -1, 1).cast("int") % 2 == 0
+    named = ((gt, "gt"), (noop, "noop"), (gt.where(even).unionByName(noop.where(~even)), "half"))
+    out = None
+    for rows, name in named:
+        rows = rows.withColumn("scenario", F.lit(name))
+        out = rows if out is None else out.unionByName(rows)
+    return gt, out
+
+
+def _graded_facts(m, shapes):
+    """Child tables of all operations, damaged where a component stands."""
+    def model(name):
+        return m.sql(MODELS[name], shapes_gt=shapes)
+
+    own = shapes.select("deck", "slide", "path", "rn")
+    pos = F.col("rn") % 3
+    cells = model("cells").select("deck", "slide", "path", "r", "c", "text").join(own, ["deck", "slide", "path"])
+    row, col = F.col("r"), F.col("c")
+    less = (cells.withColumn("text", F.when((pos == 0) & (row == 1), "").otherwise(F.col("text")))
+            .where(~((pos == 1) & (row == 2)) & ~((pos == 2) & (col == 1)))
+            .withColumn("r", row - F.when((pos == 1) & (row > 2), 1).otherwise(0)).withColumn("c", col - F.when((pos == 2) & (col > 1), 1).otherwise(0)))
+    nodes = m.sql(_NODES.replace("{src}", "{shapes_gt}"), shapes_gt=shapes).select("deck", "slide", "path", "t", "i")
+    charts = shapes.where("kind = 'chart'").select("deck", "slide", "path", F.lit("title").alias("element"), F.concat(F.lit("T"), "pk").alias("value"))
+    boxes = shapes.where("kind = 'textbox'").select("deck", "slide", "path", "pk")
+    runs = (boxes.withColumn("para", F.explode(F.sequence(F.lit(0), F.lit(1)))).withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(1))))
+            .select("deck", "slide", "path", F.col("para").cast("long").alias("para"), F.col("run").cast("long").alias("run"),
+                    F.concat_ws("-", "para", "run", "pk").alias("t"), F.lit("Arial").alias("font"), F.lit(12).cast("long").alias("sz")))
+    effects = model("anim_effects").select("deck", "slide", "step", *STEP_FIELDS)
+    step = F.col("step")
+    fewer = (effects.where((F.col("slide") % 5 != 0) & ~((F.col("slide") % 5 == 1) & (step == 1)))
+             .withColumn("step", step - F.when((F.col("slide") % 5 == 1) & (step > 1), 1).otherwise(0)))
+    pages = shapes.select("deck", "slide").distinct().select("deck", "slide", F.concat_ws(" ", F.lit("note"), "deck", "slide").alias("notes"), F.lit("fade:left").alias("transition"))
+    bare = pages.withColumn("transition", F.when(F.col("slide") % 5 != 2, F.col("transition"))).withColumn("notes", F.when(F.col("slide") % 5 != 3, F.col("notes")))
+    marks = shapes.select("deck", "deckno", "slide", "path", F.concat_ws("-", "slide", F.col("rn") % 4).alias("plain"))
+    slide, third = F.col("slide"), F.col("deckno") % 3
+    moved = (marks.where(~((third == 1) & (slide == 12)))
+             .withColumn("slide", F.when((third == 0) & (slide == 4), 7).when((third == 0) & (slide == 7), 4).when((third == 1) & (slide > 12), slide - 1).otherwise(slide).cast("long")))
+    layouts = M.with_keys(shapes.where("slide < 2").withColumn("layout", F.when(slide == 0, "Title").otherwise("Body")))
+    nil, text = F.lit(None).cast("long"), F.lit(None).cast("string")
+
+    def detail(op, rows, what, i=nil, j=nil, t=text, u=text):
+        ident = F.concat_ws("/", F.lit(op), "slide", "path")
+        return rows.select("deck", ident.alias("id"), F.lit(what).alias("what"), i.cast("long").alias("i"), j.cast("long").alias("j"), t.alias("t"), u.alias("u"))
+
+    first = shapes.where("rn = 0")
+    details = [
+        detail("clear_table_cells", cells.where((pos == 0) & (row == 1) & (F.col("text") != "")), "cell", row, col),
+        detail("table_drop_rows", own, "row", F.lit(2)), detail("table_drop_cols", own, "col", F.lit(1)),
+        detail("smartart_drop_nodes", nodes.where("i < 2"), "node", t=F.col("t")),
+        detail("chart_edit", charts, "series", t=F.lit("S1")), detail("chart_edit", charts, "element", t=F.lit("title")),
+        detail("text_runs", boxes, "paragraph", F.lit(0), t=F.lit("deleted")), detail("text_runs", boxes, "paragraph", F.lit(1), t=F.lit("restyled")),
+        detail("anim_drop_steps", first, "step", F.lit(1)), detail("reorder_slides", first.where("slide = 4"), "swap", F.lit(4), F.lit(7)),
+        detail("delete_slides", first.where("slide = 12"), "cut", F.lit(12)),
+        detail("layout_edit", first.where("slide = 0").join(layouts.where("layout = 'Title' AND rn % 10 IN (3, 4)").select("deck", F.col("path").alias("gone")), "deck"),
+               "layout", t=F.lit("Title"), u=F.col("gone")),
+    ]
+    styled = runs.where("para = 1").withColumn("font", F.lit("Comic"))
+    series = model("series").select("deck", "slide", "path", "sno", "sname", "i", "val", "category")
+    return Facts(
+        cut_lineage(reduce(DataFrame.unionByName, details)), cells=_three(cells.drop("rn"), less.drop("rn")), series=_three(series, series.where("sname <> 'S1'")),
+        elements=_three(charts, charts.limit(0)), nodes=_three(nodes.drop("i"), nodes.where("i >= 2").drop("i")), runs=_three(runs, styled),
+        effects=_three(effects, fewer), pages=_three(pages, bare), shapes=_three(marks.drop("deckno"), moved.drop("deckno")),
+        layouts=_three(layouts, layouts.where("NOT (layout = 'Title' AND rn % 10 IN (3, 4))")))
+
+
+@query("operation_scores", "P3 P9 P12", f"""WITH s AS ({_TOPPED.replace("{src}", "shapes_gt")}), c AS ({_PLACED.replace("{src}", "s")})
+SELECT op, x.scenario, count(*) AS n, count(*) FILTER (WHERE op <> 'teleport' AND (x.scenario = 'gt' OR (x.scenario = 'half' AND deckno % 2 = 0))) AS full_marks,
+ count(*) FILTER (WHERE op <> 'teleport' AND (x.scenario = 'noop' OR (x.scenario = 'half' AND deckno % 2 = 1))) AS nothing, count(*) FILTER (WHERE op = 'teleport') AS unscored
+FROM c CROSS JOIN (VALUES ('gt'), ('noop'), ('half')) x(scenario) GROUP BY op, x.scenario""")
 def operation_scores(m):
-    """Each operation damages its share of all shapes: the answer earns all of it, the damaged file nothing."""
-    shapes = m["shapes_gt"]
+    """All operations damage their share of all decks: the answer earns all of it, the damaged file nothing, an unknown operation stays unscored."""
+    shapes = cut_lineage(m["shapes_gt"])
     steps = None
-    for k, (op, cond, params) in enumerate(_DAMAGE):
-        own = shapes.where(f"rn % {len(_DAMAGE)} = {k} AND {cond}").select(
+    for op, (k, cond, params) in _RECIPE.items():
+        own = shapes.where(f"rn % 20 = {k} AND {cond}").select(
             "deck", "slide", "path", F.lit("d1").alias("deg"), F.lit(op).alias("op"), *[(F.expr(v) if isinstance(v, str) else F.lit(v)).alias(c) for c, v in params.items()])
         steps = own if steps is None else steps.unionByName(own, allowMissingColumns=True)
-    broken = D.apply_recipe(shapes, steps)[0]
-    cols = [c for c in shapes.columns if c not in ("deck", "slide")]
-    left = shapes.select("deck", "slide", *[F.col(c).alias(f"a_{c}") for c in cols])
-
-    def beside(frame, scenario):
-        right = frame.select("deck", "slide", F.col("path").alias("a_path"), *[F.col(c).alias(f"b_{c}") for c in cols])
-        return left.join(right, ["deck", "slide", "a_path"], "left").withColumn("scenario", F.lit(scenario))
-
-    wide = beside(shapes, "gt").unionByName(beside(broken, "noop")).withColumn("theme", F.lit(None).cast("map<string,string>"))
-    comps = steps.select("deck", "slide", F.col("path").alias("gt_path"), F.concat_ws("/", "slide", "path").alias("id"), "op")
-    scores = P.normalise_by_floor(P.component_raw(comps, wide, ops=[op for op, _, _ in _DAMAGE]), "noop")
-    return scores.groupBy("op", "scenario").agg(F.count("*").alias("n"), F.count_if(F.col("score") > 1 - 1e-9).alias("full_marks"),
-                                                F.count_if(F.col("raw").isNull()).alias("unscored"))
+    at = F.col("rn") % 20
+
+    def equations(df, native):
+        return df.withColumns({"eq_structure": F.when(at == 13, "frac"), "eq_text": F.when(at == 13, "x"), "eq_native": native})
+
+    gt = equations(shapes, F.lit(True))
+    broken = equations(D.apply_recipe(shapes, steps)[0], at != 13).where(~at.isin(9, 14) & (F.col("rn") != 10)).withColumns({
+        "cx": F.col("cx") + F.when(at == 11, 700000).when(at == 12, 500000).otherwise(0),
+        "crop": F.when(at == 15, "l:99").otherwise(F.col("crop")), "start_id": F.when(at != 16, F.col("start_id")), "end_id": F.when(at != 16, F.col("end_id")),
+        "z": F.col("z") + F.when(F.col("rn") == 17, 100000).otherwise(0), "grp": F.when(F.col("grp") != "10", F.col("grp"))})
+    cols = [c for c in gt.columns if c not in ("deck", "slide")]
+    frames = _three(gt, broken.select(*gt.columns))[1]
+    left = gt.select("deck", "slide", *[F.col(c).alias(f"a_{c}") for c in cols]).join(F.broadcast(frames.select("scenario").distinct()), how="cross")
+    right = frames.select("scenario", "deck", "slide", F.col("path").alias("a_path"), *[F.col(c).alias(f"b_{c}") for c in cols])
+    wide = left.join(right, ["scenario", "deck", "slide", "a_path"], "left").withColumns({"theme": F.lit(None).cast("map<string,string>"), "strong": F.lit(True)})
+    wide = cut_lineage(wide)
+    here = F.array_compact(F.array(*[F.when(F.expr(cond), op) for op, cond in _PLACES.items()]))
+    comps = cut_lineage(m.sql(_TOPPED.replace("{src}", "{shapes}"), shapes=shapes).select("deck", "slide", "path", F.explode(here).alias("op")).select(
+        "deck", "slide", F.col("path").alias("gt_path"), F.concat_ws("/", "op", "slide", "path").alias("id"), "op", F.when(F.col("op") == "zorder", "front").alias("to")))
+    facts = _graded_facts(m, shapes)
+    scores = P.normalise_by_floor(P.component_raw(comps, wide, P.content_scores(facts, wide), facts=facts, depth=3), "noop")
+    return scores.groupBy("op", "scenario").agg(
+        F.count("*").alias("n"), F.count_if(F.col("score") > 1 - 1e-9).alias("full_marks"),
+        F.count_if(F.col("raw").isNotNull() & (F.col("score") < 1e-9)).alias("nothing"), F.count_if(F.col("raw").isNull()).alias("unscored"))
 
 
 _COLS = ", ".join(f"g.{c} AS a_{c}, o.{c} AS b_{c}" for c in COLS if c != "crop")
@@ -155,7 +265,26 @@ wd AS MATERIALIZED (SELECT sn.scenario AS scenario, g.deck AS deck, g.slide AS s
 lo AS MATERIALIZED (SELECT * FROM frames f WHERE NOT EXISTS (SELECT 1 FROM pr WHERE pr.scenario = f.scenario AND pr.deck = f.deck AND pr.slide = f.slide AND pr.op = f.path)),
 dp AS (SELECT DISTINCT deck, slide FROM components), rg AS (SELECT DISTINCT deck, slide, gt_path AS path, cx, cy, w, h FROM components)
 """
-SQL_RAW = _NUM + "," + restored_sql(content=False, scenario=True) + f""",
+_SHAPE = "scenario, deck, slide, path"
+#: Tables and charts of every scenario against the answer's, through the pairing; ends in ``tab`` and ``cht``.
+SQL_CONTENT = f"""
+cp AS MATERIALIZED (SELECT scenario, deck, slide, a_path AS path, b_path, a_kind FROM wd WHERE a_kind IN ('table', 'chart')),
+cw AS MATERIALIZED (SELECT {_SHAPE}, r, c, text FROM cp JOIN cells USING (deck, slide, path) WHERE a_kind = 'table'),
+fc AS (SELECT 'gt' AS scenario, deck, slide, path, r, c, text FROM cells UNION ALL SELECT scenario, deck, slide, path, r, c, text FROM cells_candidate CROSS JOIN sn WHERE scenario <> 'gt'),
+ch AS MATERIALIZED (SELECT cp.scenario, cp.deck, cp.slide, cp.path, r, c, text FROM cp JOIN fc ON fc.scenario = cp.scenario AND fc.deck = cp.deck AND fc.slide = cp.slide AND fc.path = cp.b_path WHERE a_kind = 'table'),
+tw AS (SELECT {_SHAPE}, max(r) AS mr, max(c) AS mc FROM cw GROUP BY ALL), th AS (SELECT {_SHAPE}, max(r) AS mr, max(c) AS mc FROM ch GROUP BY ALL),
+tc AS (SELECT {", ".join("cw." + c for c in _SHAPE.split(", "))}, count(*) AS n, count(*) FILTER (WHERE ch.text = cw.text) AS hit FROM cw LEFT JOIN ch USING ({_SHAPE}, r, c) WHERE cw.text <> '' GROUP BY ALL),
+tab AS (SELECT {_SHAPE}, CASE WHEN tw.mr = th.mr AND tw.mc = th.mc THEN coalesce(hit / n, 0) ELSE 0 END::DOUBLE AS raw FROM tw LEFT JOIN th USING ({_SHAPE}) LEFT JOIN tc USING ({_SHAPE})),
+pw AS MATERIALIZED (SELECT {_SHAPE}, sname, i, val, category FROM cp JOIN series USING (deck, slide, path) WHERE a_kind = 'chart'),
+fp AS (SELECT 'gt' AS scenario, deck, slide, path, sname, i, val, category FROM series UNION ALL SELECT scenario, deck, slide, path, sname, i, val, category FROM series_candidate CROSS JOIN sn WHERE scenario <> 'gt'),
+ph AS MATERIALIZED (SELECT cp.scenario, cp.deck, cp.slide, cp.path, sname, i, val, category FROM cp JOIN fp ON fp.scenario = cp.scenario AND fp.deck = cp.deck AND fp.slide = cp.slide AND fp.path = cp.b_path WHERE a_kind = 'chart'),
+sw AS (SELECT {_SHAPE}, sname, count(*) AS n FROM pw GROUP BY ALL), sh AS (SELECT {_SHAPE}, sname, count(*) AS n FROM ph GROUP BY ALL),
+sv AS (SELECT {_SHAPE}, sname, count(*) FILTER (WHERE abs(w.val - h.val) <= greatest(1e-12, 1e-12 * greatest(abs(w.val), abs(h.val)))) AS v, count(*) FILTER (WHERE w.category = h.category) AS c FROM pw w JOIN ph h USING ({_SHAPE}, sname, i) GROUP BY ALL),
+sp AS (SELECT {_SHAPE}, sum((3.0 * coalesce(v, 0) / greatest(sw.n, sh.n) + coalesce(c, 0) / greatest(sw.n, sh.n) + 1) / 5) AS earned FROM sw JOIN sh USING ({_SHAPE}, sname) LEFT JOIN sv USING ({_SHAPE}, sname) GROUP BY ALL),
+cn AS (SELECT {_SHAPE}, nw, nh FROM (SELECT {_SHAPE}, count(*) AS nw FROM sw GROUP BY ALL) a LEFT JOIN (SELECT {_SHAPE}, count(*) AS nh FROM sh GROUP BY ALL) b USING ({_SHAPE})),
+cht AS (SELECT {_SHAPE}, (coalesce(earned, 0) / greatest(nw, coalesce(nh, 0)))::DOUBLE AS raw FROM cn LEFT JOIN sp USING ({_SHAPE}))
+"""
+SQL_RAW = _NUM + "," + SQL_CONTENT + "," + restored_sql(scenario=True) + f""",
 raw AS MATERIALIZED (SELECT wd.scenario, nm.deck, nm.id, nm.op, nm.deg, CASE nm.op WHEN 'delete' THEN rst.raw WHEN 'move' THEN ({_CENTRE}) ELSE ({_FILL}) END::DOUBLE AS raw FROM nm JOIN wd ON wd.deck = nm.deck AND wd.slide = nm.slide AND wd.a_path = nm.gt_path
  JOIN rst ON rst.scenario = wd.scenario AND rst.deck = nm.deck AND rst.slide = nm.slide AND rst.path = nm.gt_path),
 flo AS (SELECT deck, id, coalesce(raw, 0) AS floor FROM raw WHERE scenario = 'noop'),
