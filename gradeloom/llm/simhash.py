@@ -250,9 +250,9 @@ def plan_parts(prints: DataFrame, *, bits: int, within: int, block_bits: int = 1
 # ---------------------------------------------------------------- probing and verifying
 
 def probes(prints: DataFrame, parts: list[Part], bits: int, carried: int) -> DataFrame:
-    """(part, value, node, fp): one row per fingerprint, part and value within the part's threshold.
+    """(part, value, node, seed, fp): one row per fingerprint, part and value within the part's threshold.
 
-    ``fp`` is the first ``carried`` bits.
+    ``fp`` is the first ``carried`` bits, ``seed`` the group that the node is known to be in (null: none).
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -266,16 +266,37 @@ def probes(prints: DataFrame, parts: list[Part], bits: int, carried: int) -> Dat
                     for flips in combinations(range(width), e):
                         mask = np.uint64(sum(1 << f for f in flips))
                         yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(exact), i), pa.int32()), pa.array((exact ^ mask).astype(np.int64)), batch.column("node"), carry],
-                            ["part", "value", "node", "fp"])
+                            [pa.array(np.full(len(exact), i), pa.int32()), pa.array((exact ^ mask).astype(np.int64)), batch.column("node"), batch.column("seed"), carry],
+                            ["part", "value", "node", "seed", "fp"])
 
-    return prints.select("node", "fp").mapInArrow(run, "part int, value long, node long, fp binary")
+    seed = F.col("seed") if "seed" in prints.columns else F.lit(None)
+    return prints.select("node", seed.cast("long").alias("seed"), "fp").mapInArrow(run, "part int, value long, node long, seed long, fp binary")
 
 
-def _forest(keys: np.ndarray, nodes: np.ndarray, rows: np.ndarray, within: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def paired_blocks(rows: DataFrame, keys: list[str], sizes: DataFrame) -> DataFrame:
+    """``rows`` copied to the units (x, y) of their key in which every pair but those of two majors meets.
+
+    ``sizes`` has the ``keys`` of too many rows for one unit, with their ``majors`` and ``minors``.  Blocks of minors meet
+    each other and all blocks of majors; majors never meet, so a key whose rows are nearly all majors costs a copy or two a row.
+    """
+    of_majors, of_minors = (F.ceil(F.col(c) / BLOCK).cast("int") for c in ("majors", "minors"))
+    rows = (rows.join(sizes.select(*keys, of_majors.alias("_b"), of_minors.alias("_s")), keys, "left")
+            .where("_s is null or _s > 0 or not major"))
+    home = F.when(F.col("major"), F.col("_s") + F.pmod(F.xxhash64("node"), F.col("_b"))).otherwise(F.pmod(F.xxhash64("node"), F.col("_s")))
+    last = F.when(F.col("major"), F.col("_s") - 1).otherwise(F.col("_b") + F.col("_s") - 1)
+    other = F.explode(F.sequence(F.lit(0), F.coalesce(last, F.lit(0))))
+    return (rows.withColumn("_home", F.coalesce(home, F.lit(0)).cast("int")).withColumn("_other", other)
+            .withColumn("x", F.least("_home", "_other")).withColumn("y", F.greatest("_home", "_other")).drop("_b", "_s", "_home", "_other"))
+
+
+def _forest(keys: np.ndarray, nodes: np.ndarray, rows: np.ndarray, within: int, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows at the ends of the links of a spanning forest, closest pairs first, of rows with equal keys (sorted)
-    within the distance, and for every link the smallest node of its tree."""
+    within the distance, and for every link the smallest node of its tree.  Rows of equal seeds are connected beforehand."""
     n = len(keys)
+    order = np.lexsort((seeds, keys))
+    starts = np.append(True, (keys[order][1:] != keys[order][:-1]) | (seeds[order][1:] != seeds[order][:-1]))
+    root = np.empty(n, np.int64)
+    root[order] = order[np.flatnonzero(starts)][np.cumsum(starts) - 1]
     wide = np.ascontiguousarray(rows).view(np.uint64)
     size_after = np.zeros(n, np.int64)  # rows of the same key that follow
     ends = np.flatnonzero(np.append(keys[1:] != keys[:-1], True))
@@ -295,9 +316,9 @@ def _forest(keys: np.ndarray, nodes: np.ndarray, rows: np.ndarray, within: int)
     if not left:
         return none, none, none
     a, b, d = np.concatenate(left), np.concatenate(right), np.concatenate(far)
-    other = nodes[a] != nodes[b]
+    other = (nodes[a] != nodes[b]) & (root[a] != root[b])
     a, b, d = a[other], b[other], d[other]
-    root, used = np.arange(n), np.zeros(len(a), bool)
+    used = np.zeros(len(a), bool)
     for level in np.unique(d):
         at = np.flatnonzero(d == level)
         while True:
@@ -317,30 +338,41 @@ def _forest(keys: np.ndarray, nodes: np.ndarray, rows: np.ndarray, within: int)
 
 
 def links(prints: DataFrame, *, bits: int, within: int, verify: int | None = None, block_bits: int = 16,
-          together: int | None = None, carried: int | None = None, again: bool = False, grouped: bool = False) -> DataFrame:
+          together: int | None = None, carried: int | None = None, parts: list[Part] | None = None, across: bool = True, grouped: bool = False) -> DataFrame:
     """(a, b): links that connect what fingerprints within the distance connect.
 
     ``prints`` has ``node`` (long, unique) and ``fp`` (binary).  ``within`` is the distance up to which
     every pair is sure to be found, ``verify`` (``within`` if not given) the largest one accepted among
-    the first ``carried`` bits (all, if not given).  With ``again``, pairs beyond ``within`` get a second
-    set of parts to agree on.  A caller that goes on to reject links by another
-    measure asks for ``grouped`` links: ``tree`` names the tree of a unit that a link is part of, and all
-    pairs of that unit within the distance are pairs of nodes of one tree.
+    the first ``carried`` bits (all, if not given).  Other ``parts`` to agree on can be given.  Nodes of an equal ``seed``
+    (long, null: none) are connected already: they are not linked, and in buckets of more than ``BLOCK`` rows those of the
+    most frequent seed are not even compared.  Without ``across``, the blocks of such buckets are linked each by itself.
+    A caller that goes on to reject links by another measure asks for ``grouped`` links: ``tree`` names the tree of a
+    unit that a link is part of, and all pairs of that unit within the distance are pairs of nodes of one tree, or of
+    nodes with the seeds of its nodes.
     """
-    parts = plan_parts(prints, bits=bits, within=within, block_bits=block_bits, together=together)
-    if again:
-        parts = parts + crossed(parts)
+    parts = parts or plan_parts(prints, bits=bits, within=within, block_bits=block_bits, together=together)
     verify, carried = within if verify is None else verify, carried or bits
     rows = probes(prints, parts, bits, carried)
-    hot = written(rows.groupBy("part", "value").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
-                  .select("part", "value", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "hot-buckets")
-    if hot.count() <= 100_000:
+    hot = written(rows.groupBy("part", "value").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK), "hot-buckets")
+    few = hot.count() <= 100_000
+    if across and "seed" in prints.columns:
+        seeds = rows.where("seed is not null").join(F.broadcast(hot) if few else hot, ["part", "value"]).groupBy("part", "value", "seed").agg(F.count("*").alias("m"))
+        most = seeds.groupBy("part", "value").agg(F.max_by("seed", F.struct("m", "seed")).alias("_seed"), F.max("m").alias("_m"))
+        hot = hot.join(most, ["part", "value"], "left")
+        hot = written(hot.select("part", "value", "_seed", F.coalesce("_m", F.lit(0)).alias("majors"), (F.col("n") - F.coalesce("_m", F.lit(0))).alias("minors")), "hot-seeds")
+    else:
+        hot = hot.select("part", "value", F.lit(None).cast("long").alias("_seed"), F.lit(0).cast("long").alias("majors"), F.col("n").alias("minors"))
+    if few:
         hot = F.broadcast(hot)
-    home = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    other = F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))
-    units = (rows.join(hot, ["part", "value"], "left")
-             .withColumn("home", F.coalesce(home, F.lit(0)).cast("int")).withColumn("other", other)
-             .select("part", "value", F.least("home", "other").alias("x"), F.greatest("home", "other").alias("y"), "node", "fp"))
+    keys = ["part", "value"]
+    if across:
+        marked = rows.join(hot.select(*keys, "_seed"), keys, "left").withColumn("major", F.coalesce(F.col("seed") == F.col("_seed"), F.lit(False)))
+        units = paired_blocks(marked, keys, hot)
+    else:
+        blocks = F.ceil(F.col("minors") / BLOCK)
+        own = F.coalesce(F.pmod(F.xxhash64("node"), blocks), F.lit(0)).cast("int")
+        units = rows.join(hot, keys, "left").withColumn("x", own).withColumn("y", F.col("x"))
+    units = units.select("part", "value", "x", "y", "node", F.coalesce("seed", "node").alias("seed"), "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -359,14 +391,14 @@ def links(prints: DataFrame, *, bits: int, within: int, verify: int | None = Non
             with np.errstate(over="ignore"):
                 for c in ("part", "value", "x", "y") if grouped else ():
                     unit = _mixed(unit + table.column(c).to_numpy().astype(np.int64).view(np.uint64), 1)
-            keys, nodes, fps, unit = keys[keep], nodes[keep], fps[keep], unit[keep]
+            keys, nodes, fps, unit, seeds = keys[keep], nodes[keep], fps[keep], unit[keep], table.column("seed").to_numpy()[keep]
             if not len(keys):
                 return
             _, keys, counts = np.unique(keys, return_inverse=True, return_counts=True)
             slot = np.cumsum(counts.astype(np.int64) ** 2) // 4_000_000
             bounds = np.searchsorted(slot[keys], np.unique(slot))
             for lo, hi in zip(bounds, np.append(bounds[1:], len(keys)), strict=True):
-                a, b, least = _forest(keys[lo:hi], nodes[lo:hi], fps[lo:hi], verify)
+                a, b, least = _forest(keys[lo:hi], nodes[lo:hi], fps[lo:hi], verify, seeds[lo:hi])
                 if not len(a):
                     continue
                 ends = [pa.array(nodes[lo:hi][a]), pa.array(nodes[lo:hi][b])]
@@ -493,8 +525,29 @@ def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node long, shingles array<int>")
 
 
+def rivals(trees: DataFrame, joined: DataFrame, classes: DataFrame, sets: DataFrame, carried: int) -> DataFrame:
+    """Members of the groups that meet in ``trees(a, b, tree)``, as ``set_links`` reads them.
+
+    The largest group of a tree is its major, and the others are compared with it and with each other.  Trees of one
+    major are one, so what several trees ask of the same groups is done once.
+    """
+    nodes = trees.select("tree", F.col("a").alias("node")).union(trees.select("tree", "b")).distinct()
+    sizes = joined.groupBy("component").agg(F.count("*").alias("_n"))
+    groups = written(nodes.join(joined, "node", "left").select("tree", F.coalesce("component", "node").alias("component")).distinct()
+                     .join(sizes, "component", "left").withColumn("_n", F.coalesce("_n", F.lit(1))), "tree-groups")
+    major = groups.groupBy("tree").agg(F.max_by("component", F.struct("_n", "component")).alias("top"))
+    minors = written(groups.join(major, "tree").where("component <> top").select("top", "component").distinct(), "rivals")
+    asked = (minors.withColumn("major", F.lit(False))
+             .unionByName(minors.select("top", F.col("top").alias("component")).distinct().withColumn("major", F.lit(True))))
+    members = written(asked.join(joined, "component", "left").select("top", "component", "major", F.coalesce("node", "component").alias("node")), "rival-members")
+    large = (members.groupBy("top").agg(F.count_if("major").alias("majors"), F.count_if(~F.col("major")).alias("minors"))
+             .where(F.col("majors") + F.col("minors") > BLOCK))
+    units = paired_blocks(members, ["top"], large).select(F.xxhash64("top", "x", "y").alias("tree"), "component", "node")
+    return (units.join(classes.select("node", F.substring("fp", 1, carried // 8).alias("fp")), "node").join(sets, "node"))
+
+
 def one_of_each_group(documents: DataFrame, *, shingle: int = 5, least: float = 0.8, bits: int = 512, within: int = 36,
-                      block_bits: int = 7, together: int = 2, carried: int = 128, candidate_share: float = 0.3) -> DataFrame:
+                      block_bits: int = 7, together: int = 2, carried: int = 128, candidate_share: float = 0.3, seed_parts: int = 8) -> DataFrame:
     """``documents`` with one row of every group of near copies, in their own columns.
 
     Exact copies are one node.  Nodes are linked if their sets of ``shingle``-word runs have a Jaccard
@@ -505,6 +558,9 @@ def one_of_each_group(documents: DataFrame, *, shingle: int = 5, least: float =
     differ, whether words were edited here and there or a passage was added, cut or replaced (over distinct
     words the angle would depend on the edit).  At 15 %, a part of 14 bits is equal with a chance of 10 %:
     the bits are put into 37 parts of 13 or 14 bits, and into 37 others across these.
+    Some parts go first, block by block, and what they link is one group before all parts are probed: a large group of near
+    copies then costs rows in proportion to its size.  Where a candidate fails between two groups, all members of the
+    one are compared with all members of the other.
     Of a group, the row with the smallest ``doc_id`` stays (nulls last); of repeated rows, one.
     Null texts are copies of one another, and texts without words are linked by equality only.
     """
@@ -514,31 +570,40 @@ def one_of_each_group(documents: DataFrame, *, shingle: int = 5, least: float =
     prints = fingerprints(marked, shingle=shingle, bits=bits, distinct=True)
     classes = written(prints.groupBy("digest").agg(F.min(key).alias("first"), F.any_value("fp").alias("fp"))
                       .withColumn("node", F.monotonically_increasing_id()), "classes")
-    apart = int(candidate_share * carried)
-    found = written(links(classes, bits=bits, within=within, verify=apart, block_bits=block_bits, together=together,
-                          carried=carried, again=True, grouped=True), "candidates")
-    pairs = written(found.select("a", "b").distinct(), "pairs")
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = classes.join(ends, "node").select("node", F.col("digest").alias("_d"), F.col("first.id").alias("_id"))
     texts = documents.select("doc_id", "text", digest.alias("_digest"))
-    texts = texts.join(wanted, texts["_digest"].eqNullSafe(wanted["_d"]) & texts["doc_id"].eqNullSafe(wanted["_id"]))
-    sets = written(shingle_sets(texts, shingle).dropDuplicates(["node"]), "shingle-sets")
-    left, right = (sets.select(F.col("node").alias(e), F.col("shingles").alias(f"s{e}")) for e in "ab")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    linked = (pairs.join(left, "a").join(right, "b")
-              .where((shared > 0) & (shared >= least * (F.size("sa") + F.size("sb") - shared))).select("a", "b"))
-    linked = written(linked, "links")
-    joined = components(linked)
-    # trees with a link that failed and that no other link makes up for: all their pairs
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        wanted = classes.join(nodes, "node").select("node", F.col("digest").alias("_d"), F.col("first.id").alias("_id"))
+        own = texts.join(wanted, texts["_digest"].eqNullSafe(wanted["_d"]) & texts["doc_id"].eqNullSafe(wanted["_id"]))
+        return written(shingle_sets(own, shingle).dropDuplicates(["node"]), "shingle-sets")
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+    def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        left, right = (sets.select(F.col("node").alias(e), F.col("shingles").alias(f"s{e}")) for e in "ab")
+        shared = F.size(F.array_intersect("sa", "sb"))
+        return written(pairs.join(left, "a").join(right, "b")
+                       .where((shared > 0) & (shared >= least * (F.size("sa") + F.size("sb") - shared))).select("a", "b"), "links")
+
+    parts = plan_parts(classes, bits=bits, within=within, block_bits=block_bits, together=together)
+    how = {"bits": bits, "within": within, "verify": int(candidate_share * carried), "carried": carried}
+    pairs = written(links(classes, parts=parts[:seed_parts], across=False, **how).distinct(), "seed-pairs")
+    sets = sets_of(ends(pairs))
+    linked = verified(pairs, sets)
+    seeds = components(linked).withColumnRenamed("component", "seed")
+    seeded = written(classes.select("node", "fp").join(seeds, "node", "left"), "seeded")
+    found = written(links(seeded, parts=parts + crossed(parts), grouped=True, **how), "candidates")
+    pairs = written(found.select("a", "b").distinct(), "pairs")
+    sets = sets.unionByName(sets_of(ends(pairs).join(sets, "node", "left_anti")))
+    linked = linked.unionByName(verified(pairs, sets))
+    joined = written(components(linked), "groups")
     one, two = (joined.select(F.col("node").alias(e), F.col("component").alias(f"c{e}")) for e in "ab")
     broken = written(pairs.join(one, "a", "left").join(two, "b", "left")
                      .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "broken")
     if not broken.isEmpty():
-        trees = found.join(broken, ["a", "b"]).select("tree").distinct()
-        members = (found.join(trees, "tree").select("tree", F.explode(F.array("a", "b")).alias("node")).distinct()
-                   .join(classes.select("node", F.substring("fp", 1, carried // 8).alias("fp")), "node")
-                   .join(joined, "node", "left").withColumn("component", F.coalesce("component", "node")).join(sets, "node"))
-        more = written(set_links(members, within=apart, least=least, carried=carried), "more-links")
+        trees = written(found.join(found.join(broken, ["a", "b"]).select("tree").distinct(), "tree"), "broken-trees")
+        more = written(set_links(rivals(trees, joined, classes, sets, carried), within=how["verify"], least=least, carried=carried), "more-links")
         joined = components(linked.unionByName(more))
     kept = (classes.join(joined, "node", "left").groupBy(F.coalesce("component", "node").alias("component"))
             .agg(F.min_by(F.struct(F.col("digest").alias("_d"), F.col("first.id").alias("_id")), F.struct("first", "node")).alias("k")).select("k.*"))
