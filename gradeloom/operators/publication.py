@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gradeloom.functions.ordered import ranked_rows, running_sum
 from gradeloom.functions.text import rule_case
+from gradeloom.session import cut_lineage
 
 # File names that are answer material.
 ANSWER_FILES = ("source.pptx", "delta.json", "recipe.json", "proposal.json", "manifest.json",
@@ -127,8 +128,8 @@ def route_files(files: DataFrame) -> DataFrame:
 def text_leaks(documents: DataFrame, passages: DataFrame) -> DataFrame:
     """(doc_id, item_id) where a document holds a forbidden passage word for word.
 
-    A passage is keyed by its first four words, or its first word when it is shorter.  Documents emit
-    the distinct hashes of their word runs of the lengths in use, so the search is an equi-join on
+    A passage is keyed by its first four words, or all but its last word when it is shorter (the last one may
+    go on in the document).  Documents emit the distinct hashes of their word runs of the lengths in use, so the search is an equi-join on
     whole texts; the few candidate pairs are then checked against the full passage.  When passages
     are few, adaptive execution broadcasts their keys and no document text is shuffled.
     """
@@ -139,9 +140,9 @@ def text_leaks(documents: DataFrame, passages: DataFrame) -> DataFrame:
         return F.xxhash64(F.concat_ws(" ", run))
 
     keyed = (passages.withColumn("w", words("text")).where(F.length(F.trim("text")) > 0)
-             .withColumn("k", F.when(F.size("w") >= 5, 4).otherwise(1))
+             .withColumn("k", F.greatest(F.lit(1), F.least(F.lit(4), F.size("w") - 1)))
              .select("item_id", "k", key(F.slice("w", F.lit(1), F.col("k"))).alias("key")))
-    sizes = keyed.select("k").distinct()                                # one or two rows
+    sizes = keyed.select("k").distinct()                                # at most four rows
     runs = F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("w") - F.col("k") + 1, F.lit(1))),
         lambda i: key(F.slice("w", i, F.col("k")))))
@@ -157,8 +158,9 @@ def commit_batches(tasks: DataFrame, limit: int = FILES_PER_COMMIT, block: int =
     """Greedy batches of at most ``limit`` files in order; an oversize task stands alone.
 
     Greedy filling is sequential, but its state is only the number of files in the open batch.  Each
-    block of tasks is summarised as a table from entry state to exit state and batches closed, the
-    tables are chained, and each block is then numbered from its true entry state.
+    block of tasks is summarised as a table from entry state to exit state and batches closed.  Tables compose,
+    so a prefix scan in as many rounds as the number of blocks has bits gives every block the table of all
+    blocks up to it, one row a block; each block is then numbered from its true entry state.
     """
     import numpy as np
     import pandas as pd
@@ -189,14 +191,19 @@ def commit_batches(tasks: DataFrame, limit: int = FILES_PER_COMMIT, block: int =
     placed = ranked_rows(tasks.select("ord", "files"), [F.col("ord")], "nth").withColumn(
         "block", F.floor(F.col("nth") / block))
     tables = placed.groupBy("block").applyInPandas(table, "block long, leave array<long>, closed array<long>")
-    chained = tables.agg(F.array_sort(F.collect_list(F.struct("block", "leave", "closed"))).alias("t")).select(F.expr("""
-      aggregate(t, named_struct('enter', 0L, 'batch', 0L, 'rows', CAST(array() AS array<struct<block:bigint,enter:bigint,from_batch:bigint>>)),
-        (acc, x) -> named_struct('enter', element_at(x.leave, CAST(acc.enter + 1 AS INT)),
-                                 'batch', acc.batch + element_at(x.closed, CAST(acc.enter + 1 AS INT)),
-                                 'rows', array_append(acc.rows, named_struct('block', x.block, 'enter', acc.enter, 'from_batch', acc.batch))))
-      """).alias("s"))
-    entries = chained.select(F.explode("s.rows").alias("r")).select("r.*")
-    return placed.join(entries, "block").groupBy("block").applyInPandas(number, "ord long, files long, batch long")
+    upto, reach = cut_lineage(tables), 1
+    last = upto.agg(F.max("block")).first()[0] or 0
+    while reach <= last:
+        before = upto.select((F.col("block") + reach).alias("block"), F.col("leave").alias("l"), F.col("closed").alias("c"))
+        then = F.transform("l", lambda s: F.element_at("leave", (s + 1).cast("int")))
+        more = F.zip_with("c", "l", lambda c, s: c + F.element_at("closed", (s + 1).cast("int")))
+        upto = cut_lineage(upto.join(before, "block", "left").select(
+            "block", F.when(F.col("l").isNull(), F.col("leave")).otherwise(then).alias("leave"),
+            F.when(F.col("l").isNull(), F.col("closed")).otherwise(more).alias("closed")))
+        reach *= 2
+    entries = upto.select((F.col("block") + 1).alias("block"), F.element_at("leave", 1).alias("enter"), F.element_at("closed", 1).alias("from_batch"))
+    placed = placed.join(entries, "block", "left").fillna(0, ["enter", "from_batch"])
+    return placed.groupBy("block").applyInPandas(number, "ord long, files long, batch long")
 
 
 # Verdicts by the status of a run whose texts name no known failure.
