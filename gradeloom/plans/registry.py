@@ -40,7 +40,7 @@ def load_all() -> None:
     """Import every module that registers queries."""
     from importlib import import_module
 
-    for module in ("corpus", "structure", "damage", "matching", "comparing", "scoring", "battery",
+    for module in ("corpus", "structure", "damage", "matching", "comparing", "scoring", "coherence", "battery",
                    "auditing", "claims", "validation", "state", "runlog", "defects",
                    "publication", "streams"):
         try:
