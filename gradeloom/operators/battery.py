@@ -262,6 +262,70 @@ def colour_written_out(gt: DataFrame, components: DataFrame, theme: DataFrame) -
 
 # ------------------------------------------------------------------ judging a battery
 
+# What each attack may score at most, must score, or must cost against another one.
+EXPECTED = (
+    # attack, kind, lo, hi, tol, ref, gap
+    ("noop", "nothing_already_right", 0.0, 0.0, 0.0, None, 0.0),
+    ("gt", "exact", 1.0, 0.0, 1e-9, None, 0.0),
+    ("gt_roundtrip", "at_most", 0.0, 1.0, 0.0, None, 0.0),
+    ("screenshot_paste", "at_most", 0.0, 0.05, 0.0, None, 0.0),
+    ("clone_spam", "at_most", 0.0, 0.05, 0.0, None, 0.0),
+    ("native_to_picture", "at_most", 0.0, 0.05, 0.0, None, 0.0),
+    ("page_delete", "at_most", 0.0, 0.05, 0.0, None, 0.0),
+    ("rename_only", "at_most", 0.0, 0.05, 0.0, None, 0.0),
+    ("orphan_media", "at_most", 0.0, 0.05, 0.0, None, 0.0),
+    ("duplicate_gt_slide", "at_most", 0.0, 0.05, 0.0, None, 0.0),
+    ("wrong_params", "at_most", 0.0, 0.30, 0.0, None, 0.0),
+    ("damage_untouched", "no_gain", 0.0, 0.0, 0.0, "noop", 0.0),
+    ("damage_untouched_gt", "costs", 0.0, 0.0, 0.0, "gt", 0.05),
+    ("half_restore", "between", 0.35, 0.65, 0.0, None, 0.0),
+)
+EXPECTED_SCHEMA = "attack string, expect_kind string, lo double, hi double, tol double, ref string, gap double"
+
+
+def attack_frames(gt: DataFrame, broken: DataFrame, components: DataFrame, halves: DataFrame, width: int, height: int) -> dict[str, DataFrame]:
+    """A frame of every attack that is built from shapes; ``halves(deck, slide, path)`` are put right in ``half_restore``."""
+    return {
+        "noop": broken, "gt": gt, "orphan_media": broken,
+        "screenshot_paste": screenshot_paste(broken, components, width, height), "clone_spam": clone_spam(broken, components),
+        "native_to_picture": native_to_picture(gt, broken, components), "page_delete": page_delete(broken, components),
+        "rename_only": rename_only(gt, broken, components), "duplicate_gt_slide": duplicate_gt_slide(gt, broken, components),
+        "wrong_params": wrong_params(gt, components)[0], "damage_untouched": damage_untouched(broken, components),
+        "damage_untouched_gt": damage_untouched(gt, components),
+        "half_restore": broken.join(halves, KEY, "left_anti").unionByName(gt.join(halves, KEY, "left_semi").select(*broken.columns))}
+
+
+def variant_frames(gt: DataFrame, components: DataFrame, theme: DataFrame) -> dict[str, DataFrame]:
+    """Legitimate answers whose shapes keep their paths."""
+    return {"variant_rebuilt": rebuilt_shapes(gt, components), "variant_ungrouped": ungrouped(gt, components),
+            "variant_picture": picture_reinserted(gt, components), "variant_colour": colour_written_out(gt, components, theme)}
+
+
+def attack_status(gt: DataFrame, components: DataFrame, withheld: DataFrame, halves: DataFrame, expected: DataFrame,
+                  kinds: Sequence[str] = ("chart", "table", "smartart")) -> DataFrame:
+    """(deck, attack, status): n/a where the damage gives an attack nothing to do, no_material where the deck has nothing
+    to build it from, not_run for the round trip through an application, else scored."""
+    spare = gt.select(*PAGE).distinct().join(damaged_pages(components), PAGE, "left_anti").select("deck", F.lit(True).alias("spare")).distinct()
+    has = components.groupBy("deck").agg(F.bool_or(F.col("op") == "delete").alias("holes"), F.bool_or(F.col("kind").isin(*kinds)).alias("native"))
+    for rows, name in ((withheld, "withheld"), (halves, "halves")):
+        has = has.join(rows.select("deck", F.lit(True).alias(name)).distinct(), "deck", "left")
+    has = has.join(spare, "deck", "left").fillna(False, ["spare", "withheld", "halves", "native", "holes"])
+    of = F.col("attack")
+    status = (F.when(of == "gt_roundtrip", "not_run").when((of == "clone_spam") & ~F.col("holes"), "n/a").when((of == "native_to_picture") & ~F.col("native"), "n/a")
+              .when((of == "orphan_media") & ~F.col("withheld"), "n/a").when(of.startswith("damage_untouched") & ~F.col("spare"), "no_material")
+              .when((of == "half_restore") & ~F.col("halves"), "no_material").otherwise("scored"))
+    return has.join(F.broadcast(expected.select("attack")), how="cross").select("deck", "attack", status.alias("status"))     # a handful of named attacks
+
+
+def battery_rows(status: DataFrame, final: DataFrame, scores: DataFrame, expected: DataFrame) -> DataFrame:
+    """One row per deck and attack: status, score, first failed gate, credit before the floor, and what was expected."""
+    already = scores.groupBy("scenario", "deck").agg(F.sum(F.col("weight") * F.greatest(F.lit(0.0), F.coalesce("raw", F.lit(0.0)))).alias("already"))
+    got = final.join(already, ["scenario", "deck"], "left").select(F.col("scenario").alias("attack"), "deck", F.col("score").alias("__score"), "failed_gate", "already")
+    rows = status.join(got, ["deck", "attack"], "left").join(F.broadcast(expected), "attack")
+    there = F.col("status") == "scored"
+    rows = rows.withColumn("status", F.when(there & F.col("__score").isNull(), "error").otherwise(F.col("status")))
+    return rows.withColumn("score", F.when(there, F.col("__score"))).withColumn("note", F.coalesce("failed_gate", F.lit(""))).drop("__score")
+
 def check_expectations(rows: DataFrame) -> DataFrame:
     """Add ``ok``; rows carry deck, attack, status, score, expect_kind, lo, hi, tol, ref, gap, already."""
     base = rows.where(F.col("status") == "scored").select("deck", F.col("attack").alias("ref"), F.col("score").alias("__base"))

@@ -403,13 +403,14 @@ class Scoring:
 
     def __init__(self, gt: DataFrame, broken: DataFrame, frames: DataFrame, components: DataFrame,
                  supplied: DataFrame, width: int, height: int, theme: DataFrame | None = None, ops: Sequence[str] = SCORED_OPS,
-                 facts: Facts | None = None):
+                 facts: Facts | None = None, unplaced: DataFrame | None = None):
+        """``unplaced(scenario, deck, sha)`` are media parts that a candidate holds without showing them."""
         # read by every gate and rule below, so each snapshot is written once and read back
         self.gt, self.broken, self.frames = (cut_lineage(M.with_keys(df)) for df in (gt, broken, frames))
         gt, frames = self.gt, self.frames
         self.components, self.supplied = cut_lineage(components), supplied
         components = self.components
-        self.width, self.height, self.ops, self.facts = width, height, ops, facts
+        self.width, self.height, self.ops, self.facts, self.unplaced = width, height, ops, facts, unplaced
         spark = gt.sparkSession
         self.regions = damage_regions(components)
         # pairs and the side-by-side rows feed every comparator, gate and scope rule, so each is written once
@@ -425,6 +426,10 @@ class Scoring:
         content = content_scores(self.facts, self.wide) if self.facts else {}
         return component_raw(self.components, self.wide, content, self.ops, self.facts, X.MEMBER_DEPTH, self.scenarios)
 
+    def media(self) -> DataFrame:
+        shown = media_of(self.frames, ["scenario", "deck"])
+        return shown if self.unplaced is None else shown.unionByName(self.unplaced.select("scenario", "deck", "sha")).distinct()
+
     def scores(self, floor_scenario: str = "noop") -> DataFrame:
         return normalise_by_floor(self.raw(), floor_scenario).join(self.components.select("deck", "id", "weight", "deg"), ["deck", "id"])
 
@@ -434,7 +439,7 @@ class Scoring:
         asked = gt_pages.join(F.broadcast(self.scenarios), how="cross")
         marks = M.page_signatures(self.frames, PAGE)
         itself = page_itself(asked, M.page_signatures(self.gt), marks)
-        gt_media, in_media, media = media_of(self.gt, ["deck"]), media_of(self.broken, ["deck"]), media_of(self.frames, ["scenario", "deck"])
+        gt_media, in_media, media = media_of(self.gt, ["deck"]), media_of(self.broken, ["deck"]), self.media()
         out = {
             "slide_count_and_order": gate_slide_order(gt_pages, pages, itself, self.regions),
             "no_full_page_overlay": gate_overlay(self.loose, self.width, self.height),
@@ -451,7 +456,7 @@ class Scoring:
             "untouched_pages_unchanged": scope_untouched_pages(self.wide, self.loose, self.regions),
             "survivors_intact": scope_survivors(self.wide, self.regions),
             "no_extra_shapes": scope_extra_shapes(self.loose, self.frames, self.regions),
-            "input_media_preserved": scope_media_lost(media_of(self.broken, ["deck"]), media_of(self.frames, ["scenario", "deck"]), decks)})
+            "input_media_preserved": scope_media_lost(media_of(self.broken, ["deck"]), self.media(), decks)})
 
     def final(self, rejected: DataFrame | None = None) -> DataFrame:
         return final_scores(self.scores(), self.failed_gates(rejected), self.costs())

@@ -6,10 +6,14 @@ from pyspark.sql import functions as F
 
 from gradeloom.operators import battery as B
 from gradeloom.operators import scoring as P
+from gradeloom.operators.coherence import mixed
+from gradeloom.operators.graded import Facts
+from gradeloom.plans.coherence import _columns, _made, over_states
 from gradeloom.plans.comparing import theme
-from gradeloom.plans.models import SLIDE_H, SLIDE_W
+from gradeloom.plans.models import _FRAME, SLIDE_H, SLIDE_W
 from gradeloom.plans.registry import query
-from gradeloom.plans.scoring import numbered, scoring, weighted
+from gradeloom.plans.scoring import _NUM, MODEL_OPS, SQL_RAW, SQL_SCENE, _supplied, numbered, scoring, weighted
+from gradeloom.session import cut_lineage
 
 _DP = "dp AS (SELECT DISTINCT deck, slide FROM components)"
 
@@ -155,55 +159,192 @@ def graded_paths(m):
     return B.graded_paths(m["components"], ["move"])
 
 
-#: Battery rows of every deck as a run would record them.
-_ROWS = """SELECT deck, attack, ord, CASE WHEN (uid + ord) % 9 = 0 THEN 'n/a' WHEN (uid + ord) % 9 = 1 THEN 'not_run' WHEN uid % 17 = 0 THEN 'no_material' WHEN (uid + ord) % 23 = 2 THEN 'unconstructible' ELSE 'scored' END AS status,
-  CAST((uid * 7 + ord * 31) % 101 AS DOUBLE) / 100 AS score, CASE ord % 6 WHEN 0 THEN 'exact' WHEN 1 THEN 'at_most' WHEN 2 THEN 'between' WHEN 3 THEN 'no_gain' WHEN 4 THEN 'costs' ELSE 'nothing_already_right' END AS expect_kind,
-  CAST(0.2 AS DOUBLE) AS lo, CAST(0.6 AS DOUBLE) AS hi, CAST(0.1 AS DOUBLE) AS tol, 'a2' AS ref, CAST(0.15 AS DOUBLE) AS gap, CAST(uid % 10 AS DOUBLE) / 10 AS already, uid % 4 = 0 AS weak_barrier, 'n' AS note, uid
- FROM (SELECT DISTINCT deck, uid FROM {src}) d CROSS JOIN (SELECT 'a0' AS attack, 0 AS ord UNION ALL SELECT 'a1', 1 UNION ALL SELECT 'a2', 2 UNION ALL SELECT 'a3', 3 UNION ALL SELECT 'a4', 4 UNION ALL SELECT 'half_restore', 5) a"""
-_BR = "br AS (" + _ROWS.replace("{src}", "stage_state") + """),
+def _halves(m):
+    """Shapes of the degradations that come nearest half of a deck's steps."""
+    units = B.half_restore(m["components"].groupBy("deck", F.col("deg").alias("unit")).agg(F.sum("est_steps").alias("steps")))
+    chosen = units.where("units IS NOT NULL").select("deck", F.explode(F.split("units", ",")).alias("deg"))
+    return m["components"].join(chosen, ["deck", "deg"], "left_semi").select("deck", "slide", F.col("gt_path").alias("path")).distinct()
+
+
+def _withheld(m):
+    return B.orphan_media(P.media_of(m["shapes_gt"], ["deck"]), P.media_of(m["shapes_input"], ["deck"]))
+
+
+def _status(m):
+    expected = m.spark.createDataFrame(B.EXPECTED, B.EXPECTED_SCHEMA)
+    return B.attack_status(m["shapes_gt"], m["components"], _withheld(m), _halves(m), expected), expected
+
+
+def _battery(m, variants=False):
+    """One scoring pass over the frames of all attacks, or of all variants beside the answer and the broken file."""
+    cols = _FRAME.split(", ")
+    comps = cut_lineage(weighted(m))
+    gt, broken = m["shapes_gt"].select(*cols), m["shapes_input"].select(*cols)
+    halves = cut_lineage(_halves(m))
+    if variants:
+        made = {"gt": gt, "noop": broken} | B.variant_frames(gt, comps, theme(m))
+    else:
+        made = B.attack_frames(gt, broken, comps, halves, SLIDE_W, SLIDE_H)
+    frames = None
+    for name, frame in made.items():
+        frame = B.tagged(frame.select(*cols), name)
+        frames = frame if frames is None else frames.unionByName(frame)
+    frames = cut_lineage(frames)
+    own = gt.select("deck", "slide", "path")
+    mended = halves.select(F.lit("half_restore").alias("scenario"), "deck", "slide", "path")
+    for name in made:
+        if name in ("gt", "damage_untouched_gt") or name.startswith("variant_"):
+            mended = mended.unionByName(own.select(F.lit(name).alias("scenario"), "*"))
+    names = m.spark.createDataFrame([(n,) for n in made if n != "wrong_params"], "scenario string")
+    damaged = comps.where("op = 'delete'").select("deck", "slide", F.col("gt_path").alias("path"), F.lit(True).alias("hit")).distinct()
+
+    def child(name, *columns, **wrong):
+        whole, rest = m[name].select("deck", "slide", "path", *columns), m[f"{name}_candidate"].select("deck", "slide", "path", *columns)
+        bad = whole.join(damaged, ["deck", "slide", "path"], "left").withColumns({c: F.when(F.col("hit"), x).otherwise(F.col(c)) for c, x in wrong.items()})
+        rows = mixed(whole, rest, mended, names)
+        return whole, rows if variants else rows.unionByName(B.tagged(bad, "wrong_params").select(*rows.columns))
+
+    none = m.spark.createDataFrame([], "deck string, id string, what string, i long, j long, t string, u string")
+    facts = Facts(none, cells=child("cells", "r", "c", "text", text=F.concat("text", F.lit(" wrong"))),
+                  series=child("series", "sno", "sname", "i", "val", "category", val=F.col("val") + 1))
+    return P.Scoring(m["shapes_gt"], m["shapes_input"], frames, comps, _supplied(m), SLIDE_W, SLIDE_H, theme(m), MODEL_OPS, facts,
+                     None if variants else _withheld(m).withColumn("scenario", F.lit("orphan_media")))
+
+
+def rows(m):
+    """Every attack on every deck, built and scored; the barrier a run had is a recorded fact of its deck."""
+    status, expected = _status(m)
+    scored = _battery(m)
+    return B.battery_rows(status, scored.final(), scored.scores(), expected).join(_barrier(m), "deck")
+
+
+def _barrier(m):
+    return m["shapes_gt"].groupBy("deck").agg((F.max("deckno") % 4 == 0).alias("weak_barrier"))
+
+
+def _changed(scenario, source, /, **change):
+    return f"SELECT '{scenario}' AS scenario, {_columns(**change)} FROM {source}"
+
+
+_HITS = "b_h AS (SELECT deck, slide, gt_path AS path, bool_or(op IN ('move', 'delete')) AS mv, bool_or(op = 'delete') AS dl, bool_or(op = 'recolor') AS rc, bool_or(kind IN ('chart', 'table', 'smartart')) AS nat FROM components GROUP BY ALL)"
+_BUILT = f"""b_dp AS (SELECT deck, slide, row_number() OVER (PARTITION BY deck ORDER BY slide) AS k FROM (SELECT DISTINCT deck, slide FROM components)), {_HITS},
+b_g AS (SELECT g.*, mv, dl, rc, nat FROM shapes_gt g LEFT JOIN b_h USING (deck, slide, path)), b_i AS (SELECT i.*, nat FROM shapes_input i LEFT JOIN b_h USING (deck, slide, path)),
+b_u AS (SELECT deck, deg, sum(est_steps) AS st, row_number() OVER (PARTITION BY deck ORDER BY deg) - 1 AS i, count(*) OVER (PARTITION BY deck) AS n, sum(sum(est_steps)) OVER (PARTITION BY deck) AS total FROM components GROUP BY deck, deg),
+b_k AS (SELECT DISTINCT deck, n, total, unnest(range(1, (1 << n)::BIGINT - 1)) AS mask FROM b_u),
+b_m AS (SELECT b_k.deck, mask FROM b_k JOIN b_u ON b_u.deck = b_k.deck WHERE (mask >> i) & 1 = 1 GROUP BY b_k.deck, mask, b_k.total QUALIFY row_number() OVER (PARTITION BY b_k.deck ORDER BY abs(2 * sum(st) - b_k.total), count(*), mask) = 1),
+b_hv AS (SELECT DISTINCT c.deck, c.slide, c.gt_path AS path FROM components c JOIN b_u USING (deck, deg) JOIN b_m ON b_m.deck = c.deck AND (mask >> b_u.i) & 1 = 1),
+b_wm AS (SELECT DISTINCT deck FROM shapes_gt WHERE blob IS NOT NULL AND (deck, blob) NOT IN (SELECT (deck, blob) FROM shapes_input WHERE blob IS NOT NULL)),
+b_sp AS (SELECT deck, min(slide) AS slide FROM (SELECT DISTINCT deck, slide FROM shapes_gt WHERE (deck, slide) NOT IN (SELECT (deck, slide) FROM b_dp)) GROUP BY deck),
+b_si AS (SELECT deck, min(slide) AS slide FROM (SELECT DISTINCT deck, slide FROM shapes_input WHERE (deck, slide) NOT IN (SELECT (deck, slide) FROM b_dp)) GROUP BY deck),
+b_bg AS (SELECT s.deck, s.slide, path, row_number() OVER (PARTITION BY s.deck, s.slide ORDER BY z, path) AS i, count(*) OVER (PARTITION BY s.deck, s.slide) AS n FROM shapes_gt s JOIN b_sp USING (deck, slide) WHERE grp IS NULL),
+b_bi AS (SELECT s.deck, s.slide, path, row_number() OVER (PARTITION BY s.deck, s.slide ORDER BY z, path) AS i, count(*) OVER (PARTITION BY s.deck, s.slide) AS n FROM shapes_input s JOIN b_si USING (deck, slide) WHERE grp IS NULL),
+b_big AS (SELECT * FROM shapes_input QUALIFY row_number() OVER (PARTITION BY deck, slide ORDER BY w * h DESC, z, path) = 1),
+b_cl AS (SELECT b.* REPLACE ('clone-' || c.gt_path AS path, 'copy ' || c.gt_path AS name, c.cx AS cx, c.cy AS cy, NULL AS grp, b.shape_id + 1000000 AS shape_id) FROM components c JOIN b_big b USING (deck, slide) WHERE c.op = 'delete'),
+b_mx AS (SELECT deck, max(slide) AS last FROM shapes_input GROUP BY deck),
+b_wn AS (SELECT g.deck, g.slide, g.name AS want, row_number() OVER (PARTITION BY g.deck, g.slide ORDER BY b_h.path IS NULL, z, g.path) AS i FROM shapes_gt g JOIN b_dp ON b_dp.deck = g.deck AND b_dp.slide = g.slide LEFT JOIN b_h ON b_h.deck = g.deck AND b_h.slide = g.slide AND b_h.path = g.path),
+b_rn AS (SELECT i.* REPLACE (coalesce(want, name) AS name) FROM (SELECT *, row_number() OVER (PARTITION BY deck, slide ORDER BY z, path) AS i FROM shapes_input) i LEFT JOIN b_wn USING (deck, slide, i)),
+"""
+_DOWN = {"cx": "cx + CASE WHEN i IS NOT NULL THEN 914400 ELSE 0 END", "cy": "cy + CASE WHEN i IS NOT NULL THEN 914400 ELSE 0 END"}
+_ATTACKED = [
+    _changed("noop", "shapes_input"), _changed("gt", "shapes_gt"), _changed("orphan_media", "shapes_input"), _changed("screenshot_paste", "shapes_input"),
+    "SELECT 'screenshot_paste', " + _made(path="'cover'", kind="'picture'", z="1000000", shape_id="1000000", name="'cover'", plain="''", blob="'cover'", cx=f"{SLIDE_W // 2}", cy=f"{SLIDE_H // 2}", w=f"{SLIDE_W}", h=f"{SLIDE_H}") + " FROM b_dp",
+    _changed("clone_spam", "shapes_input"), _changed("clone_spam", "b_cl"),
+    _changed("native_to_picture", "b_i WHERE nat IS NOT TRUE"), _changed("native_to_picture", "b_g WHERE nat", kind="'picture'", blob="'flat'", plain="''"),
+    f"SELECT 'page_delete' AS scenario, {_columns(slide='dense_rank() OVER (PARTITION BY deck ORDER BY slide) - 1')} FROM shapes_input WHERE (deck, slide) NOT IN (SELECT (deck, slide) FROM b_dp)",
+    _changed("rename_only", "b_rn"), _changed("duplicate_gt_slide", "shapes_input"),
+    _changed("duplicate_gt_slide", "(SELECT g.* REPLACE (last + k AS slide) FROM shapes_gt g JOIN b_dp USING (deck, slide) JOIN b_mx ON b_mx.deck = g.deck)"),
+    _changed("wrong_params", "b_g", cx="cx + CASE WHEN mv THEN 2000000 ELSE 0 END", plain="CASE WHEN dl AND plain <> '' THEN plain || ' wrong' ELSE plain END",
+             blob="CASE WHEN dl AND blob IS NOT NULL THEN 'wrongwrongwrong0' ELSE blob END", fill_color="CASE WHEN rc THEN 'srgb:010203' ELSE fill_color END"),
+    _changed("damage_untouched", "(SELECT s.*, i, n FROM shapes_input s LEFT JOIN b_bi USING (deck, slide, path)) WHERE i IS NULL OR i <= n - n // 2", **_DOWN),
+    _changed("damage_untouched_gt", "(SELECT s.*, i, n FROM shapes_gt s LEFT JOIN b_bg USING (deck, slide, path)) WHERE i IS NULL OR i <= n - n // 2", **_DOWN),
+    _changed("half_restore", "shapes_input WHERE (deck, slide, path) NOT IN (SELECT (deck, slide, path) FROM b_hv)"), _changed("half_restore", "shapes_gt WHERE (deck, slide, path) IN (SELECT (deck, slide, path) FROM b_hv)")]
+_ACCENT = "CASE fill_color WHEN 'scheme:ACCENT1' THEN 'srgb:4472C4' WHEN 'scheme:ACCENT2' THEN 'srgb:ED7D31' WHEN 'scheme:ACCENT3' THEN 'srgb:A5A5A5' ELSE fill_color END"
+_VARIED = [
+    _changed("noop", "shapes_input"), _changed("gt", "shapes_gt"),
+    _changed("variant_rebuilt", "(SELECT *, mv IS NOT NULL AND grp IS NULL AS nw FROM b_g)", z="row_number() OVER (PARTITION BY deck, slide ORDER BY nw, z, path) - 1",
+             shape_id="shape_id + CASE WHEN nw THEN 1000000 ELSE 0 END", name="CASE WHEN nw THEN upper(kind[1]) || lower(kind[2:]) || ' 1' ELSE name END"),
+    _changed("variant_ungrouped", "(SELECT s.* REPLACE (CASE WHEN o.grp IS NULL THEN s.grp END AS grp) FROM shapes_gt s LEFT JOIN b_o o ON o.deck = s.deck AND o.slide = s.slide AND o.grp = s.grp WHERE (s.deck, s.slide, s.path) NOT IN (SELECT (deck, slide, grp) FROM b_o))"),
+    _changed("variant_picture", "(SELECT *, mv IS NOT NULL AND blob IS NOT NULL AS nw, max(z) OVER (PARTITION BY deck, slide, coalesce(grp, '')) AS last FROM b_g)", z="CASE WHEN nw THEN last + 1 + z ELSE z END",
+             shape_id="shape_id + CASE WHEN nw THEN 1000000 ELSE 0 END", name="CASE WHEN nw THEN 'Picture 1' ELSE name END"),
+    _changed("variant_colour", "b_g", fill_color=f"CASE WHEN mv IS NOT NULL THEN {_ACCENT} ELSE fill_color END", line_color="CASE WHEN mv IS NOT NULL AND line_color = 'scheme:TX1' THEN 'srgb:000000' ELSE line_color END")]
+_FREED = "b_o AS (SELECT DISTINCT k.deck, k.slide, k.grp FROM b_g k JOIN shapes_gt g ON g.deck = k.deck AND g.slide = k.slide AND g.path = k.grp AND g.kind = 'group' AND g.rot = 0 WHERE k.mv IS NOT NULL),\n"
+_WRONG = {"cells": {"text": "text || ' wrong'"}, "series": {"val": "val + 1"}}
+
+
+def _wrong_rows(name, columns):
+    made = ", ".join(f"CASE WHEN dl THEN {_WRONG[name][c]} ELSE {c} END AS {c}" if c in _WRONG[name] else c for c in columns.split(", "))
+    return f" UNION ALL SELECT 'wrong_params', deck, slide, path, {made} FROM {name} LEFT JOIN b_h USING (deck, slide, path)"
+
+
+_MENDED = """s_md AS MATERIALIZED (SELECT x.scenario, deck, slide, path FROM shapes_gt CROSS JOIN (SELECT unnest(['gt', 'damage_untouched_gt', 'variant_rebuilt', 'variant_ungrouped', 'variant_picture', 'variant_colour']) AS scenario) x
+ UNION ALL SELECT 'half_restore', deck, slide, path FROM b_hv UNION ALL SELECT 'wrong_params', deck, slide, path FROM cells UNION ALL SELECT 'wrong_params', deck, slide, path FROM series),
+"""
+
+
+def _battery_sql() -> str:
+    body = "WITH " + _NUM + ",\n" + _BUILT + over_states(_ATTACKED, _MENDED, _wrong_rows, "wrong_params")
+    return body.replace(
+        "JOIN sx ON sx.deck = f.deck AND sx.sha = f.blob)", "JOIN sx ON sx.deck = f.deck AND sx.sha = f.blob UNION SELECT 'orphan_media', deck FROM sx)")
+
+
+_EXPECTED = ", ".join(f"('{a}', '{k}', {lo!r}::DOUBLE, {hi!r}::DOUBLE, {tol!r}::DOUBLE, {repr(ref) if ref else 'NULL'}, {gap!r}::DOUBLE)" for a, k, lo, hi, tol, ref, gap in B.EXPECTED)
+_STATUS = f"""b_ex(attack, expect_kind, lo, hi, tol, ref, gap) AS (VALUES {_EXPECTED}),
+b_hs AS (SELECT deck, bool_or(op = 'delete') AS holes, coalesce(bool_or(kind IN ('chart', 'table', 'smartart')), false) AS native FROM components GROUP BY deck),
+b_st AS (SELECT deck, attack, CASE WHEN attack = 'gt_roundtrip' THEN 'not_run' WHEN attack = 'clone_spam' AND NOT holes THEN 'n/a' WHEN attack = 'native_to_picture' AND NOT native THEN 'n/a'
+  WHEN attack = 'orphan_media' AND deck NOT IN (SELECT deck FROM b_wm) THEN 'n/a' WHEN starts_with(attack, 'damage_untouched') AND deck NOT IN (SELECT deck FROM b_sp) THEN 'no_material'
+  WHEN attack = 'half_restore' AND deck NOT IN (SELECT deck FROM b_hv) THEN 'no_material' ELSE 'scored' END AS status FROM b_hs CROSS JOIN b_ex)"""
+_COUNTED = "WITH " + _BUILT + _STATUS
+_BR = _battery_sql() + "," + _STATUS + f""",
+b_al AS (SELECT scenario, deck, sum(weight * greatest(0, coalesce(raw, 0))) AS already FROM scr GROUP BY ALL),
+br AS (SELECT s.deck, s.attack, s.status, CASE WHEN s.status = 'scored' THEN fin.score END AS score, fin.failed_gate, al.already, e.* EXCLUDE (attack) FROM b_st s JOIN b_ex e USING (attack)
+  LEFT JOIN fin ON fin.deck = s.deck AND fin.scenario = s.attack LEFT JOIN b_al al ON al.deck = s.deck AND al.scenario = s.attack),
 jo AS (SELECT br.*, b.score AS base FROM br LEFT JOIN br b ON b.deck = br.deck AND b.attack = br.ref AND b.status = 'scored'),
 ck AS (SELECT *, CASE WHEN status = 'scored' THEN coalesce(CASE expect_kind WHEN 'exact' THEN abs(score - lo) <= tol WHEN 'at_most' THEN score <= hi + 1e-9 WHEN 'between' THEN score BETWEEN lo - 1e-9 AND hi + 1e-9 WHEN 'no_gain' THEN score <= base + 1e-6
   WHEN 'costs' THEN base >= gap AND score <= base - gap + 1e-6 ELSE abs(score) <= 1e-9 AND already <= hi + 1e-9 END, false) END AS ok FROM jo),
-nt AS (SELECT deck, attack, CASE WHEN status = 'scored' AND NOT ok THEN CASE WHEN attack = 'half_restore' THEN 'warning' ELSE 'reason' END ELSE 'warning' END AS level, note FROM ck WHERE (status = 'scored' AND NOT ok) OR status IN ('unconstructible', 'not_run', 'error')
-  UNION ALL SELECT deck, '*', 'reason', 'nothing could be scored' FROM ck GROUP BY deck HAVING NOT bool_or(status = 'scored') AND bool_or(status = 'no_material'))"""
+nt AS (SELECT deck, attack, CASE WHEN status = 'scored' AND NOT ok THEN CASE WHEN attack = 'half_restore' THEN 'warning' ELSE 'reason' END ELSE 'warning' END AS level, coalesce(failed_gate, '') AS note FROM ck WHERE (status = 'scored' AND NOT ok) OR status IN ('unconstructible', 'not_run', 'error')
+  UNION ALL SELECT deck, '*', 'reason', 'nothing could be scored' FROM ck GROUP BY deck HAVING NOT bool_or(status = 'scored') AND bool_or(status = 'no_material'))
+"""
 
 
-def rows(m):
-    return m.sql(_ROWS.replace("{src}", "{stage_state}"))
+@query("battery_scores", "B1 B2 B3 B4 B5 B6 B7 B9 B10", _BR + "SELECT deck, attack, status, score, failed_gate FROM br")
+def battery_scores(m):
+    """Every attack on every deck with its score and the gate that stopped it."""
+    return rows(m).select("deck", "attack", "status", "score", "failed_gate")
 
 
-@query("expectation_check", "B14", "WITH " + _BR + " SELECT deck, attack, ok FROM ck")
+@query("expectation_check", "B14", _BR + " SELECT deck, attack, ok FROM ck")
 def expectation_check(m):
     return B.check_expectations(rows(m)).select("deck", "attack", "ok")
 
 
-@query("variant_check", "B15")
+@query("variant_check", "B15", "WITH " + _NUM + ",\n" + _BUILT + _FREED + over_states(_VARIED, _MENDED) + """, b_ls AS (SELECT scenario, deck, round(max(weight * (1 - score)), 6)::DOUBLE AS worst_loss FROM scr WHERE weight * (1 - score) > 0 GROUP BY ALL)
+SELECT v.scenario, v.deck, v.score, v.failed_gate IS NULL AND v.score >= g.score - 0.02 AS ok, worst_loss FROM fin v JOIN fin g ON g.deck = v.deck AND g.scenario = 'gt' LEFT JOIN b_ls ON b_ls.scenario = v.scenario AND b_ls.deck = v.deck WHERE v.scenario <> 'gt'""")
 def variant_check(m):
-    s = scoring(m, m["frames"].where(F.col("scenario") != "tricks"))
+    s = _battery(m, variants=True)
     verdicts, losers = B.check_variants(s.final(), s.scores())
     worst = losers.groupBy("scenario", "deck").agg(F.round(F.max("loss"), 6).alias("worst_loss"))
     return verdicts.join(worst, ["scenario", "deck"], "left")
 
 
-@query("top_paid_components", "B16")
+@query("top_paid_components", "B16", "WITH " + SQL_SCENE + "," + SQL_RAW + "SELECT scenario, deck, id, round(weight * score, 6)::DOUBLE AS paid, row_number() OVER (PARTITION BY scenario, deck ORDER BY weight * score DESC, id) AS place FROM scr WHERE weight * score > 0 QUALIFY place <= 2")
 def top_paid_components(m):
     return B.top_paid(scoring(m).scores()).select("scenario", "deck", "id", F.round("paid", 6).alias("paid"), F.col("place").cast("long").alias("place"))
 
 
-@query("battery_coverage", "B17", "WITH " + _BR + " SELECT deck, count(*) AS total, count(*) FILTER (WHERE status = 'scored') AS scored, count(*) FILTER (WHERE status = 'n/a') AS na, count(*) FILTER (WHERE status = 'no_material') AS no_material, count(*) FILTER (WHERE status = 'unconstructible') AS unconstructible, count(*) FILTER (WHERE status = 'error') AS error, count(*) FILTER (WHERE status = 'not_run') AS not_run FROM br GROUP BY deck")
+@query("battery_coverage", "B17", _COUNTED + " SELECT deck, count(*) AS total, count(*) FILTER (WHERE status = 'scored') AS scored, count(*) FILTER (WHERE status = 'n/a') AS na, count(*) FILTER (WHERE status = 'no_material') AS no_material, count(*) FILTER (WHERE status = 'unconstructible') AS unconstructible, count(*) FILTER (WHERE status = 'error') AS error, count(*) FILTER (WHERE status = 'not_run') AS not_run FROM b_st GROUP BY deck")
 def battery_coverage(m):
-    return B.coverage(rows(m))
+    return B.coverage(_status(m)[0])
 
 
-@query("reasons_and_warnings", "B18", "WITH " + _BR + " SELECT deck, attack, level, note FROM nt")
+@query("reasons_and_warnings", "B18", _BR + " SELECT deck, attack, level, note FROM nt")
 def reasons_and_warnings(m):
     return B.reasons_and_warnings(B.check_expectations(rows(m)))
 
 
-@query("cross_deck_summary", "B19", "WITH " + _BR + " SELECT attack, count(DISTINCT deck) AS decks FROM nt WHERE level = 'reason' GROUP BY attack UNION ALL SELECT 'survivors', count(*) FROM (SELECT DISTINCT deck FROM br) WHERE deck NOT IN (SELECT deck FROM nt WHERE level = 'reason')")
+@query("cross_deck_summary", "B19", _BR + " SELECT attack, count(DISTINCT deck) AS decks FROM nt WHERE level = 'reason' GROUP BY attack UNION ALL SELECT 'survivors', count(*) FROM (SELECT DISTINCT deck FROM b_st) WHERE deck NOT IN (SELECT deck FROM nt WHERE level = 'reason')")
 def cross_deck_summary(m):
     notes = B.reasons_and_warnings(B.check_expectations(rows(m)))
-    return B.cross_deck_summary(notes, rows(m).select("deck").distinct())
+    return B.cross_deck_summary(notes, m["components"].select("deck").distinct())
 
 
 _FACTS = "SELECT doc_id AS deck, CASE WHEN doc_id % 9 = 0 THEN 0 ELSE n_chars END AS saved_bytes, CASE WHEN doc_id % 7 = 0 THEN 'zz' ELSE {sha} END AS source_sha, {sha} AS actual_sha, CASE WHEN doc_id % 11 = 0 THEN {sha} ELSE md5(text) END AS saved_sha, doc_id % 4 AS differing FROM documents"
@@ -221,6 +362,7 @@ def differing_parts(m):
     return B.differing_parts(a, b)
 
 
-@query("hardening_caveats", "B22", "WITH " + _BR + " SELECT deck, CASE status WHEN 'no_material' THEN 'no material' WHEN 'not_run' THEN 'not run' ELSE 'weak barrier' END AS caveat, attack FROM br WHERE status IN ('no_material', 'not_run') OR (status = 'scored' AND weak_barrier)")
+@query("hardening_caveats", "B22", _COUNTED + """ SELECT deck, CASE status WHEN 'no_material' THEN 'no material' WHEN 'not_run' THEN 'not run' ELSE 'weak barrier' END AS caveat, attack
+FROM b_st JOIN (SELECT deck, max(deckno) % 4 = 0 AS weak_barrier FROM shapes_gt GROUP BY deck) USING (deck) WHERE status IN ('no_material', 'not_run') OR (status = 'scored' AND weak_barrier)""")
 def hardening_caveats(m):
-    return B.hardening_caveats(rows(m))
+    return B.hardening_caveats(_status(m)[0].join(_barrier(m), "deck"))
