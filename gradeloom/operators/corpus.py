@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gradeloom.functions.ordered import first_per_key
+from gradeloom.functions.ordered import first_per_key, ranked_rows
 from gradeloom.functions.text import percent_encode
 from gradeloom.operators import policies as P
+from gradeloom.session import cut_lineage
 
 INDEX_COLUMNS = ("filename", "size", "url", "license", "title", "created", "updated", "doi",
                  "checksum")
@@ -337,6 +339,28 @@ def vet_wave(ranked: DataFrame, need: int, spares: int) -> DataFrame:
                         & (F.col("passed_so_far") <= need)))
 
 
+def vet_waves(ranked: DataFrame, need: int, spares: int) -> DataFrame:
+    """Rows that are vetted, wave after wave until ``need`` of them have passed, with ``wave`` and ``chosen``.
+
+    A wave takes as many rows in rank order as are still needed, and ``spares`` more; rows behind the last
+    wave are not vetted.  Only the positions of the first ``need`` passes reach the driver.  Where the rows run
+    out first, all are vetted and fewer are chosen.
+    """
+    placed = cut_lineage(ranked_rows(ranked, [F.desc("score"), F.col("pool_key")], "position")
+                         .withColumn("__ok", F.coalesce("render_ok", F.lit(False))))
+    total = placed.count()
+    passes = [r["position"] for r in placed.where("__ok").orderBy("position").limit(need).select("position").collect()]
+    waves, end, got = [], 0, 0
+    while got < need and end < total:
+        start, end = end, min(total, end + need - got + spares)
+        got = bisect_left(passes, end)
+        waves.append((len(waves) + 1, start, end - 1))
+    last = passes[-1] if len(passes) == need else total
+    spans = placed.sparkSession.createDataFrame(waves, "wave long, lo long, hi long")
+    at = spans.select("wave", F.explode(F.sequence("lo", "hi")).alias("position"))
+    return placed.join(at, "position").withColumn("chosen", F.col("__ok") & (F.col("position") <= last)).drop("__ok")
+
+
 def stamp_used(pool: DataFrame, chosen: DataFrame, batch: str) -> DataFrame:
     """Write the batch name on the pool rows it used.  The chosen set is a bounded top-n."""
     marks = chosen.select("pool_key", F.lit(batch).alias("__batch"))

@@ -258,3 +258,50 @@ def drop_series(series: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFra
     """Drop named chart series or diagram nodes: rows of a child table."""
     log = series.join(steps, [*KEY, "sname"]).groupBy(*KEY, "sname").agg(F.min("deg").alias("deg"), F.count(F.lit(1)).alias("points"))
     return series.join(log.select(*KEY, "sname"), [*KEY, "sname"], "left_anti"), log
+
+
+def clear_notes(pages: DataFrame, steps: DataFrame, most: int = 400) -> tuple[DataFrame, DataFrame]:
+    """Empty the notes of ``steps(deck, slide, deg)``; pages without words in their notes are not logged."""
+    asked = steps.groupBy("deck", "slide").agg(F.min("deg").alias("deg"))
+    was = F.trim("notes")
+    log = pages.join(asked, ["deck", "slide"]).where(was != "").select("deck", "slide", "deg", F.substring(was, 1, most).alias("was"))
+    marked = pages.join(log.select("deck", "slide", F.lit(True).alias("__x")), ["deck", "slide"], "left")
+    return marked.withColumn("notes", F.when(F.col("__x"), "").otherwise(F.col("notes"))).drop("__x"), log
+
+
+def layout_edit(layouts: DataFrame, pages: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Remove top-level shapes of layouts that ``steps(deck, layout, path, deg)`` name; what lies in them goes too.
+
+    The log has one row per removed shape with ``affects``, how many of ``pages(deck, slide, layout)`` inherit it.
+    A path that the layout does not have is passed over.
+    """
+    where = ["deck", "layout", "path"]
+    asked = steps.groupBy(*where).agg(F.min("deg").alias("deg"))
+    used = pages.groupBy("deck", "layout").agg(F.count(F.lit(1)).alias("affects"))
+    log = (layouts.where(F.col("grp").isNull()).join(asked, where).join(used, ["deck", "layout"], "left").fillna(0, ["affects"])
+           .select(*where, "deg", "kind", "name", "affects"))
+    left = layouts.withColumn("__top", F.substring_index("path", "/", 1)).join(
+        log.select("deck", "layout", F.col("path").alias("__top")), ["deck", "layout", "__top"], "left_anti")
+    return left.select(*layouts.columns), log
+
+
+def drop_nodes(nodes: DataFrame, links: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Diagram nodes whose text ``steps(KEY, t, deg)`` names go with every connection that touches them.
+
+    ``nodes(KEY, node, ord, t)`` close up in order; ``links(KEY, a, b)`` join node ids.  The log has one row per node
+    with the number of its connections.
+    """
+    gone = nodes.join(steps.groupBy(*KEY, "t").agg(F.min("deg").alias("deg")), [*KEY, "t"])
+    ends = links.withColumn("node", F.explode(F.array_distinct(F.array("a", "b"))))
+    cut = ends.join(gone.select(*KEY, "node"), [*KEY, "node"])
+    log = gone.join(cut.groupBy(*KEY, "node").agg(F.count(F.lit(1)).alias("links")), [*KEY, "node"], "left").fillna(0, ["links"]).select(
+        *KEY, "node", "t", "deg", "links")
+    place = F.row_number().over(Window.partitionBy(*KEY).orderBy("ord", "node")) - 1
+    left = nodes.join(gone.select(*KEY, "node"), [*KEY, "node"], "left_anti").withColumn("ord", place.cast("long"))
+    return left.select(*nodes.columns), links.join(cut.select(*KEY, "a", "b").distinct(), [*KEY, "a", "b"], "left_anti"), log
+
+
+def strip_elements(elements: DataFrame, steps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Chart elements ``steps(KEY, element, deg)``, titles or legends for instance, are taken out; absent ones are not logged."""
+    log = elements.join(steps.groupBy(*KEY, "element").agg(F.min("deg").alias("deg")), [*KEY, "element"]).select(*KEY, "element", "deg", F.col("value").alias("was"))
+    return elements.join(log.select(*KEY, "element"), [*KEY, "element"], "left_anti"), log

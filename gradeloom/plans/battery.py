@@ -215,7 +215,9 @@ def rows(m):
     """Every attack on every deck, built and scored; the barrier a run had is a recorded fact of its deck."""
     status, expected = _status(m)
     scored = _battery(m)
-    return B.battery_rows(status, scored.final(), scored.scores(), expected).join(_barrier(m), "deck")
+    scores = cut_lineage(scored.scores())                                # read by the totals and by the credit before the floor
+    final = P.final_scores(scores, scored.failed_gates(), scored.costs())
+    return B.battery_rows(status, final, scores, expected).join(_barrier(m), "deck")
 
 
 def _barrier(m):

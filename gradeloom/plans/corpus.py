@@ -208,6 +208,15 @@ def vet_wave(m):
     return C.vet_wave(ranked, 20, 10).select("ord", "chosen")
 
 
+@query("vet_waves", "C18", "WITH " + _CAND + """,
+rk AS (SELECT ord, coalesce(render_ok, false) AS ok, row_number() OVER w AS i, sum(CASE WHEN render_ok THEN 1 ELSE 0 END) OVER (w ROWS UNBOUNDED PRECEDING) AS p FROM cand WINDOW w AS (ORDER BY score DESC, pool_key)),
+wv(wave, lo, hi) AS (SELECT 1::BIGINT, 0::BIGINT, 22::BIGINT UNION ALL SELECT wave + 1, hi, hi + (20 - p)::BIGINT + 2 FROM wv JOIN rk ON rk.i = hi WHERE p < 20)
+SELECT ord, wave, ok AND p <= 20 AS chosen FROM rk JOIN wv ON i > lo AND i <= hi""")
+def vet_waves(m):
+    """Twenty that pass, two spares a wave: later waves make up for what the first ones lose."""
+    return C.vet_waves(C.candidates(_one_per_key(m)), 20, 2).select("ord", "wave", "chosen")
+
+
 @query("batch_manifest", "C19", "WITH " + _CAND + """, top AS (SELECT * FROM cand ORDER BY score DESC, pool_key LIMIT 25)
 SELECT p.ord, p.name, coalesce(CASE WHEN p.pool_key IN (SELECT pool_key FROM top) THEN 'batch-new' END, p.used_in) AS used_in FROM pool p""")
 def batch_manifest(m):

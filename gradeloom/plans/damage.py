@@ -190,3 +190,58 @@ def damage_slide_edits(m):
 @query("damage_drop_series", "K25", "SELECT deck, slide, path, sname, count(*) AS points FROM series WHERE sname = 'S1' AND qty % 2 = 0 GROUP BY ALL")
 def damage_drop_series(m):
     return D.drop_series(m["series"], steps(m, "kind = 'chart' AND qty % 2 = 0", sname="'S1'"))[1].select("deck", "slide", "path", "sname", "points")
+
+
+_NOTED = "SELECT DISTINCT deck, slide, CASE WHEN slide % 5 <> 1 THEN CASE WHEN slide % 4 = 0 THEN '  ' ELSE concat(' note ', deck, ' ', CAST(slide AS STRING), ' ') END END AS notes, CASE WHEN slide % 3 = 0 THEN 'Title' ELSE 'Body' END AS layout FROM {src}"
+
+
+@query("damage_clear_notes", "K24", "WITH p AS (" + _NOTED.replace("{src}", "shapes_gt").replace("STRING", "VARCHAR") + """), x AS (SELECT *, slide % 3 = 0 AND coalesce(trim(notes), '') <> '' AS hit FROM p)
+SELECT deck, slide, CASE WHEN hit THEN trim(notes) END AS was, CASE WHEN hit THEN '' ELSE notes END AS notes FROM x""")
+def damage_clear_notes(m):
+    """Notes of every third page are cleared; what was there is logged."""
+    pages = m.sql(_NOTED.replace("{src}", "{shapes_gt}"))
+    left, log = D.clear_notes(pages, pages.where("slide % 3 = 0").select("deck", "slide", F.lit("d1").alias("deg")))
+    return left.join(log.select("deck", "slide", "was"), ["deck", "slide"], "left").select("deck", "slide", "was", "notes")
+
+
+@query("damage_layout_edit", "K24", "WITH p AS (" + _NOTED.replace("{src}", "shapes_gt").replace("STRING", "VARCHAR") + """), l AS (SELECT *, CASE WHEN slide = 0 THEN 'Title' ELSE 'Body' END AS layout FROM shapes_gt WHERE slide < 2),
+u AS (SELECT deck, layout, count(*) AS affects FROM p GROUP BY ALL), g AS (SELECT * FROM l WHERE layout = 'Title' AND grp IS NULL AND pk % 3 = 0),
+k AS (SELECT deck, layout, count(*) AS kept FROM l WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.deck = l.deck AND g.layout = l.layout AND (g.path = l.path OR g.path = l.grp)) GROUP BY ALL)
+SELECT g.deck, g.layout, g.path, g.kind, g.name, affects, coalesce(kept, 0) AS kept FROM g JOIN u USING (deck, layout) LEFT JOIN k USING (deck, layout)""")
+def damage_layout_edit(m):
+    """Shapes of a layout are removed once and every page that inherits the layout is affected."""
+    pages = m.sql(_NOTED.replace("{src}", "{shapes_gt}"))
+    layouts = m["shapes_gt"].where("slide < 2").withColumn("layout", F.when(F.col("slide") == 0, "Title").otherwise("Body"))
+    steps_ = layouts.where("layout = 'Title' AND pk % 3 = 0").select("deck", "layout", "path", F.lit("d1").alias("deg"))
+    left, log = D.layout_edit(layouts, pages, steps_)
+    kept = left.groupBy("deck", "layout").agg(F.count(F.lit(1)).alias("kept"))
+    return log.drop("deg").join(kept, ["deck", "layout"], "left").fillna(0, ["kept"])
+
+
+_DIAGRAM = "SELECT g.deck, g.slide, g.path, CAST(x.i AS BIGINT) AS node, CAST(x.i AS BIGINT) AS ord, concat('node ', CAST((g.pk + x.i * 5) % 11 AS STRING)) AS t, g.pk FROM {src} g CROSS JOIN (SELECT 0 AS i UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3) x WHERE g.kind = 'smartart'"
+_LINKED = "SELECT g.deck, g.slide, g.path, CAST(x.a AS BIGINT) AS a, CAST(x.b AS BIGINT) AS b FROM {src} g CROSS JOIN (SELECT 0 AS a, 1 AS b UNION ALL SELECT 0, 2 UNION ALL SELECT 2, 3) x WHERE g.kind = 'smartart'"
+
+
+@query("damage_drop_nodes", "K25", "WITH n AS (" + _DIAGRAM.replace("{src}", "shapes_gt").replace("STRING", "VARCHAR") + "), e AS (" + _LINKED.replace("{src}", "shapes_gt") + """),
+g AS (SELECT deck, slide, path, node FROM n WHERE pk % 4 = node), d AS (SELECT e.*, EXISTS (SELECT 1 FROM g WHERE g.deck = e.deck AND g.slide = e.slide AND g.path = e.path AND node IN (a, b)) AS cut FROM e),
+l AS (SELECT deck, slide, path, count(*) FILTER (WHERE NOT cut) AS links FROM d GROUP BY ALL), k AS (SELECT n.*, row_number() OVER (PARTITION BY deck, slide, path ORDER BY ord) - 1 AS place FROM n WHERE pk % 4 <> node)
+SELECT deck, slide, path, string_agg(place::VARCHAR || ' ' || t, ',' ORDER BY place) AS nodes, any_value(links) AS links FROM k JOIN l USING (deck, slide, path) GROUP BY ALL""")
+def damage_drop_nodes(m):
+    """One node of every diagram goes with its connections, and the others close up."""
+    nodes, links = m.sql(_DIAGRAM.replace("{src}", "{shapes_gt}")), m.sql(_LINKED.replace("{src}", "{shapes_gt}"))
+    asked = nodes.where("pk % 4 = node").select("deck", "slide", "path", "t", F.lit("d1").alias("deg"))
+    left, joined, _ = D.drop_nodes(nodes, links, asked)
+    kept = joined.groupBy("deck", "slide", "path").agg(F.count(F.lit(1)).alias("links"))
+    text = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("ord", "t"))), lambda x: F.concat_ws(" ", x["ord"].cast("string"), x["t"])), ",")
+    return left.groupBy("deck", "slide", "path").agg(text.alias("nodes")).join(kept, ["deck", "slide", "path"], "left").fillna(0, ["links"])
+
+
+_ELEMENTS = "SELECT g.deck, g.slide, g.path, x.element, concat(x.element, ' ', CAST(g.pk AS STRING)) AS value, g.qty FROM {src} g CROSS JOIN (SELECT 'title' AS element, 1 AS k UNION ALL SELECT 'legend', 2 UNION ALL SELECT 'axis', 3) x WHERE g.kind = 'chart' AND g.pk % 4 <> x.k"
+
+
+@query("damage_strip_elements", "K25", "SELECT deck, slide, path, element, value AS was FROM (" + _ELEMENTS.replace("{src}", "shapes_gt").replace("STRING", "VARCHAR") + ") WHERE (element = 'title' AND qty % 2 = 0) OR (element = 'legend' AND qty % 3 = 0)")
+def damage_strip_elements(m):
+    """Titles and legends are taken out of some charts; those that have none are not logged."""
+    own = m.sql(_ELEMENTS.replace("{src}", "{shapes_gt}"))
+    charts = steps(m, "kind = 'chart' AND qty % 2 = 0", element="'title'").unionByName(steps(m, "kind = 'chart' AND qty % 3 = 0", element="'legend'"))
+    return D.strip_elements(own, charts)[1].drop("deg")
