@@ -1,7 +1,9 @@
 """Deterministic sharded WARC writer and reader.
 
-Pages are dealt over shards of equal id ranges and sorted by id within; a shard is a run of files, each
-closed before its compressed size would pass ``roll_bytes`` (a larger record has a file of its own).
+Pages are dealt over shards by id and sorted by id within.  Shard bounds follow the rows: the exact global order
+of ids is cut into ranges of about equally many rows, and each range into as many shards of equal width as its
+bytes need, so sparse ids or a far outlier leave no shard with most of the pages.  Pages without an id are dealt
+by digest; rows of one id stay together.  A shard is a run of files, each closed before its compressed size would pass ``roll_bytes`` (a larger record has a file of its own).
 Records are single gzip members with regenerated headers and digests and a given date, so the bytes
 depend on the rows alone.  Every task writes under a temporary name of its own and reports it; the
 reports are written as a table, and only files named there are renamed and listed in the manifest,
@@ -22,9 +24,10 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gradeloom.functions.ordered import ranked_rows
 from gradeloom.llm.common import fresh_path, text_batches, written
 
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -56,6 +59,45 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, nt
     return head.encode() + block + b"\r\n\r\n"
 
 
+def shard_of(narrow: DataFrame, shard_bytes: int, most_ranges: int = 1024) -> tuple[Column, int]:
+    """The shard of a row of ``narrow(page_id, digest, size)`` and the number of shards; depends on the rows alone.
+
+    At most ``most_ranges`` bounds and sums reach the driver.
+    """
+    # a mark of its own for every row spreads a frequent id; which of its rows comes first changes no bound
+    ids = narrow.where("page_id is not null").select("page_id", F.monotonically_increasing_id().alias("mark"))
+    whole = narrow.agg(F.sum("size").alias("size"), F.count("page_id").alias("ids")).first()
+    ranges = min(most_ranges, max(1, -(-(whole["size"] or 0) // shard_bytes)), max(1, whole["ids"]))
+    lows = []
+    if whole["ids"]:
+        step = -(-whole["ids"] // ranges)
+        cuts = ranked_rows(ids, [F.col("page_id"), F.col("mark")], "position").where(F.col("position") % step == 0) if ranges > 1 else ids.agg(F.min("page_id").alias("page_id"))
+        lows = sorted({r["page_id"] for r in cuts.select("page_id").distinct().collect()})
+    at = F.size(F.filter(F.array(*[F.lit(low).cast("long") for low in lows]), lambda low: low <= F.col("page_id"))) - 1 if lows else F.lit(None).cast("int")
+    place = F.when(F.col("page_id").isNotNull(), at)
+    sums = {r["at"]: r for r in narrow.groupBy(place.alias("at")).agg(F.sum("size").alias("size"), F.min("page_id").alias("lo"), F.max("page_id").alias("hi")).collect()}
+    parts = {k: max(1, round((r["size"] or 0) / shard_bytes)) for k, r in sums.items()}
+    known, first = sorted(k for k in sums if k is not None), 0
+    bases, counts, starts, widths = [], [], [], []
+    for k in range(len(lows)):
+        n = parts.get(k, 1)
+        bases.append(first)
+        counts.append(n)
+        starts.append(float(lows[k]))
+        widths.append(max(1.0, (float(sums[k]["hi"]) - float(lows[k]) + 1) / n) if k in known else 1.0)
+        first += n
+
+    def of(values, kind):
+        return F.get(F.array(*[F.lit(v).cast(kind) for v in values]), at)
+
+    without = first + F.pmod(F.xxhash64("digest"), F.lit(parts.get(None, 1)))
+    if not lows:
+        return without.cast("int"), first + parts.get(None, 1)
+    inside = F.floor((F.col("page_id").cast("double") - of(starts, "double")) / of(widths, "double"))
+    numbered = of(bases, "long") + F.least(inside, of(counts, "long") - 1)
+    return F.when(F.col("page_id").isNull(), without).otherwise(numbered).cast("int"), first + parts.get(None, 0)
+
+
 def write(pages: DataFrame, folder: str, *, date: str = "2024-01-01T00:00:00Z", least_bytes: int = 100,
           shard_bytes: int = 16 << 20, roll_bytes: int = 8 << 20, level: int = 4) -> DataFrame:
     """Write ``pages(page_id, url, html)`` as archives into the new ``folder``; gives the manifest rows."""
@@ -63,11 +105,7 @@ def write(pages: DataFrame, folder: str, *, date: str = "2024-01-01T00:00:00Z",
     html = F.coalesce("html", F.lit(""))
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url"), html.alias("html"), F.sha2(html, 256).alias("digest"))
     narrow = own.select("page_id", "digest", F.octet_length("html").alias("size"))
-    span = narrow.agg(F.min("page_id").alias("lo"), F.max("page_id").alias("hi"), F.sum("size").alias("size")).first()
-    shards = max(1, -(-(span["size"] or 0) // shard_bytes))
-    low = span["lo"] or 0
-    width = max(1, -(-((span["hi"] or 0) - low + 1) // shards))
-    shard = F.coalesce(F.floor((F.col("page_id") - low) / width), F.lit(shards)).cast("int")
+    shard, shards = shard_of(narrow, shard_bytes)
 
     copies = (narrow.where(F.col("size") >= least_bytes).groupBy("digest")
               .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first"))
@@ -125,7 +163,7 @@ def write(pages: DataFrame, folder: str, *, date: str = "2024-01-01T00:00:00Z",
 
     order = [F.col("shard"), F.col("page_id").asc_nulls_last(), F.col("digest"), F.col("kind"), F.col("url").asc_nulls_last()]
     # by range, so that no task gets several shards while others get none
-    written_files = (rows.repartitionByRange(shards + 1, "shard").sortWithinPartitions(*order)
+    written_files = (rows.repartitionByRange(max(1, shards), "shard").sortWithinPartitions(*order)
                      .select("shard", "page_id", "digest", "kind", "first", "url", "html")
                      .mapInArrow(run, "shard int, roll int, temp string, records long, bytes long, sha256 string"))
     manifest = written(written_files, "warc-manifest").withColumn("name", F.format_string("part-%05d-%05d.warc.gz", "shard", "roll"))
