@@ -162,8 +162,8 @@ def write(pages: DataFrame, folder: str, *, date: str = "2024-01-01T00:00:00Z",
             ["shard", "roll", "temp", "records", "bytes", "sha256"])
 
     order = [F.col("shard"), F.col("page_id").asc_nulls_last(), F.col("digest"), F.col("kind"), F.col("url").asc_nulls_last()]
-    # by range, so that no task gets several shards while others get none
-    written_files = (rows.repartitionByRange(max(1, shards), "shard").sortWithinPartitions(*order)
+    # by range, with more ranges than shards, so that every shard is a range of its own and no task gets two
+    written_files = (rows.repartitionByRange(2 * max(1, shards), "shard").sortWithinPartitions(*order)
                      .select("shard", "page_id", "digest", "kind", "first", "url", "html")
                      .mapInArrow(run, "shard int, roll int, temp string, records long, bytes long, sha256 string"))
     manifest = written(written_files, "warc-manifest").withColumn("name", F.format_string("part-%05d-%05d.warc.gz", "shard", "roll"))
