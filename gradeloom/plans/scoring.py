@@ -394,14 +394,3 @@ def gate_reasons_across_states(m):
 @query("calibration_findings", "P26", _FINAL + "SELECT deck, scenario, score FROM fin WHERE (scenario = 'gt' AND abs(score - 1) > 1e-6) OR (scenario = 'noop' AND abs(score) > 1e-6)")
 def calibration_findings(m):
     return P.calibration_findings(scoring(m).final())
-
-
-@query("calibration_curve", "P27")
-def calibration_curve(m):
-    """Score of the broken file with a growing share of the work restored."""
-    comps = weighted(m)
-    base = [c for c in m["frames"].columns if c != "scenario"]
-    frames = P.restore_fraction(m["shapes_gt"].select(*base), m["shapes_input"].select(*base), comps, [0.25, 0.5, 0.75, 1.0])
-    noop = m["frames"].where(F.col("scenario") == "noop")
-    s = scoring(m, frames.unionByName(noop)).scores()
-    return s.groupBy("scenario", "deck").agg(F.round(F.sum(F.col("weight") * F.col("score")), 5).alias("total"))
