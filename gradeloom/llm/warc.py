@@ -6,8 +6,8 @@ bytes need, so sparse ids or a far outlier leave no shard with most of the pages
 by digest; rows of one id stay together.  A shard is a run of files, each closed before its compressed size would pass ``roll_bytes`` (a larger record has a file of its own).
 Records are single gzip members with regenerated headers and digests and a given date, so the bytes
 depend on the rows alone.  Every task writes under a temporary name of its own and reports it; the
-reports are written as a table, and only files named there are renamed and listed in the manifest,
-which appears last.  Files of lost or repeated tasks are never named.
+reports are written as a table, and only files named there are renamed, again in tasks, and listed in the
+manifest, which appears last.  Files of lost or repeated tasks are never named.
 
 Of pages with equal payloads of at least ``least_bytes``, the one with the smallest id (nulls last, the
 first of repeated rows) is a response and the others are revisits of it.  A null html is an empty
@@ -172,13 +172,32 @@ def write(pages: DataFrame, folder: str, *, date: str = "2024-01-01T00:00:00Z",
 
 
 def _commit(manifest: DataFrame, folder: str) -> None:
-    """Rename the files that the finished tasks name, then let the manifest appear.  Can be repeated."""
+    """Rename the files that the finished tasks name, in tasks of a share of the shards each, then let the manifest appear.
+
+    Can be repeated, as a whole or by any task: a file that already has its name is left alone.  The driver streams the
+    manifest's rows, a partition at a time, and renames nothing but the manifest.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, root = filesystem(folder)
+        for batch in batches:
+            for name, temp in zip(batch.column("name").to_pylist(), batch.column("temp").to_pylist()):
+                target = f"{root}/{name}"
+                if system.get_file_info(target).type == pafs.FileType.NotFound:
+                    try:
+                        system.move(f"{root}/_temporary/{temp}", target)
+                    except OSError:
+                        # another attempt of this task may have been first
+                        if system.get_file_info(target).type == pafs.FileType.NotFound:
+                            raise
+            yield batch
+
+    cells = "name string, records long, bytes long, sha256 string, temp string"
+    spark = manifest.sparkSession
+    tasks = max(1, min(manifest.count(), spark.sparkContext.defaultParallelism * 4))
+    named = written(manifest.select("name", "records", "bytes", "sha256", "temp").repartition(tasks, "name").mapInArrow(run, cells), "warc-named")
     system, root = filesystem(folder)
     with system.open_output_stream(f"{root}/{MANIFEST}.tmp") as out:
-        for row in manifest.orderBy("name").toLocalIterator():
-            target = f"{root}/{row['name']}"
-            if system.get_file_info(target).type == pafs.FileType.NotFound:
-                system.move(f"{root}/_temporary/{row['temp']}", target)
+        for row in named.orderBy("name").toLocalIterator():
             out.write(json.dumps({k: row[k] for k in ("name", "records", "bytes", "sha256")}).encode() + b"\n")
     system.move(f"{root}/{MANIFEST}.tmp", f"{root}/{MANIFEST}")
     system.delete_dir(f"{root}/_temporary")

@@ -1,5 +1,9 @@
 """Shard bounds follow the rows: missing ids, far outliers and sparse ids leave no shard with most of the pages."""
 
+import json
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
 from gradeloom.llm import warc
@@ -40,3 +44,33 @@ def test_round_trip_of_skewed_pages(spark):
     files = warc.write(pages, fresh_path(spark, "warc-test"), shard_bytes=10_000, roll_bytes=2_000)
     out = warc.read(spark, files)
     assert out.count() == pages.count() and out.where("record_type = 'response'").select("payload").distinct().count() == 3000
+
+
+REPORT = "shard int, roll int, temp string, records long, bytes long, sha256 string, name string"
+
+
+def reported(spark, folder, there, named=()):
+    """A folder as the writing tasks leave it: ``there`` under temporary names, ``named`` renamed by an earlier try."""
+    os.makedirs(f"{folder}/_temporary")
+    for k in range(40):
+        at = f"{folder}/part-{k:05d}" if k in named else f"{folder}/_temporary/t{k}" if k in there else None
+        if at:
+            with open(at, "w") as out:
+                out.write(str(k))
+    return spark.createDataFrame([(k, 0, f"t{k}", 1, 2, "s", f"part-{k:05d}") for k in range(40)], REPORT)
+
+
+def test_a_broken_commit_is_taken_up_again(spark, tmp_path):
+    folder = str(tmp_path / "a")
+    warc._commit(reported(spark, folder, range(40), named=range(0, 40, 3)), folder)
+    rows = [json.loads(line) for line in open(f"{folder}/_MANIFEST.json")]
+    assert [r["name"] for r in rows] == [f"part-{k:05d}" for k in range(40)]
+    assert [open(f"{folder}/{r['name']}").read() for r in rows] == [str(k) for k in range(40)]
+    assert sorted(os.listdir(folder))[:1] == ["_MANIFEST.json"] and len(os.listdir(folder)) == 41
+
+
+def test_no_manifest_when_a_file_is_missing(spark, tmp_path):
+    folder = str(tmp_path / "b")
+    with pytest.raises(Exception):
+        warc._commit(reported(spark, folder, range(1, 40)), folder)
+    assert "_MANIFEST.json" not in os.listdir(folder)
