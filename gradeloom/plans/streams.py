@@ -36,7 +36,7 @@ def stream_edge_alerts(m):
     cond = R.alert_conditions(m["samples"], m["sample_decks"], 0.993).join(nth, "seq").select(
         "seq", F.col("nth").cast("long").alias("nth"), "kind", "id", F.col("confirm").cast("long").alias("confirm"))
     source, out = St.scratch(m.spark, "conditions"), St.scratch(m.spark, "alerts")
-    # one file per trigger would need files in sample order, so all of them are one micro-batch here
-    cond.sortWithinPartitions("nth").write.parquet(source)
-    St.drain_to_table(St.edge_alerts(St.stream_events(m.spark, source, cond.schema, "*.parquet", per_trigger=100000)), out)
-    return m.spark.read.parquet(out).select("seq", "kind", "id")
+    # files hold samples of all times: by hash, and a few of them a micro-batch
+    cond.repartition(24, F.xxhash64("seq")).write.parquet(source)
+    St.drain_updates(St.condition_blocks(St.stream_events(m.spark, source, cond.schema, "*.parquet", per_trigger=8)), out)
+    return St.alerts_of_blocks(St.newest_state(m.spark, out, ["kind", "id", "block"]))

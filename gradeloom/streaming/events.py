@@ -7,20 +7,17 @@ rule in the data, so no watermark is claimed; state is keyed by entity and bound
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gradeloom.functions.ordered import last_per_key
 from gradeloom.operators.runlog import line_kind
 from gradeloom.session import ensure_checkpoint_dir
 
-ALERT_OUT = "seq long, kind string, id string"
-ALERT_STATE = "last_nth long, streak int"
+#: Sample numbers that one state of a condition covers.
+ALERT_BLOCK = 1024
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -61,38 +58,47 @@ def fold_deck_state(lines: DataFrame) -> DataFrame:
         F.count_if(kind.isin("rejected", "no_op_repair")).alias("complaints")).select("deck", "s.*", "last_us", "lines", "complaints")
 
 
-def newest_state(spark: SparkSession, path: str) -> DataFrame:
-    """The latest row per deck over all written updates."""
+def newest_state(spark: SparkSession, path: str, keys: Sequence[str] = ("deck",)) -> DataFrame:
+    """The latest row per key over all written updates."""
     rows = spark.read.parquet(path)
-    cols = [c for c in rows.columns if c not in ("deck", "batch", "batch_no")]
-    return last_per_key(rows, ["deck"], ["batch_no"], cols)
+    cols = [c for c in rows.columns if c not in (*keys, "batch", "batch_no")]
+    return last_per_key(rows, list(keys), ["batch_no"], cols)
 
 
-def edge_alerts(conditions: DataFrame) -> DataFrame:
-    """Alerts of a stream of conditions ``(seq, nth, kind, id, confirm)`` in sample order.
+def condition_blocks(conditions: DataFrame, block: int = ALERT_BLOCK) -> DataFrame:
+    """The samples of each condition ``(seq, nth, kind, id, confirm)``, gathered in blocks of ``block`` sample numbers.
 
-    A condition is known to have gone away when its next sample number is not the one after the last.
-    Within a micro-batch samples may come in any order and chunking, repeated ones count once; micro-batches
-    follow one another in sample order, and what is older than the state is taken as a repeat.
+    The state is one row per condition and block, of at most ``block`` samples, so a condition that holds a third
+    of the log is many small states.  Samples may come in any order, chunking and micro-batch; repeated ones count once.
     """
-    def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        last, streak = state.get if state.exists else (-1, 0)
-        # a micro-batch arrives in chunks of any order: numbers first, then one sort over all of them
-        rows = pd.concat([pdf[["nth", "seq", "confirm"]] for pdf in pdfs]).drop_duplicates("nth").sort_values("nth")
-        rows = rows[rows["nth"] > last]
-        if not len(rows):
-            return
-        nth = rows["nth"].to_numpy()
-        new = np.diff(nth, prepend=last if streak else nth[0] - 2) != 1
-        place = np.arange(len(nth))
-        begin = np.maximum.accumulate(np.where(new, place, -1))
-        length = np.where(begin >= 0, place - begin + 1, streak + place + 1)
-        state.update((int(nth[-1]), int(length[-1])))
-        fired = rows[length == rows["confirm"].to_numpy()]
-        yield pd.DataFrame({"seq": fired["seq"], "kind": key[0], "id": key[1]})
-
-    return conditions.groupBy("kind", "id").applyInPandasWithState(
-        step, ALERT_OUT, ALERT_STATE, "append", GroupStateTimeout.NoTimeout)
+    sample = F.struct("nth", "seq", "confirm")
+    return (conditions.withColumn("block", F.floor(F.col("nth") / block))
+            .groupBy("kind", "id", "block").agg(F.array_sort(F.collect_set(sample)).alias("held")))
 
 
+def alerts_of_blocks(blocks: DataFrame, block: int = ALERT_BLOCK) -> DataFrame:
+    """Alerts ``(seq, kind, id)`` of the newest ``condition_blocks``: where a condition has held ``confirm`` samples in a row.
 
+    The length of a run is the distance to the last number without a sample.  Within a block that number is read off
+    the block; a run that touches the block's start takes it from the blocks before, of which only one number each is windowed.
+    """
+    first, last = F.col("block") * block, (F.col("block") + 1) * block - 1
+    n, nths = F.size("held"), F.col("held.nth")
+    # the places in a block whose sample does not follow the one before; the last of them begins the block's last run
+    gaps = F.filter(F.sequence(F.lit(0), n - 1), lambda k: F.when(k == 0, F.get(nths, k) != first)
+                    .otherwise(F.get(nths, k) != F.get(nths, k - 1) + 1))
+    inner = F.when(F.element_at(nths, -1) != last, last).when(F.size(gaps) > 0, F.get(nths, F.element_at(gaps, -1)) - 1)
+    own = Window.partitionBy("kind", "id").orderBy("block")
+    told = blocks.select("kind", "id", "block", inner.alias("gap"))
+    # a block that is not there is all gap: its last number counts for the next one that is
+    absent = F.when(F.coalesce(F.lag("block").over(own), F.lit(-2)) != F.col("block") - 1, first - 1)
+    told = told.withColumn("absent", absent).withColumn("low", F.greatest("absent", "gap"))
+    before = told.withColumn("carried", F.greatest("absent", F.max("low").over(own.rowsBetween(Window.unboundedPreceding, -1))))
+    rows = (blocks.join(before.select("kind", "id", "block", "carried"), ["kind", "id", "block"])
+            .select("kind", "id", "block", "carried", F.explode("held").alias("s")).select("kind", "id", "block", "carried", "s.*"))
+    inside = Window.partitionBy("kind", "id", "block").orderBy("nth")
+    step = F.col("nth") - 1
+    hole = F.when(F.lag("nth").over(inside).isNull(), F.when(F.col("nth") == first, F.col("carried")).otherwise(step)).when(
+        F.lag("nth").over(inside) != step, step)
+    runs = rows.withColumn("hole", hole).withColumn("since", F.last("hole", ignorenulls=True).over(inside))
+    return runs.where(F.col("nth") - F.col("since") == F.col("confirm")).select("seq", "kind", "id")
