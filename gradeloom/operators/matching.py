@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gradeloom.functions.geometry import boxes_meet, covers, inside, same_place
@@ -89,29 +89,160 @@ def _rounds(props: DataFrame, by: Sequence[str], order: Sequence[str]) -> DataFr
     return (props.limit(0) if taken is None else taken).select(*by, "gt_path", "other_path", "key", "strong")
 
 
-def greedy(props: DataFrame, by: Sequence[str], order: Sequence[str], big: DataFrame | None) -> DataFrame:
-    if big is None:
-        return _fold(props, by, order)
-    on = [c for c in by if c in big.columns]
-    small = _fold(props.join(big, on, "left_anti"), by, order)
-    return small.unionByName(_rounds(props.join(big, on, "left_semi"), by, order))
-
-
 PAIR_ORDER = ("rank", "dist2", "gt_path", "other_z", "other_path")
 DRIFT_ORDER = ("gt_z", "gt_path", "rank", "dist2", "other_z", "other_path")
 
+#: Cell sizes, as powers of two, of the grids that the nearest centre is looked for on.
+LEVELS = (0, 4, 8, *range(10, 27), 32, 40, 50, 62)
+
+
+def _cells(points: DataFrame, levels: Column, reach: int) -> DataFrame:
+    """The cell of each centre on each of its levels, and those up to ``reach`` cells away."""
+    near = F.array(*[F.struct(F.lit(x).alias("dx"), F.lit(y).alias("dy")) for x in range(-reach, reach + 1) for y in range(-reach, reach + 1)])
+    rows = points.withColumn("level", F.explode(levels))
+    rows = rows.withColumn("near", F.explode(near)) if reach else rows.withColumn("near", F.struct(F.lit(0).alias("dx"), F.lit(0).alias("dy")))
+    cell = lambda c: F.expr(f"shiftright({c}, level)")
+    return rows.withColumn("x", cell("cx") + F.col("near.dx")).withColumn("y", cell("cy") + F.col("near.dy")).drop("near")
+
+
+def nearest_centres(here: DataFrame, there: DataFrame, on: Sequence[str]) -> DataFrame:
+    """(on, cx, cy, to_cx, to_cy): for every centre of ``here`` all nearest ones of ``there`` with equal ``on``.
+
+    The finest grid on which a neighbouring cell is taken bounds the distance to under three cells, and only the
+    cells within that reach are opened.
+    """
+    on = list(on)
+    p, q = here.select(*on, "cx", "cy").distinct(), there.select(*on, "cx", "cy").distinct()
+    same = p.join(q, [*on, "cx", "cy"])
+    apart = p.join(same, [*on, "cx", "cy"], "left_anti")
+    levels = F.array(*[F.lit(x) for x in LEVELS])
+    homes = _cells(q.select(*on, "cx", "cy"), levels, 0)
+    taken = homes.select(*on, "level", "x", "y").distinct()
+    reach = (_cells(apart, levels, 1).join(taken, [*on, "level", "x", "y"])
+             .groupBy(*on, "cx", "cy").agg(F.min("level").alias("least")))
+    met = (_cells(reach, F.array("least"), 3)
+           .join(homes.select(*on, "level", "x", "y", F.col("cx").alias("to_cx"), F.col("cy").alias("to_cy")), [*on, "level", "x", "y"])
+           .withColumn("d", (F.col("cx") - F.col("to_cx")) * (F.col("cx") - F.col("to_cx")) + (F.col("cy") - F.col("to_cy")) * (F.col("cy") - F.col("to_cy"))))
+    best = met.groupBy(*on, "cx", "cy").agg(F.min("d").alias("least_d"))
+    far = met.join(best, [*on, "cx", "cy"]).where(F.col("d") == F.col("least_d")).select(*on, "cx", "cy", "to_cx", "to_cy")
+    return same.select(*on, "cx", "cy", F.col("cx").alias("to_cx"), F.col("cy").alias("to_cy")).unionByName(far)
+
+
+def _meeting(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Pairs of boxes with equal ``on`` that may meet, from grids as coarse as the larger box of the two."""
+    top = 62
+    def level(c):
+        # two boxes that meet are no further apart than the larger one's size and the tolerance
+        return F.least(F.lit(top), F.ceil(F.log2(F.greatest(F.col("w"), F.col("h"), F.lit(0)) + 2.0 * 9144 + 1)).cast("int"))
+    a, b = a.withColumn("own", level("a")), b.withColumn("own", level("b"))
+    names = lambda df, mark: df.select(*on, *[F.col(c).alias(f"{mark}{c}") for c in df.columns if c not in on])
+    out = None
+    for home, guest, marks, equal in ((a, b, ("a_", "b_"), True), (b, a, ("b_", "a_"), False)):
+        used = home.select(*on, F.col("own").alias("level")).distinct()
+        at = names(_cells(home, F.array("own"), 0).withColumn("own", F.col("level")), marks[0])
+        at = at.select(*on, *[F.col(c) for c in at.columns if c not in on and c[2:] not in ("level", "x", "y")],
+                       F.col(f"{marks[0]}level").alias("level"), F.col(f"{marks[0]}x").alias("x"), F.col(f"{marks[0]}y").alias("y"))
+        went = guest.join(used, list(on)).where((F.col("own") <= F.col("level")) if equal else (F.col("own") < F.col("level")))
+        went = _cells(went.withColumnRenamed("level", "to"), F.array("to"), 1).drop("to")
+        went = names(went, marks[1])
+        went = went.select(*on, *[F.col(c) for c in went.columns if c not in on and c[2:] not in ("level", "x", "y")],
+                           F.col(f"{marks[1]}level").alias("level"), F.col(f"{marks[1]}x").alias("x"), F.col(f"{marks[1]}y").alias("y"))
+        got = at.join(went, [*on, "level", "x", "y"]).drop("level", "x", "y", "a_own", "b_own")
+        out = got if out is None else out.unionByName(got)
+    return out.where(boxes_meet("a_", "b_"))
+
+
+def _by_distance(gt: DataFrame, other: DataFrame, by: Sequence[str], gt_by: Sequence[str], weak_must_meet: bool) -> DataFrame:
+    """The pairing by ``PAIR_ORDER`` without all pairs of shapes that share a key; every shape needs a box.
+
+    Key ranks go one after the other.  Shapes that no order but their own tells apart form a class: equal key and
+    place.  In rounds, a class of each side that are nearest to one another and to no other pair all they can, in
+    their order; where several are equally near, the first shapes of all do.  A round compares classes with their
+    nearest ones only.
+    """
+    by, box = list(by), ["cx", "cy", "w", "h"]
+    free_a = cut_lineage(gt.join(other.select(*by).distinct(), list(gt_by)).select(*by, "path", "keys", *box))
+    free_b = cut_lineage(other.select(*by, "path", "z", "keys", *box))
+    ranks, taken = free_a.agg(F.max(F.size("keys"))).first()[0] or 0, []
+    weak = lambda key: ~is_strong(key) if weak_must_meet else F.lit(False)
+    for rank in range(ranks):
+        while True:
+            # w and h tell apart only where boxes must meet
+            a = free_a.where(F.size("keys") > rank).withColumn("key", F.get("keys", F.lit(rank))).drop("keys").withColumn("weak", weak(F.col("key")))
+            for c in ("w", "h"):
+                a = a.withColumn(c, F.when(F.col("weak"), F.col(c)).otherwise(0))
+            wanted = a.select(*by, "key", "weak").distinct()
+            b = (free_b.withColumn("key", F.explode(F.array_distinct("keys"))).drop("keys").join(wanted, [*by, "key"])
+                 .groupBy(*by, "path", "z", *box).agg(F.sort_array(F.collect_list("key")).alias("wants"), F.max("weak").alias("weak")))
+            for c in ("w", "h"):
+                b = b.withColumn(c, F.when(F.col("weak"), F.col(c)).otherwise(0))
+            b = cut_lineage(b)
+            if b.isEmpty():
+                break
+            class_a = a.groupBy(*by, "key", "weak", *box).agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("first"))
+            class_b = b.groupBy(*by, "wants", *box).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("z", "path")).alias("first"))
+            keyed_b = class_b.withColumn("key", F.explode("wants")).withColumn("weak", weak(F.col("key")))
+            class_a, keyed_b, on = cut_lineage(class_a), cut_lineage(keyed_b), [*by, "key"]
+            strong_a, strong_b = class_a.where("not weak"), keyed_b.where("not weak")
+            links = nearest_centres(strong_a, strong_b, on).select(*on, F.col("cx").alias("a_cx"), F.col("cy").alias("a_cy"), F.col("to_cx").alias("b_cx"), F.col("to_cy").alias("b_cy")).unionByName(
+                nearest_centres(strong_b, strong_a, on).select(*on, F.col("cx").alias("b_cx"), F.col("cy").alias("b_cy"), F.col("to_cx").alias("a_cx"), F.col("to_cy").alias("a_cy"))).distinct()
+            side = lambda df, m: df.select(*on, *[F.col(c).alias(f"{m}{c}") for c in df.columns if c not in (*on, "weak")])
+            pairs = links.join(side(strong_a, "a_"), [*on, "a_cx", "a_cy"]).join(side(strong_b, "b_"), [*on, "b_cx", "b_cy"])
+            if weak_must_meet:
+                pairs = pairs.unionByName(_meeting(class_a.where("weak").drop("weak"), keyed_b.where("weak").drop("weak"), on))
+            dx, dy = F.col("a_cx") - F.col("b_cx"), F.col("a_cy") - F.col("b_cy")
+            at_a, at_b = [*on, "a_cx", "a_cy", "a_w", "a_h"], [*by, "b_wants", "b_cx", "b_cy", "b_w", "b_h"]
+            pairs = cut_lineage(pairs.withColumn("order", F.struct((dx * dx + dy * dy).alias("d"), F.col("a_first").alias("p"), F.col("b_first").alias("q"))))
+            if pairs.isEmpty():
+                break
+            for at, name in ((at_a, "by_a"), (at_b, "by_b")):
+                near = pairs.groupBy(*at).agg(F.min("order").alias(name))
+                ties = pairs.join(near, at).where(F.col("order.d") == F.col(f"{name}.d")).groupBy(*at).agg(F.first(name).alias(name), F.count(F.lit(1)).alias(f"{name}_ties"))
+                pairs = pairs.join(ties, at)
+            alone = (F.col("by_a_ties") == 1) & (F.col("by_b_ties") == 1)
+            won = cut_lineage(pairs.where((F.col("order") == F.col("by_a")) & (F.col("order") == F.col("by_b")))
+                              .select(*on, *[c for c in at_a + at_b if c not in on], F.when(alone, F.least("a_n", "b_n")).otherwise(1).alias("m")))
+            place = [*by, "key", *box]
+            nth_a = a.withColumn("nth", F.row_number().over(Window.partitionBy(*place).orderBy("path")))
+            nth_b = b.withColumn("nth", F.row_number().over(Window.partitionBy(*by, "wants", *box).orderBy("z", "path")))
+            rows_a = nth_a.select(*on, *[F.col(c).alias(f"a_{c}") for c in box], F.col("path").alias("gt_path"), "nth")
+            rows_b = nth_b.select(*by, "nth", F.col("path").alias("other_path"), F.col("wants").alias("b_wants"), *[F.col(c).alias(f"b_{c}") for c in box])
+            got = cut_lineage(won.join(rows_a, at_a).where(F.col("nth") <= F.col("m")).join(rows_b, [*at_b, "nth"]).select(*by, "gt_path", "other_path", "key"))
+            taken.append(got)
+            free_a = cut_lineage(free_a.join(got.select(*by, F.col("gt_path").alias("path")), [*by, "path"], "left_anti"))
+            free_b = cut_lineage(free_b.join(got.select(*by, F.col("other_path").alias("path")), [*by, "path"], "left_anti"))
+    cells = [*[free_b[c] for c in by], F.col("path").alias("gt_path"), F.col("path").alias("other_path"), F.lit("").alias("key")]
+    out = free_b.select(*cells).limit(0)
+    for got in taken:
+        out = out.unionByName(got)
+    return out.withColumn("strong", is_strong(F.col("key")))
+
 
 def pair(gt: DataFrame, other: DataFrame, by: Sequence[str] = ("deck", "slide"),
          gt_by: Sequence[str] | None = None, order: Sequence[str] = PAIR_ORDER,
          weak_must_meet: bool = True) -> DataFrame:
     """Accepted pairs (by, gt_path, other_path, key, strong): strongest key first, nearest first.
 
-    Both sides need ``keys``.  One cheap count decides whether any page is too large for the fold.
+    Both sides need ``keys``, the strong ones first.  One cheap count decides whether any page is too large for the
+    fold.  Large pages are paired by nearest classes; those that hold a shape without a box, which is near to all,
+    and all large ones under another order, in rounds over their proposals.
     """
-    gt_by = list(gt_by or by)
-    props = proposals(gt, other, by, gt_by, weak_must_meet)
+    gt_by, by = list(gt_by or by), list(by)
     big = _oversize(gt, other, by, gt_by)
-    return greedy(props, list(by), order, None if big.isEmpty() else big)
+    if big.isEmpty():
+        return _fold(proposals(gt, other, by, gt_by, weak_must_meet), by, order)
+    big = cut_lineage(big)
+    odd = big
+    if tuple(order) == PAIR_ORDER:
+        boxless = F.col("cx").isNull() | F.col("cy").isNull() | F.col("w").isNull() | F.col("h").isNull()
+        odd = cut_lineage(gt.where(boxless).select(*gt_by).unionByName(other.where(boxless).select(*gt_by)).distinct().join(big, gt_by, "left_semi"))
+    plain = big.join(odd, gt_by, "left_anti")
+    out = _fold(proposals(*[side.join(big, gt_by, "left_anti") for side in (gt, other)], by, gt_by, weak_must_meet), by, order)
+    if not odd.isEmpty():
+        out = out.unionByName(_rounds(proposals(*[side.join(odd, gt_by, "left_semi") for side in (gt, other)], by, gt_by, weak_must_meet), by, order))
+    if not plain.isEmpty():
+        out = out.unionByName(_by_distance(*[side.join(plain, gt_by, "left_semi") for side in (gt, other)], by, gt_by, weak_must_meet))
+    return out
 
 
 def match_shapes(before: DataFrame, after: DataFrame, by: Sequence[str] = ("deck", "slide")) -> DataFrame:
