@@ -8,8 +8,10 @@ neighbours while they stay in range; cosines of what is found are verified in do
 neighbour is counted in its home shard only, so overlaps count once.  Recall is audited against
 brute force for a fixed number of queries over all vectors, and the search is widened until it suffices.
 
-Shards with more than ``most_home`` home vectors are split by hash and queries go to every part.  Only
-counts and a spanning forest of the links leave a shard, never all pairs of a group.
+Shards with more than ``most_home`` home vectors are split by hash and queries go to every part; the queries of a
+shard are split by another hash into blocks of about ``most_asked``, so a task holds one part and one block however many
+vectors a cluster has.  Only counts and a spanning forest of the links leave a task, never all pairs of a group, and
+the links of 256 queries are held at a time.
 
 Vectors that are null, zero, hold null or non-finite components, or have another length than most link
 with nothing.  Equal vectors are one node with a weight; repeated rows are rows.
@@ -105,8 +107,8 @@ def medoids_of(rows: np.ndarray, count: int) -> np.ndarray:
 
 
 def range_search(rows: np.ndarray, lists: list[np.ndarray], entries: np.ndarray, queries: np.ndarray, own: np.ndarray, *,
-                 least: float, beam: int, steps: int = 96) -> tuple[np.ndarray, np.ndarray]:
-    """(query, row) pairs in range.  ``lists``: neighbours of each row; ``own``: the query's row or -1.
+                 least: float, beam: int, steps: int = 96) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query, row) pairs in range, some queries at a time.  ``lists``: neighbours of each row; ``own``: the query's row or -1.
 
     A greedy step looks at up to ``steps`` neighbours of a row, the expansion in range at all of them.
     """
@@ -114,7 +116,6 @@ def range_search(rows: np.ndarray, lists: list[np.ndarray], entries: np.ndarray,
     degree = np.array([len(x) for x in lists], np.int64)
     begin, heads = np.cumsum(degree) - degree, np.concatenate([*lists, np.zeros(0, np.int64)]).astype(np.int64)
     small, asked = rows.astype(np.float32), queries.astype(np.float32)
-    found_q, found_r = [], []
     n, m = len(rows), 256
     for lo in range(0, len(queries), m):
         q, mine = asked[lo:lo + m], own[lo:lo + m]
@@ -173,6 +174,7 @@ def range_search(rows: np.ndarray, lists: list[np.ndarray], entries: np.ndarray,
                 next_q.append(i[close])
                 next_r.append(r[close])
             qi, ri = np.concatenate(next_q), np.concatenate(next_r)
+        found_q, found_r = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         if held_q:
             qi, ri = np.concatenate(held_q), np.concatenate(held_r)
             for s in range(0, len(qi), 100_000):
@@ -180,9 +182,7 @@ def range_search(rows: np.ndarray, lists: list[np.ndarray], entries: np.ndarray,
                 sure = np.einsum("pd,pd->p", queries[lo + i], rows[r]) >= least
                 found_q.append(lo + i[sure])
                 found_r.append(r[sure])
-    if not found_q:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(found_q), np.concatenate(found_r)
+        yield np.concatenate(found_q), np.concatenate(found_r)
 
 
 def padded(lists: list[np.ndarray]) -> np.ndarray:
@@ -208,12 +208,28 @@ def valid_vectors(embeddings: DataFrame, vector: str = "embedding") -> DataFrame
     return embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.when(good, F.col(vector)).cast("array<float>").alias("v")).mapInPandas(pack, "vec_id long, vec binary")
 
 
-def link(nodes: DataFrame, *, least: float, shard_rows: int, most_home: int, sample_rows: int, overlap: int, probes: int,
+def deal(placed: DataFrame, *, most_home: int, most_asked: int, overlap: int) -> DataFrame:
+    """``placed(node, vec, n, shard, place)`` dealt over the parts and blocks of each shard."""
+    sizes = placed.groupBy("shard").agg(F.greatest(F.lit(1), F.ceil(F.count_if(F.col("place") == 0) / most_home)).alias("parts"),
+                                        F.ceil(F.count("*") / most_asked).alias("blocks"))
+    # a vector asks in one block of every part of all its shards, and is a graph node in all blocks of one part of its first ones
+    dealt = (placed.join(sizes, "shard").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")))
+             .withColumn("mine", F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("blocks"))))
+    cell = lambda part, block: F.struct(part.cast("int").alias("part"), block.cast("int").alias("block"))
+    asks = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda part: cell(part, F.col("mine")))
+    stands = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda block: cell(F.col("own"), block))
+    cells = F.when(F.col("place") < overlap, F.array_union(asks, stands)).otherwise(asks)
+    return (dealt.withColumn("cell", F.explode(cells)).withColumn("asks", F.col("cell.block") == F.col("mine"))
+            .withColumn("in_graph", (F.col("place") < overlap) & (F.col("cell.part") == F.col("own")))
+            .select("shard", "cell.part", "cell.block", "node", "vec", "n", "place", "asks", "in_graph"))
+
+
+def link(nodes: DataFrame, *, least: float, shard_rows: int, most_home: int, most_asked: int, sample_rows: int, overlap: int, probes: int,
          beam: int, degree: int, nearest: int, pool: int, alpha: float, medoids: int) -> DataFrame:
-    """(node, linked, other) of ``nodes(node, vec, n)``: per query and shard the weight in range, or a forest link."""
+    """(node, linked, partners, other) of ``nodes(node, vec, n)``: per query and task the rows and vectors in range, or a forest link."""
     total = nodes.count()
     if not total:
-        return nodes.select("node", F.col("n").alias("linked"), F.col("node").alias("other"))
+        return nodes.select("node", F.col("n").alias("linked"), F.col("n").alias("partners"), F.col("node").alias("other"))
     sample = unit([r["vec"] for r in nodes.orderBy(F.xxhash64("node")).limit(sample_rows).select("vec").collect()])
     k = max(1, min(-(-total // shard_rows), len(sample) // 8))
     centres = centroids_of(sample, k)
@@ -228,13 +244,7 @@ def link(nodes: DataFrame, *, least: float, shard_rows: int, most_home: int, sam
                 yield frame.assign(shard=order[:, place].astype(np.int32), place=np.int32(place))
 
     placed = written(nodes.select("node", "vec", "n").mapInPandas(assign, "node long, vec binary, n long, shard int, place int"), "shards")
-    parts = {r["shard"]: -(-r["n"] // most_home) for r in placed.where("place = 0").groupBy("shard").agg(F.count("*").alias("n")).collect()}
-    count = F.coalesce(F.element_at(F.create_map(*(F.lit(x) for s, p in parts.items() for x in (s, p))), F.col("shard")) if parts else F.lit(1), F.lit(1))
-    own_part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
-    # a vector is a graph node of one part of its first shards, and a query in every part of all of them
-    rows = (placed.withColumn("parts", count).withColumn("own", own_part)
-            .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .withColumn("in_graph", (F.col("place") < overlap) & (F.col("own") == F.col("part"))).drop("parts", "own"))
+    rows = deal(placed, most_home=most_home, most_asked=most_asked, overlap=overlap)
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("node")
@@ -242,16 +252,16 @@ def link(nodes: DataFrame, *, least: float, shard_rows: int, most_home: int, sam
         graph = pruned_graph(unit(frame["vec"].tolist()), degree=degree, nearest=nearest, pool=pool, alpha=alpha)
         return pd.DataFrame({"node": ids, "near": [ids[g] for g in graph]})
 
-    adjacency = written(rows.where("in_graph").select("shard", "part", "node", "vec").groupBy("shard", "part").applyInPandas(build, "node long, near array<long>")
+    adjacency = written(rows.where("in_graph and block = 0").select("shard", "part", "node", "vec").groupBy("shard", "part").applyInPandas(build, "node long, near array<long>")
                         .groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "adjacency")
-    lists = written(rows.where("in_graph").select("shard", "part", "node").join(adjacency, "node"), "lists")
+    lists = written(rows.where("in_graph").select("shard", "part", "block", "node").join(adjacency, "node"), "lists")
 
     def search(frame: pd.DataFrame, around: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("node")
         ids, vectors = frame["node"].to_numpy(), unit(frame["vec"].tolist())
-        inside = np.flatnonzero(frame["in_graph"].to_numpy())
-        nothing = pd.DataFrame({"node": pd.Series(dtype="int64"), "linked": pd.Series(dtype="Int64"), "other": pd.Series(dtype="Int64")})
-        if not len(inside):
+        inside, asked = np.flatnonzero(frame["in_graph"].to_numpy()), np.flatnonzero(frame["asks"].to_numpy())
+        nothing = pd.DataFrame({"node": pd.Series(dtype="int64"), **{c: pd.Series(dtype="Int64") for c in ("linked", "partners", "other")}})
+        if not len(inside) or not len(asked):
             return nothing
         known, rows = ids[inside], vectors[inside]
         near = dict(zip(around["node"], around["near"], strict=True))
@@ -264,44 +274,57 @@ def link(nodes: DataFrame, *, least: float, shard_rows: int, most_home: int, sam
         graph = [local(x) for x in known.tolist()]
         own = np.full(len(ids), -1, np.int64)
         own[inside] = np.arange(len(inside))
-        qi, ri = range_search(rows, graph, medoids_of(rows, medoids), vectors, own, least=least, beam=beam)
-        other = ids[qi] != known[ri]
-        qi, ri = qi[other], ri[other]
         home = (frame["place"].to_numpy() == 0)[inside]
         weight = np.where(home, frame["n"].to_numpy()[inside], 0)
-        linked = np.bincount(qi, weights=weight[ri], minlength=len(ids)).astype(np.int64)
+        linked, partners = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+        tree = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        for qi, ri in range_search(rows, graph, medoids_of(rows, medoids), vectors[asked], own[asked], least=least, beam=beam):
+            qi = asked[qi]
+            other = ids[qi] != known[ri]
+            qi, ri = qi[other], ri[other]
+            linked += np.bincount(qi, weights=weight[ri], minlength=len(ids)).astype(np.int64)
+            partners += np.bincount(qi, weights=home[ri], minlength=len(ids)).astype(np.int64)
+            tree = spanning(np.concatenate([tree[0], qi]), np.concatenate([tree[1], inside[ri]]), len(ids))
         counted = np.flatnonzero(linked)
-        a, b = spanning(qi, inside[ri], len(ids))
-        return pd.concat([nothing, pd.DataFrame({"node": ids[counted], "linked": linked[counted], "other": pd.array([None] * len(counted), "Int64")}),
-                          pd.DataFrame({"node": ids[a], "linked": pd.array([None] * len(a), "Int64"), "other": ids[b]})])
+        none = lambda k: pd.array([None] * k, "Int64")
+        a, b = tree
+        return pd.concat([nothing, pd.DataFrame({"node": ids[counted], "linked": linked[counted], "partners": partners[counted], "other": none(len(counted))}),
+                          pd.DataFrame({"node": ids[a], "linked": none(len(a)), "partners": none(len(a)), "other": ids[b]})])
 
-    return (rows.groupBy("shard", "part").cogroup(lists.groupBy("shard", "part"))
-            .applyInPandas(search, "node long, linked long, other long"))
+    unit_of = ("shard", "part", "block")
+    return (rows.groupBy(*unit_of).cogroup(lists.groupBy(*unit_of))
+            .applyInPandas(search, "node long, linked long, partners long, other long"))
 
 
 def audit(nodes: DataFrame, found: DataFrame, *, least: float, queries: int) -> float:
-    """Share of the links of ``queries`` nodes (by a hash) that the search has found, by brute force over all nodes."""
+    """The recall of ``queries`` nodes (by a hash) by brute force over all nodes: the smaller of two shares.
+
+    One is the share of all their links that the search has found; the other is the mean, over nodes with links, of the
+    share of a node's linked vectors, copies counted once, so that a large group does not hide the missed links of others.
+    """
     asked = nodes.orderBy(F.xxhash64(F.lit("audit"), "node")).limit(queries).select("node", "vec").collect()
     if not asked:
         return 1.0
     ids, vectors = np.array([r["node"] for r in asked]), unit([r["vec"] for r in asked])
 
     def exact(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(len(ids), np.int64)
+        total, single = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
         for frame in frames:
             if len(frame):
                 close = vectors @ unit(frame["vec"].tolist()).T >= least
                 close &= ids[:, None] != frame["node"].to_numpy()[None, :]
                 total += close @ frame["n"].to_numpy()
-        yield pd.DataFrame({"node": ids, "links": total})
+                single += close.sum(axis=1)
+        yield pd.DataFrame({"node": ids, "links": total, "singles": single})
 
-    truth = nodes.select("node", "vec", "n").mapInPandas(exact, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
-    both = truth.join(found.groupBy("node").agg(F.sum("linked").alias("linked")), "node", "left")
-    got = both.agg(F.sum(F.least(F.coalesce("linked", F.lit(0)), "links")).alias("a"), F.sum("links").alias("b")).first()
-    return 1.0 if not got["b"] else got["a"] / got["b"]
+    truth = nodes.select("node", "vec", "n").mapInPandas(exact, "node long, links long, singles long").groupBy("node").agg(F.sum("links").alias("links"), F.sum("singles").alias("singles"))
+    both = truth.join(found.groupBy("node").agg(F.sum("linked").alias("linked"), F.sum("partners").alias("partners")), "node", "left").where("links > 0")
+    got = both.agg(F.sum(F.least(F.coalesce("linked", F.lit(0)), "links")).alias("a"), F.sum("links").alias("b"),
+                   F.avg(F.least(F.coalesce("partners", F.lit(0)), "singles") / F.col("singles")).alias("mean")).first()
+    return 1.0 if not got["b"] else min(got["a"] / got["b"], got["mean"])
 
 
-def near_duplicates(embeddings: DataFrame, vector: str = "embedding", *, least: float = 0.9, shard_rows: int = 1500, most_home: int = 6000,
+def near_duplicates(embeddings: DataFrame, vector: str = "embedding", *, least: float = 0.9, shard_rows: int = 1500, most_home: int = 6000, most_asked: int = 12000,
                     sample_rows: int = 16384, overlap: int = 2, probes: int = 4, beam: int = 16, degree: int = 20, nearest: int = 6,
                     pool: int = 32, alpha: float = 1.2, medoids: int = 8, audited: int = 500, recall: float = 0.95) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row of ``embeddings``.
@@ -314,7 +337,7 @@ def near_duplicates(embeddings: DataFrame, vector: str = "embedding", *, least:
                     .withColumn("node", F.monotonically_increasing_id()), "nodes")
     for attempt in range(3):
         wide = 2 ** attempt
-        found = written(link(nodes, least=least, shard_rows=shard_rows, most_home=most_home, sample_rows=sample_rows, overlap=overlap * wide,
+        found = written(link(nodes, least=least, shard_rows=shard_rows, most_home=most_home, most_asked=most_asked, sample_rows=sample_rows, overlap=overlap * wide,
                              probes=probes * wide, beam=beam * wide, degree=degree, nearest=nearest, pool=pool, alpha=alpha, medoids=medoids * wide), "links")
         reached = audit(nodes, found, least=least, queries=audited)
         if reached >= recall:
