@@ -26,6 +26,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))"
 REFRESH = r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*?\burl\s*=\s*[\"']?([^\"'>\s]+)"
 
+#: Entities that a link's url may hold, the ampersand last.
+ENTITIES = (("(?i)&quot;|&#34;|&#x22;", '"'), ("(?i)&apos;|&#39;|&#x27;", "'"), ("(?i)&lt;|&#60;|&#x3c;", "<"),
+            ("(?i)&gt;|&#62;|&#x3e;", ">"), ("(?i)&#47;|&#x2f;", "/"), ("(?i)&amp;|&#38;|&#x26;", "&"))
+
 
 def with_host_and_path(frame: DataFrame, url: str = "url") -> DataFrame:
     """``frame`` with ``host`` and ``path`` of ``url``; columns of those names are replaced."""
@@ -44,18 +48,36 @@ def alias_key(url: Column, host: Column) -> Column:
     return F.when(host != "", F.concat(scheme, F.lit("://"), host, bare.substr(after, F.length(bare))))
 
 
+def without_dots(path: Column) -> Column:
+    """A path without its ``.`` and ``..`` segments."""
+    parts = F.split(path, "/")
+    last = F.element_at(parts, -1)
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda acc, x: F.when(x == ".", acc).when(
+        x == "..", F.when(F.size(acc) > 1, F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(acc)).otherwise(F.array_append(acc, x)))
+    # a path that ends with a dot segment names a folder
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), F.concat(F.array_join(kept, "/"), F.when(last.isin(".", ".."), "/").otherwise(""))).otherwise(path)
+
+
 def page_links(pages: DataFrame) -> DataFrame:
-    """(url, target) of canonical links and meta refreshes in ``html``, targets made absolute."""
+    """(url, target) of all canonical links and meta refreshes in ``html``, targets decoded, absolute and without dot segments."""
     tagged = pages.where(F.col("url").isNotNull() & F.col("html").rlike(r"(?i)canonical|http-equiv"))
-    found = F.array(F.coalesce(*(F.nullif(F.regexp_extract("html", CANONICAL, k), F.lit("")) for k in (1, 2, 3))),
-                    F.nullif(F.regexp_extract("html", REFRESH, 1), F.lit("")))
-    links = with_host_and_path(tagged.select("url", F.explode(found).alias("t")).where("t is not null"))
+    every = lambda pattern, k: F.regexp_extract_all("html", F.lit(pattern), F.lit(k))
+    found = F.array_distinct(F.concat(*(every(CANONICAL, k) for k in (1, 2, 3)), every(REFRESH, 1)))
+    named = F.trim(F.col("t"))
+    for code, plain in ENTITIES:
+        named = F.regexp_replace(named, code, plain)
+    links = with_host_and_path(tagged.select("url", F.explode(found).alias("t")).withColumn("t", named).where("t <> ''"))
     scheme = F.substring_index("url", "://", 1)
     origin = F.concat(scheme, F.lit("://"), "host")
     folder = F.regexp_extract("path", r"^(?s:.*)/", 0)
-    target = (F.when(F.col("t").contains("://"), F.col("t")).when(F.col("t").startswith("//"), F.concat(scheme, F.lit(":"), "t"))
-              .when(F.col("t").startswith("/"), F.concat(origin, "t"))
-              .otherwise(F.concat(origin, F.when(folder == "", "/").otherwise(folder), "t")))
+    # the path of the target goes without dot segments, what follows it stays
+    full = (F.when(F.col("t").contains("://"), F.col("t")).when(F.col("t").startswith("//"), F.concat(scheme, F.lit(":"), "t"))
+            .when(F.col("t").startswith("/"), F.concat(origin, "t"))
+            .otherwise(F.concat(origin, F.when(folder == "", "/").otherwise(folder), "t")))
+    head = F.regexp_extract("full", r"^[^?#]*?://[^/?#]*", 0)
+    way = F.regexp_extract(F.expr("substring(full, length(head) + 1)"), r"^[^?#]*", 0)
+    target = F.concat("head", without_dots(F.col("way")), F.expr("substring(full, length(head) + length(way) + 1)"))
+    links = links.withColumn("full", full).withColumn("head", head).withColumn("way", way)
     return links.where("host <> ''").select("url", target.alias("target"))
 
 
