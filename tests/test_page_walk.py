@@ -64,3 +64,17 @@ def test_shapes_are_shuffled_once(spark):
     gt, other = (spark.createDataFrame(shapes(s, 9, "x"), TYPE) for s in (1, 2))
     plan = M.wide_pairs(gt, other, ["tag"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1
+
+
+@pytest.mark.parametrize("order", [M.PAIR_ORDER, M.DRIFT_ORDER])
+def test_scenarios_pair_as_the_fold_over_all_proposals(spark, order):
+    """The answer has no scenario; each scenario of the other side is paired by itself."""
+    gt = spark.createDataFrame(shapes(7, 20, "a"), TYPE)
+    other = None
+    for n in range(3):
+        rows = spark.createDataFrame(shapes(20 + n, 18, "b"), TYPE).selectExpr(f"'s{n}' AS scenario", "*")
+        other = rows if other is None else other.unionByName(rows)
+    by, gt_by, weak = ["scenario", "deck", "slide"], ["deck", "slide"], order == M.PAIR_ORDER
+    got = {tuple(r) for r in M.pair(gt, other, by, gt_by, order, weak).select(*by, "gt_path", "other_path", "key", "strong").collect()}
+    want = {tuple(r) for r in M._fold(M.proposals(gt, other, by, gt_by, weak), by, order).select(*by, "gt_path", "other_path", "key", "strong").collect()}
+    assert got == want and got
