@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from gradeloom.operators import damage as D
+from gradeloom.plans.comparing import runs_by_document
 from gradeloom.plans.registry import query
 
 _LOG = "SELECT deck, slide, path, '{op}' AS op, deg, '{f}' AS fact, {was}::VARCHAR AS was, {now}::VARCHAR AS now FROM hit WHERE {was} IS DISTINCT FROM {now}"
@@ -143,9 +144,10 @@ def damage_drop_rows(m):
 
 @query("damage_text_runs", "K18", "WITH p AS (SELECT doc_id, para, string_agg(t, ' ' ORDER BY run) AS txt, count(*) OVER (PARTITION BY doc_id) AS paras FROM word_runs GROUP BY doc_id, para) SELECT doc_id, para, CASE WHEN doc_id % 3 = 0 THEN CASE WHEN paras = 1 THEN 'emptied' ELSE 'deleted' END ELSE 'restyled' END AS action FROM p WHERE (doc_id % 2 = 0 AND para = 1) OR (doc_id % 2 = 1 AND contains(txt, 'an'))")
 def damage_text_runs(m):
+    runs = runs_by_document(m)
     ask = m["documents"].selectExpr("doc_id", "CASE WHEN doc_id % 2 = 0 THEN CAST(1 AS BIGINT) END AS para", "'an' AS phrase",
                                     "CASE WHEN doc_id % 3 = 0 THEN 'deleted' ELSE 'restyled' END AS action", "'Arial' AS new_font")
-    return D.text_runs(m["word_runs"], ask, ["doc_id"])[1].select("doc_id", "para", "action")
+    return D.text_runs(runs, ask, ["doc_id"])[1].select("doc_id", "para", "action")
 
 
 @query("damage_detach", "K19", log_sql("detach_connector", "kind = 'connector' AND qty % 2 = 0", start_id="NULL", end_id="NULL", cx="cx + 365760"))
