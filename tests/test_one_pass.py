@@ -44,3 +44,9 @@ def test_large_pages_are_found_behind_large_decks(spark, tmp_path):
     lines = [(100 * d + o, 1) for d, n in ((3, 2100), (4, 300), (5, 1500)) for o in (1, 7) for _ in range(n if o == 1 else 900)]
     spark.createDataFrame(lines, "l_orderkey long, l_linenumber int").write.parquet(str(tmp_path / "lineitem.parquet"))
     assert large_pages(Models(spark, str(tmp_path))).collect() == [("deck000000003", 0)]
+
+
+def test_chart_credit_scores_its_series_once(spark):
+    plan = bound("chart_credit")(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    # each reading of the series takes the order lines five times, the furniture once more
+    assert plan.count("lineitem.parquet") <= 8
