@@ -61,23 +61,30 @@ def with_luminance(rows: DataFrame, rgb: str, name: str, lum_mod: str = "lum_mod
     return out.withColumn(name, new).drop(*[x for x in out.columns if x.startswith("__")])
 
 
-def lab_of(rgb: Column) -> Column:
-    def linear(c: Column) -> Column:
-        x = c / 255.0
+def with_delta_e(rows: DataFrame, left: Column, right: Column, name: str) -> DataFrame:
+    """Add ``name``: the CIE76 distance of two rgb structs; 100 when either is unknown.
+
+    The steps are separate columns so that no expression is repeated inside another.
+    """
+    c, sides, keep = F.col, "pq", rows.columns
+    out = rows.withColumns({"__p": left, "__q": right})
+    out = out.withColumns({f"__{s}{n}": c(f"__{s}")[n] / 255.0 for s in sides for n in "rgb"})
+
+    def linear(x: Column) -> Column:
         return F.when(x <= 0.04045, x / 12.92).otherwise(F.pow((x + 0.055) / 1.055, F.lit(2.4)))
 
     def curve(t: Column) -> Column:
         return F.when(t > 0.008856, F.pow(t, F.lit(1 / 3))).otherwise(t * 7.787 + 16 / 116)
 
-    r, g, b = (linear(rgb[c]) for c in "rgb")
-    x = curve((r * 0.4124 + g * 0.3576 + b * 0.1805) / 0.95047)
-    y = curve(r * 0.2126 + g * 0.7152 + b * 0.0722)
-    z = curve((r * 0.0193 + g * 0.1192 + b * 0.9505) / 1.08883)
-    return F.struct((y * 116.0 - 16.0).alias("l"), ((x - y) * 500.0).alias("a"), ((y - z) * 200.0).alias("b"))
-
-
-def delta_e(left: Column, right: Column) -> Column:
-    """CIE76 distance of two rgb structs; 100 when either is unknown."""
-    p, q = lab_of(left), lab_of(right)
-    gap = F.sqrt(sum((F.pow(p[k] - q[k], F.lit(2.0)) for k in ("l", "a", "b")), F.lit(0.0)))
-    return F.when(left.isNull() | right.isNull(), 100.0).otherwise(gap)
+    out = out.withColumns({f"__{s}{n}": linear(c(f"__{s}{n}")) for s in sides for n in "rgb"})
+    mixed = {}
+    for s in sides:
+        r, g, b = (c(f"__{s}{n}") for n in "rgb")
+        mixed |= {f"__{s}x": (r * 0.4124 + g * 0.3576 + b * 0.1805) / 0.95047, f"__{s}y": r * 0.2126 + g * 0.7152 + b * 0.0722,
+                  f"__{s}z": (r * 0.0193 + g * 0.1192 + b * 0.9505) / 1.08883}
+    out = out.withColumns(mixed)
+    out = out.withColumns({n: curve(c(n)) for n in mixed})
+    lab = {s: (c(f"__{s}y") * 116.0 - 16.0, (c(f"__{s}x") - c(f"__{s}y")) * 500.0, (c(f"__{s}y") - c(f"__{s}z")) * 200.0) for s in sides}
+    gap = F.sqrt(sum((F.pow(p - q, F.lit(2.0)) for p, q in zip(lab["p"], lab["q"])), F.lit(0.0)))
+    out = out.withColumn(name, F.when(c("__p").isNull() | c("__q").isNull(), 100.0).otherwise(gap))
+    return out.select(*[x for x in keep if x != name], name)
