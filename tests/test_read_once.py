@@ -8,7 +8,7 @@ load_all()
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["connector_credit"])
+@pytest.mark.parametrize("name", ["connector_credit", "drift_stats"])
 def test_pages_are_walked_before_the_rows_are_read(spark, name):
     plan = bound(name)(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" not in plan
