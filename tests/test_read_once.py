@@ -16,6 +16,8 @@ def test_pages_are_walked_before_the_rows_are_read(spark, name):
 
 
 ENDS, SHARES = {"gt", "noop"}, {"noop", "restored_25", "restored_50", "restored_75", "restored_100"}
+ONE = {f"only_d{k}" for k in range(1, 6)}
+ANSWERS = {"gt", "half", "rebuilt", "over_eager", "reencoded_all", "reencoded_untouched"}
 
 
 class Asked(Exception):
@@ -23,7 +25,8 @@ class Asked(Exception):
 
 
 @pytest.mark.parametrize("name, states, children", [
-    ("calibration_curve", SHARES, SHARES | {"gt"}), ("calibration_findings", ENDS, ENDS)])
+    ("calibration_curve", SHARES, SHARES | {"gt"}), ("calibration_findings", ENDS, ENDS), ("calibration_monotonic", SHARES, SHARES),
+    ("calibration_per_degradation", ONE | {"noop"}, ONE | {"noop"}), ("calibration_states", ANSWERS | SHARES, ANSWERS | SHARES)])
 def test_only_the_states_asked_for_are_scored(spark, monkeypatch, name, states, children):
     def caught(gt, broken, frames, components, supplied, width, height, theme, ops, facts):
         raise Asked(frames, facts)
