@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 from gradeloom.llm.common import written
 
 LETTERS = "A-Za-zÀ-ÿ"
+#: Every join is a shuffled one: Spark takes the packed size of a table for its size, and that of words for that of the rows they are
+#: spread out to, so it would broadcast, through the driver's memory, tables many times its limit.
+SHUFFLED = "merge"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -72,7 +75,7 @@ def trie(words: DataFrame) -> tuple[DataFrame, DataFrame]:
              .agg(F.min("_next").alias("_a"), F.max("_next").alias("_b"), F.bool_or(F.col("_next").isNull()).alias("terminal"),
                   F.bit_or(_bit("_next")).alias("ways"))
              .where("terminal or _a < _b").select("node", "terminal", F.coalesce("ways", F.lit(0).cast("long")).alias("ways")))
-    paths = written(steps.join(nodes, "node"), "trie-paths")
+    paths = written(steps.join(nodes.hint(SHUFFLED), "node"), "trie-paths")
     ahead = Window.partitionBy("side", "word").orderBy("depth")
     far = paths.withColumn("_c", F.lead(F.struct("node", "depth", "terminal", "ways")).over(ahead)).where(F.col("_c").isNotNull())
     label = F.substring("spelt", F.col("depth") + 1, F.col("_c.depth") - F.col("depth"))
@@ -92,7 +95,7 @@ def near_words(words: DataFrame) -> DataFrame:
     shorter = own.where(F.col("terminal") & (F.length("rest") == 1)).select(
         "word", F.expr("case when side = 0 then substring(word, 1, char_length(word) - 1) else substring(word, 2) end").alias("near"))
     hopeful = F.expr("case when rest = '' then ends is not null else onward & shiftleft(1L, ascii(rest) % 64) <> 0 end")
-    left = own.select("word", "rest", "node").join(edges, "node").where(F.substring("rest", 1, 1) != F.col("first"))
+    left = own.select("word", "rest", "node").join(edges.hint(SHUFFLED), "node").where(F.substring("rest", 1, 1) != F.col("first"))
     tail = F.expr("substring(rest, 2)")
     replaced = (F.col("first") > F.substring("rest", 1, 1)) & F.startswith(tail, F.expr("substring(label, 2)"))
     ways = F.array(F.when(replaced, F.expr("substring(rest, char_length(label) + 1)")),
@@ -106,7 +109,7 @@ def near_words(words: DataFrame) -> DataFrame:
         going = frontier.where("rest <> ''")
         if going.isEmpty():
             break
-        moved = going.select("word", "rest", "node", F.substring("rest", 1, 1).alias("first")).join(edges, ["node", "first"])
+        moved = going.select("word", "rest", "node", F.substring("rest", 1, 1).alias("first")).join(edges.hint(SHUFFLED), ["node", "first"])
         moved = moved.where(F.startswith("rest", "label")).select(
             "word", "ends", "onward", F.col("child").alias("node"), F.expr("substring(rest, char_length(label) + 1)").alias("rest"))
         frontier = written(moved.where(hopeful).select(*kept), "trie-frontier")
@@ -124,9 +127,9 @@ def variants(words: DataFrame, *, least_times: int = 10) -> DataFrame:
     ``root`` follows forms to the last one.
     """
     pairs = near_words(words.select("word"))
-    best = (pairs.join(words.select(F.col("word").alias("near"), F.col("n").alias("_n")), "near")
+    best = (pairs.join(words.select(F.col("word").alias("near"), F.col("n").alias("_n")).hint(SHUFFLED), "near")
             .groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("_n")).alias("m"), F.col("near"))).alias("_b")))
-    joined = words.select("word", "n").join(best, "word", "left")
+    joined = words.select("word", "n").join(best.hint(SHUFFLED), "word", "left")
     common = -F.col("_b.m") >= least_times * F.col("n")
     rows = written(joined.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
                                  F.when(common, F.col("_b.near")).alias("form"), F.when(common, -F.col("_b.m")).alias("form_n")), "forms")
@@ -134,11 +137,11 @@ def variants(words: DataFrame, *, least_times: int = 10) -> DataFrame:
     while True:                                                       # counts grow tenfold a step, so chains are short
         roots = written(roots, "roots")
         ahead = roots.select(F.col("word").alias("root"), F.col("root").alias("_far"))
-        longer = roots.join(ahead, "root")
+        longer = roots.join(ahead.hint(SHUFFLED), "root")
         if longer.isEmpty():
             break
-        roots = roots.join(ahead, "root", "left").select("word", F.coalesce("_far", "root").alias("root"))
-    return rows.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+        roots = roots.join(ahead.hint(SHUFFLED), "root", "left").select("word", F.coalesce("_far", "root").alias("root"))
+    return rows.join(roots.hint(SHUFFLED), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def group_spellings(documents: DataFrame, *, least_length: int = 7, least_count: int = 2, noise: int = 31, least_times: int = 10) -> DataFrame:

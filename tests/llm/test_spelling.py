@@ -79,3 +79,18 @@ def test_near_words_at_both_ends(spark):
     frame = spark.createDataFrame([(w,) for w in words], "word string")
     got = {(r["word"], r["near"]) for r in spelling.near_words(frame).collect()}
     assert got == {(a, b) for a in words for b in words if one_edit(a, b)}
+
+
+def test_no_table_goes_through_the_driver(spark, monkeypatch):
+    words = [f"word{chr(97 + i)}{chr(97 + j)}xyz" for i in range(6) for j in range(6)]
+    rows = spark.createDataFrame([(i, f"{w} " * (2 + 30 * (i % 5 == 0))) for i, w in enumerate(words)], "doc_id long, text string")
+    plans, written = [], spelling.written
+
+    def planned(df, label):
+        plans.append((label, df._jdf.queryExecution().executedPlan().toString()))
+        return written(df, label)
+
+    monkeypatch.setattr(spelling, "written", planned)
+    plans.append(("variants", spelling.group_spellings(rows)._jdf.queryExecution().executedPlan().toString()))
+    assert {"trie-paths", "trie-frontier", "near-words", "forms", "roots", "variants"} <= {label for label, _ in plans}
+    assert not [label for label, plan in plans if "Broadcast" in plan]
